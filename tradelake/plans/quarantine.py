@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tradelake.schemas import QUARANTINE, Layout
 
 
-def quarantine(rows: DataFrame, layout: Layout, received_at: datetime, batch_id: str) -> None:
-    """Store ``raw, reasons`` under one batch id.
+def quarantine(rows: DataFrame, layout: Layout) -> None:
+    """Store ``raw, reasons, received_at`` by ``batch_id``.
 
-    The batch is a partition of its own and is replaced as a whole, so a replay
-    of the same batch leaves the same rows.
+    Each batch is a partition of its own and is replaced as a whole, so reading
+    the same batch again leaves the same rows.
     """
-    stamped = rows.withColumns({"received_at": F.lit(received_at), "batch_id": F.lit(batch_id)})
     (
-        stamped.select(*QUARANTINE.names)
+        rows.select(*QUARANTINE.names)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")

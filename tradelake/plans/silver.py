@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradelake.functions.dates import day_of
 from tradelake.operators.dedup import keep_one
@@ -36,35 +37,28 @@ def parse(bronze: DataFrame, mode: str = "strict") -> DataFrame:
     """payload -> typed trade columns, for rows that have a trade_id.
 
     ``strict`` raises on a value that does not cast. ``quarantine`` keeps such
-    rows, with the broken columns listed in ``reasons``.
-    The id test uses the stored column, so it reaches the scan; the payload is
-    parsed once per row.
+    rows, with the broken members listed in ``reasons`` (NULL for a good row).
+    The id test uses the stored column, so it reaches the scan; the inline keeps
+    the payload from being parsed more than once per row.
     """
     if mode not in ("strict", "quarantine"):
         raise ValueError(f"unknown mode: {mode!r}")
-    present = bronze.filter(F.col("trade_id").isNotNull())
-    fields = present.withColumn("_p", F.from_json("payload", PAYLOAD))
-
-    def typed(name: str, dtype) -> Column:
-        text = F.col(f"_p.{name}")
-        return text.cast(dtype) if mode == "strict" else text.try_cast(dtype)
-
-    columns = {
-        "product_id": F.col("_p.product_id"),
-        "price": typed("price", PRICE),
-        "size": typed("size", PRICE),
-        "side": F.col("_p.side"),
-        "traded_at": typed("time", "timestamp"),
-    }
-    trades = fields.select("trade_id", *[c.alias(n) for n, c in columns.items()], F.col("received_at").alias("ingested_at"), "payload", "_p")
+    fields = T.StructType([f for f in PAYLOAD.fields if f.name != "trade_id"])
+    rows = bronze.filter(F.col("trade_id").isNotNull()).select(
+        "trade_id", F.col("received_at").alias("ingested_at"), "payload", F.inline(F.array(F.from_json("payload", fields)))
+    )
+    typed = {"price": PRICE, "size": PRICE, "time": "timestamp"}
+    values = {n: F.col(n).cast(t) if mode == "strict" else F.col(n).try_cast(t) for n, t in typed.items()}
+    trades = [
+        "trade_id", "product_id", values["price"].alias("price"), values["size"].alias("size"), "side",
+        values["time"].alias("traded_at"), "ingested_at",
+    ]
     if mode == "strict":
-        return trades.drop("payload", "_p")
-    casts = {"price": "price", "size": "size", "time": "traded_at"}
-    broken = F.array(*[
-        F.when(F.col(f"_p.{source}").isNotNull() & F.col(target).isNull(), F.lit(f"{source}_not_castable"))
-        for source, target in casts.items()
+        return rows.select(*trades)
+    broken = F.concat_ws(",", *[
+        F.when(F.col(n).isNotNull() & values[n].isNull(), f"{n}_not_castable") for n in typed
     ])
-    return trades.withColumn("reasons", F.filter(broken, lambda r: r.isNotNull())).drop("_p")
+    return rows.select(*trades, "payload", F.when(broken != "", F.split(broken, ",")).alias("reasons"))
 
 
 def latest_trades(trades: DataFrame) -> DataFrame:
@@ -92,16 +86,23 @@ def _typed(arrivals: DataFrame, mode: str, seen: Observation) -> DataFrame:
     """Castable trades; broken ones are only counted on the way."""
     if mode == "strict":
         return parse(arrivals, mode)
-    parsed = parse(arrivals, mode).observe(seen, F.count_if(F.size("reasons") > 0).alias("broken"))
-    return parsed.filter(F.size("reasons") == 0).drop("reasons", "payload")
+    parsed = parse(arrivals, mode).observe(seen, F.count_if(F.col("reasons").isNotNull()).alias("broken"))
+    return parsed.filter("reasons is null").drop("reasons", "payload")
+
 
+def _set_broken_aside(arrivals: DataFrame, layout: Layout, mode: str, seen: Observation) -> int:
+    """A second pass over the payloads, only when the first one met broken rows.
 
-def _set_broken_aside(arrivals: DataFrame, layout: Layout, mode: str, seen: Observation, run_at: datetime) -> int:
-    """A second pass over the payloads, only when the first one met broken rows."""
+    The batch id is the arrival stamp: the overlap reads a stamp's rows again all
+    together, and they replace themselves.
+    """
     if mode == "strict" or not seen.get.get("broken"):
         return 0
-    broken = parse(arrivals, mode).filter(F.size("reasons") > 0).select(F.col("payload").alias("raw"), "reasons")
-    quarantine(broken, layout, run_at, f"silver-{run_at:%Y%m%dT%H%M%S%f}")
+    broken = parse(arrivals, mode).filter("reasons is not null").select(
+        F.col("payload").alias("raw"), "reasons", F.col("ingested_at").alias("received_at"),
+        F.concat(F.lit("silver-"), F.unix_micros("ingested_at").cast("string")).alias("batch_id"),
+    )
+    quarantine(broken, layout)
     return broken.count()
 
 
@@ -116,7 +117,7 @@ def rebuild(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "
     before = {row.trade_date for row in read_silver(spark, layout.silver).select("trade_date").distinct().collect()}
     table = _silver_columns(latest_trades(_typed(bronze, mode, seen)))
     written = replace_table(spark, table, layout.silver, "trade_date", ["traded_at"])
-    broken = _set_broken_aside(bronze, layout, mode, seen, run_at)
+    broken = _set_broken_aside(bronze, layout, mode, seen)
     days = sorted(before | written["days"])
     state.note_changed_days(spark, layout, days, run_at)
     state.set_bookmark(spark, layout, SILVER_TABLE, newest)
@@ -160,6 +161,6 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
         if set(days) - set(rewrite):
             write_days(added, layout.silver, "trade_date", ["traded_at"], mode="append")
         count = rows.count()
-    broken = _set_broken_aside(arrivals, layout, mode, seen, run_at)
+    broken = _set_broken_aside(arrivals, layout, mode, seen)
     state.set_bookmark(spark, layout, SILVER_TABLE, max(newest, since))
     return UpsertReport(sorted(days), count, broken, False)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradelake.functions.windows import EPOCH_BOOKMARK, aware, from_micros
 from tradelake.schemas import CHANGED_DAYS, EXPORT_STATE, REFRESH_STATE, Layout, safe_name
@@ -18,10 +19,15 @@ def moment(row, field: str) -> datetime | None:
     return from_micros(row[field]) if row is not None else None
 
 
+def _one_row(spark: SparkSession, values: tuple, schema: T.StructType) -> DataFrame:
+    columns = [F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(values, schema.fields, strict=True)]
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
 def upsert_export_state(spark: SparkSession, layout: Layout, table: str, last_exported_at: datetime, rows_exported: int, rows_total: int) -> None:
     """Record a finished export; call it only after the write succeeded."""
     row = (aware(last_exported_at, "last_exported_at"), rows_exported, rows_total, safe_name(table))
-    overwrite_partition(spark.createDataFrame([row], EXPORT_STATE), layout.state, "table_name")
+    overwrite_partition(_one_row(spark, row, EXPORT_STATE), layout.state, "table_name")
 
 
 def read_export_state(spark: SparkSession, layout: Layout):
@@ -36,7 +42,7 @@ def export_bookmark(spark: SparkSession, layout: Layout, table: str) -> datetime
 
 def set_bookmark(spark: SparkSession, layout: Layout, table: str, bookmark: datetime) -> None:
     row = (aware(bookmark, "bookmark"), safe_name(table))
-    overwrite_partition(spark.createDataFrame([row], REFRESH_STATE), layout.refresh_state, "table_name")
+    overwrite_partition(_one_row(spark, row, REFRESH_STATE), layout.refresh_state, "table_name")
 
 
 def bookmark(spark: SparkSession, layout: Layout, table: str) -> datetime | None:
@@ -55,8 +61,11 @@ def note_changed_days(spark: SparkSession, layout: Layout, days: Iterable[date],
     If the run dies in between, the next gold refresh still knows the days. The
     silver and the gold step of one layout run one after the other.
     """
-    rows = spark.createDataFrame([(day, changed_at) for day in days], CHANGED_DAYS)
-    rows.coalesce(1).write.mode("append").parquet(layout.silver_changes)
+    listed = F.split(F.lit(",".join(day.isoformat() for day in days)), ",")
+    rows = spark.range(0, 1, 1, 1).select(
+        F.explode(listed.cast("array<date>")).alias("day"), F.lit(changed_at).alias("changed_at")
+    )
+    rows.select(*CHANGED_DAYS.names).write.mode("append").parquet(layout.silver_changes)
 
 
 def changed_days(spark: SparkSession, layout: Layout, since: datetime = EPOCH_BOOKMARK) -> tuple[list[date], datetime]:

@@ -30,7 +30,7 @@ QUERIES = {
     "feed_bad_frames": lambda spark, folder: bad_frames(parse_frames(tape.frames(events(spark, folder)))).select("raw", F.col("reasons")[0].alias("reason")),
     "feed_products": lambda spark, folder: _members(of_products(_flat(spark, folder), ["signup", "view"])),
     "validate_accept": lambda spark, folder: comparable(accepted(_checked(spark, folder))),
-    "validate_reject_reasons": lambda spark, folder: _checked(spark, folder).filter(F.size("reasons") > 0).select(
+    "validate_reject_reasons": lambda spark, folder: rejected(_checked(spark, folder)).select(
         F.try_variant_get(F.parse_json("raw"), "$.time", "string").alias("time"), F.array_join("reasons", ",").alias("reasons")),
     "feed_health_counts": lambda spark, folder: health_counts(_checked(spark, folder)),
     "reject_counts": lambda spark, folder: reason_counts(_checked(spark, folder)),

@@ -22,8 +22,12 @@ def stream_frames(spark: SparkSession, path: str, max_files_per_trigger: int | N
 
 
 def parse_frames(frames: DataFrame) -> DataFrame:
-    """Add ``frame`` (variant, NULL when the text is not JSON)."""
-    return frames.withColumn("frame", F.try_parse_json("raw"))
+    """Add ``frame`` (variant, NULL when the text is not JSON).
+
+    The one-element explode keeps later filters from being pushed below the
+    parse, which would repeat it in every condition.
+    """
+    return frames.select("raw", F.explode(F.array(F.try_parse_json("raw"))).alias("frame"))
 
 
 def is_document(frame: str = "frame") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.functions.windows import date_parts_from, from_micros
+from tradelake.functions.windows import between_windows, date_parts_from, from_micros
 from tradelake.schemas import BRONZE, QUARANTINE, SILVER, lake_schema
 from tradelake.session import scratch_path
 
@@ -67,8 +67,14 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, BRONZE).select("payload", "trade_id", "received_at", "received_date")
 
 
-def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, SILVER)
+def read_silver(spark: SparkSession, root: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    """Trades whose minute starts in ``[since, until)``, pruned by day and by row group."""
+    df = read_table(spark, root, SILVER)
+    if since is not None:
+        df = df.filter(F.col("trade_date") >= F.lit(since).cast("date"))
+    if until is not None:
+        df = df.filter(F.col("trade_date") <= F.lit(until).cast("date"))
+    return between_windows(df, "traded_at", since, until)
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
@@ -134,8 +140,7 @@ def drop_days(spark: SparkSession, root: str, column: str, days: Sequence[date])
 def overwrite_partition(df: DataFrame, root: str, column: str) -> None:
     """Replace just the partitions present in a small ``df``."""
     (
-        df.coalesce(1)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(root)

@@ -33,7 +33,8 @@ def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Se
         trades = of_products(trades, products)
     checked = validate(trades).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        quarantine(bad_frames(parsed).unionByName(rejected(checked)), layout, received_at, batch_id)
+        aside = bad_frames(parsed).unionByName(rejected(checked))
+        quarantine(aside.withColumns({"received_at": F.lit(received_at), "batch_id": F.lit(batch_id)}), layout)
         return bronze.append(frames.sparkSession, layout, to_wire(accepted(checked)), received_at, redelivery_days)
     finally:
         checked.unpersist()
