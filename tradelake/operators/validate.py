@@ -100,8 +100,9 @@ def _time_reason() -> Column:
 def validate(trades: DataFrame) -> DataFrame:
     """Type each ``trade`` variant and list the rules it breaks.
 
-    Output: raw, trade_id, product_id, price, size, side, traded_at, reasons (a
-    comma-separated text). An empty ``reasons`` means accepted. A row that passes every rule but does
+    Output: trade_id, product_id, price, size, side, traded_at, reasons (a
+    comma-separated text) and, for a rejected record, its text ``raw``. An empty
+    ``reasons`` means accepted. A row that passes every rule but does
     not fit the silver decimals is rejected as out of range.
 
     Members are read, then typed, once each: a one-element inline keeps filters
@@ -117,7 +118,7 @@ def validate(trades: DataFrame) -> DataFrame:
     rules = F.concat_ws(",", _id_reason(), _number_reason("price"), _number_reason("size"), _side_reason(), _time_reason())
     broken = F.when(F.col("is_object"), rules).otherwise("trade_not_object")
     return typed.select(
-        F.to_json("trade").alias("raw"), "trade_id", "product_id",
+        F.when(broken != "", F.to_json("trade")).alias("raw"), "trade_id", "product_id",
         F.col("price_value").alias("price"), F.col("size_value").alias("size"), "side", "traded_at",
         broken.alias("reasons"),
     )

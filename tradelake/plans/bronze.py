@@ -29,16 +29,18 @@ def stamp(batch: DataFrame, received_at: datetime) -> DataFrame:
     """payload -> bronze columns; the whole batch carries one arrival stamp.
 
     The stamp is a literal, so a second action on the plan sees the same value.
+    A batch that brings its ``trade_id`` along is not parsed for it again.
     """
+    known = "trade_id" in batch.columns
     return batch.select(
         "payload",
-        F.get_json_object("payload", "$.trade_id").alias("trade_id"),
+        F.col("trade_id") if known else F.get_json_object("payload", "$.trade_id").alias("trade_id"),
         F.lit(aware(received_at, "received_at")).alias("received_at"),
     ).withColumn("received_date", day_of("received_at"))
 
 
 def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: datetime, redelivery_days: int | None = None, keep: str = "first") -> IngestReport:
-    """Append the rows of ``batch`` (column ``payload``) whose trade_id is new.
+    """Append the rows of ``batch`` (``payload``, maybe ``trade_id``) that are new.
 
     Safe to repeat: a second run finds its own ids and adds nothing. By default
     the whole table is consulted. ``redelivery_days`` states that a trade is

@@ -13,7 +13,7 @@ from tradelake.plans.export import run_export
 from tradelake.schemas import Layout
 from tradelake.session import scratch_path
 from tradelake.sources import tape
-from tradelake.sources.wire import wire_json
+from tradelake.sources.wire import to_wire
 
 FIRST_ARRIVAL = datetime(2024, 2, 1, tzinfo=UTC)
 SECOND_ARRIVAL = datetime(2024, 2, 2, tzinfo=UTC)
@@ -82,7 +82,8 @@ def line_trades(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payloads(trades: DataFrame) -> DataFrame:
-    return trades.select(wire_json(product_id="product_id").alias("payload"))
+    """Wire messages only, as a broker hands them over."""
+    return to_wire(trades).select("payload")
 
 
 # Lakes written once per session and input folder, shared by the queries that

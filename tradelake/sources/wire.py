@@ -23,6 +23,6 @@ def wire_json(trade_id="trade_id", price="price", size="size", side="side", time
 
 
 def to_wire(trades: DataFrame) -> DataFrame:
-    """One ``payload`` per validated trade."""
+    """One ``payload`` per validated trade, with its id."""
     product = "product_id" if "product_id" in trades.columns else None
-    return trades.select(wire_json(product_id=product).alias("payload"))
+    return trades.select(wire_json(product_id=product).alias("payload"), "trade_id")
