@@ -11,7 +11,7 @@ from conftest import at
 from pyspark.errors import PySparkException
 from trades import payload, payloads, sorted_rows
 
-from tradelake.plans import bronze, gold, silver
+from tradelake.plans import bronze, dashboards, gold, refresh, silver
 from tradelake.schemas import SILVER, STATS_TABLE, VWAP_TABLE, Layout
 from tradelake.sources.tables import partition_days, read_quarantine, read_silver
 
@@ -150,3 +150,15 @@ def test_trade_without_a_time_is_kept_and_fails_the_check(spark, layout):
     assert [(r.trade_id, r.traded_at is None) for r in read_silver(spark, layout.silver).orderBy("trade_id").collect()] == [("a", False), ("b", True)]
     deliver(spark, layout, [payload("b", time=at(10, 3))], at(21))
     assert read_silver(spark, layout.silver).filter("traded_at is null").count() == 0
+
+
+def test_metrics_keyed_by_product(spark, tmp_path):
+    layout = Layout(str(tmp_path / "by"), by=("product_id",))
+    a, b = {"product_id": "A"}, {"product_id": "B"}
+    deliver(spark, layout, [payload("1", 10, 1, time=at(10), **a), payload("2", 20, 3, time=at(10), **b), payload("3", 30, 1, time=at(10), **b)], at(20))
+    deliver(spark, layout, [payload("4", 50, 1, time=at(10), **a)], at(21))
+    checks = refresh.refresh(spark, layout, at(22))
+    assert checks.published and [r.rows_written for r in checks.exports] == [2, 2]
+    assert {r.product_id: (r.vwap, r.trade_count) for r in gold.published(spark, layout, VWAP_TABLE).collect()} == {"A": (30.0, 2), "B": (22.5, 2)}
+    assert {(r.product_id, r.vwap) for r in spark.sql("select product_id, vwap from vw_vwap_1min").collect()} == {("A", 30.0), ("B", 22.5)}
+    assert dashboards.latest(spark, layout, "pressure").columns == ["product_id", "window_start", "buy_volume_pct", "sell_volume_pct"]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.schemas import FEED_CHANNEL
+from tradelake.schemas import DEFAULT_PRODUCT, FEED_CHANNEL
 from tradelake.sources.feed import is_document, parse_frames
 
 
@@ -30,7 +30,7 @@ def flatten(frames: DataFrame, channel: str = FEED_CHANNEL) -> DataFrame:
     return trades_of(on_channel(parse_frames(frames), channel))
 
 
-def of_products(trades: DataFrame, products: Sequence[str]) -> DataFrame:
+def of_products(trades: DataFrame, products: Sequence[str] = (DEFAULT_PRODUCT,)) -> DataFrame:
     """Keep the subscribed products."""
     if "trade" in trades.columns:
         return trades.filter(F.try_variant_get("trade", "$.product_id", "string").isin(list(products)))

@@ -120,14 +120,21 @@ SILVER_SUITE = [
     Check("between", "price", {"column": "price", "low": PRICE_MIN, "high": PRICE_MAX}),
 ]
 
-VWAP_SUITE = [
-    Check("unique", "window_start", {"column": "window_start"}),
+
+def vwap_suite(key: Sequence[str] = ("window_start",)) -> list[Check]:
+    return [Check("unique", "window_start", {"column": list(key)}), *VWAP_ROW_CHECKS]
+
+
+def stats_suite(key: Sequence[str] = ("window_start",)) -> list[Check]:
+    return [Check("unique", "window_start", {"column": list(key)}), *STATS_ROW_CHECKS]
+
+
+VWAP_ROW_CHECKS = [
     *_not_null("window_start", "vwap", "total_volume", "trade_count", "high_price", "low_price"),
     Check("vwap_bounds", "vwap", {"vwap": "vwap_exact", "high": "high_price", "low": "low_price"}),
 ]
 
-STATS_SUITE = [
-    Check("unique", "window_start", {"column": "window_start"}),
+STATS_ROW_CHECKS = [
     *_not_null("window_start"),
     Check("between", "buy_volume_pct", {"column": "buy_volume_pct", "low": 0.0, "high": 100.0}),
     Check("pct_sum", "buy_volume_pct", {"buy": "buy_volume_pct"}),
@@ -137,7 +144,9 @@ STATS_SUITE = [
 def report(df: DataFrame, suite: Sequence[Check], table: str, changed: DataFrame | None = None) -> DataFrame:
     """table, check, column, failures, status; one row per check.
 
-    ``changed`` narrows the row-level checks to the part that may have changed.
+    ``changed`` is the part that may have changed since all checks passed. Row
+    checks then look at that part; a new duplicate must involve one of its keys,
+    so uniqueness looks at the rows of the table that share a key with it.
     """
     one_pass = [c for c in suite if c.name in _PREDICATES]
     others = [c for c in suite if c.name not in _PREDICATES]
@@ -150,7 +159,11 @@ def report(df: DataFrame, suite: Sequence[Check], table: str, changed: DataFrame
         ]
         parts.append(counts.select(F.inline(F.array(*entries))))
     for c in others:
-        failing = run(c.name, df, **c.params).agg(F.count(F.lit(1)).alias("failures"))
+        rows = df
+        if changed is not None and c.name == "unique":
+            keys = [c.params["column"]] if isinstance(c.params["column"], str) else c.params["column"]
+            rows = df.select(*keys).join(changed.select(*keys).distinct(), keys, "left_semi")
+        failing = run(c.name, rows, **c.params).agg(F.count(F.lit(1)).alias("failures"))
         parts.append(failing.select(F.lit(c.name).alias("check"), F.lit(c.label).alias("column"), "failures"))
     merged = reduce(DataFrame.unionByName, parts)
     return merged.select(

@@ -24,10 +24,10 @@ CHARTS = {
 }
 
 
-def chart(windows: DataFrame, name: str) -> DataFrame:
+def chart(windows: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """The columns one chart shows."""
     _, columns = CHARTS[name]
-    return windows.select("window_start", *columns())
+    return windows.select(*by, "window_start", *columns())
 
 
 def recent(spark: SparkSession, layout: Layout, name: str, as_of: datetime | None = None, minutes: int = 60) -> DataFrame:
@@ -37,10 +37,10 @@ def recent(spark: SparkSession, layout: Layout, name: str, as_of: datetime | Non
     """
     since = (as_of or datetime.now(UTC)) - timedelta(minutes=minutes)
     table, _ = CHARTS[name]
-    return chart(read_gold(spark, layout.lake(table), table, since=since), name).orderBy("window_start")
+    return chart(read_gold(spark, layout.lake(table), table, since=since, by=layout.by), name, layout.by).orderBy("window_start")
 
 
 def latest(spark: SparkSession, layout: Layout, name: str, n: int = 5) -> DataFrame:
     """The newest ``n`` windows, newest first (a distributed top-k)."""
     table, _ = CHARTS[name]
-    return chart(read_gold(spark, layout.lake(table), table), name).orderBy(F.desc("window_start")).limit(n)
+    return chart(read_gold(spark, layout.lake(table), table, by=layout.by), name, layout.by).orderBy(F.desc("window_start")).limit(n)

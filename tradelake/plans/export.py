@@ -40,15 +40,15 @@ class ExportFailed(RuntimeError):
         super().__init__(f"export failed for: {', '.join(failed)}")
 
 
-def publishable(rows: DataFrame, table: str) -> DataFrame:
+def publishable(rows: DataFrame, table: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Published columns, the directory names, and the refresh stamp."""
     shaped = published_vwap if table == VWAP_TABLE else published_stats
-    return with_date_parts(shaped(rows, by=["updated_at"])).select(*lake_schema(table).names, "updated_at")
+    return with_date_parts(shaped(rows, by=[*by, "updated_at"])).select(*lake_schema(table, by).names, "updated_at")
 
 
 def full_export(spark: SparkSession, layout: Layout, table: str) -> dict:
     """Write the whole table beside the dataset, then swap it in."""
-    rows = publishable(gold.read(spark, layout, safe_name(table)), table)
+    rows = publishable(gold.read(spark, layout, safe_name(table)), table, layout.by)
     return replace_table(spark, rows, layout.lake(table), DATE_PARTS, ["window_start"], stamp="updated_at")
 
 
@@ -63,7 +63,7 @@ def incremental_export(spark: SparkSession, layout: Layout, table: str, bookmark
     days = [row.window_date for row in stale]
     written = {"rows": 0, "days": set(), "newest": None}
     if days:
-        rows = publishable(on_days(source, "window_date", days), table)
+        rows = publishable(on_days(source, "window_date", days), table, layout.by)
         written = write_days(rows, layout.lake(table), DATE_PARTS, ["window_start"], stamp="updated_at")
     live = {tuple(day[0].split("-")) for day in partition_days(spark, layout.gold(table), ["window_date"])}
     for year, month, day in partition_days(spark, layout.lake(table), DATE_PARTS) - live:
@@ -73,7 +73,7 @@ def incremental_export(spark: SparkSession, layout: Layout, table: str, bookmark
 
 def row_count(spark: SparkSession, layout: Layout, table: str) -> int:
     """Rows in all files of an exported dataset (0 when there is none)."""
-    return read_table(spark, layout.lake(table), lake_schema(table)).count()
+    return read_table(spark, layout.lake(table), lake_schema(table, layout.by)).count()
 
 
 def replicate(spark: SparkSession, layout: Layout, table: str, days: set[tuple[str, str, str]], replica: str) -> None:
@@ -81,7 +81,7 @@ def replicate(spark: SparkSession, layout: Layout, table: str, days: set[tuple[s
     if not days:
         return
     touched = F.concat_ws("-", *DATE_PARTS).isin(["-".join(day) for day in days])
-    rows = read_table(spark, layout.lake(table), lake_schema(table)).filter(touched)
+    rows = read_table(spark, layout.lake(table), lake_schema(table, layout.by)).filter(touched)
     write_days(rows, Layout(replica).lake(table), DATE_PARTS, ["window_start"])
 
 

@@ -12,43 +12,44 @@ from tradelake.functions.dates import day_of
 from tradelake.operators.merge import merge_days
 from tradelake.operators.metrics import all_metrics, published_stats, published_vwap
 from tradelake.plans import state
-from tradelake.schemas import GOLD, STATS_TABLE, VWAP_TABLE, Layout
+from tradelake.schemas import STATS_TABLE, VWAP_TABLE, Layout, gold_schema
 from tradelake.sources.tables import (
     MAX_LISTED_DAYS, drop_days, exists, on_days, read_silver, read_table, replace_table, staged, write_days,
 )
 
 GOLD_STATE = "gold"
+TABLES: Sequence[str] = (VWAP_TABLE, STATS_TABLE)
 
 
-def gold_rows(silver: DataFrame, refreshed_at: datetime) -> DataFrame:
+def gold_rows(silver: DataFrame, refreshed_at: datetime, by: tuple[str, ...] = ()) -> DataFrame:
     """Both tables' columns per minute, stamped with the refresh time.
 
     ``updated_at`` tells the export which days to publish again. It is the
     refresh time rather than the newest arrival, because a window also changes
     when a trade leaves it.
     """
-    return all_metrics(silver).withColumns({
+    return all_metrics(silver, by=by).withColumns({
         "updated_at": F.lit(refreshed_at), "window_date": day_of("window_start"),
     })
 
 
 def read(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """A gold table with its internal columns."""
-    return read_table(spark, layout.gold(table), GOLD[table])
+    return read_table(spark, layout.gold(table), gold_schema(table, layout.by))
 
 
 def published(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """A gold table as readers see it."""
     rows = read(spark, layout, table)
-    return published_vwap(rows) if table == VWAP_TABLE else published_stats(rows)
+    return published_vwap(rows, layout.by) if table == VWAP_TABLE else published_stats(rows, layout.by)
 
 
 def rebuild(spark: SparkSession, layout: Layout, run_at: datetime) -> int:
     """Full rebuild of both tables from one aggregation, each swapped in whole."""
     _, newest = state.changed_days(spark, layout)
-    with staged(gold_rows(read_silver(spark, layout.silver), run_at), "gold-all") as rows:
-        for table, schema in GOLD.items():
-            replace_table(spark, rows.select(*schema.names), layout.gold(table), "window_date", ["window_start"])
+    with staged(gold_rows(read_silver(spark, layout.silver), run_at, layout.by), "gold-all") as rows:
+        for table in TABLES:
+            replace_table(spark, rows.select(*gold_schema(table, layout.by).names), layout.gold(table), "window_date", ["window_start"])
         windows = rows.count()
     state.set_bookmark(spark, layout, GOLD_STATE, newest)
     return windows
@@ -62,7 +63,7 @@ def refresh(spark: SparkSession, layout: Layout, run_at: datetime) -> list[date]
     the day partitions; nothing is joined.
     """
     since = state.bookmark(spark, layout, GOLD_STATE)
-    if since is None or not all(exists(spark, layout.gold(table)) for table in GOLD):
+    if since is None or not all(exists(spark, layout.gold(table)) for table in TABLES):
         rebuild(spark, layout, run_at)
         return state.changed_days(spark, layout)[0]
     days, newest = state.changed_days(spark, layout, since)
@@ -71,9 +72,9 @@ def refresh(spark: SparkSession, layout: Layout, run_at: datetime) -> list[date]
         return days
     if days:
         silver = on_days(read_silver(spark, layout.silver), "trade_date", days)
-        with staged(gold_rows(silver, run_at), "gold-days") as rows:
-            for table, schema in GOLD.items():
-                written = write_days(rows.select(*schema.names), layout.gold(table), "window_date", ["window_start"])
+        with staged(gold_rows(silver, run_at, layout.by), "gold-days") as rows:
+            for table in TABLES:
+                written = write_days(rows.select(*gold_schema(table, layout.by).names), layout.gold(table), "window_date", ["window_start"])
                 drop_days(spark, layout.gold(table), "window_date", sorted(set(days) - written["days"]))
     state.set_bookmark(spark, layout, GOLD_STATE, newest)
     return days
@@ -81,10 +82,7 @@ def refresh(spark: SparkSession, layout: Layout, run_at: datetime) -> list[date]
 
 def upsert_windows(windows: DataFrame, layout: Layout, table: str = VWAP_TABLE) -> None:
     """Replace single windows of one table by key (the streaming sink's step)."""
-    schema = GOLD[table]
+    schema = gold_schema(table, layout.by)
     with staged(windows.select(*schema.names), "windows") as rows:
         days = [row.window_date for row in rows.select("window_date").distinct().collect()]
-        merge_days(rows, layout.gold(table), schema, "window_start", "window_date", days, ["window_start"])
-
-
-TABLES: Sequence[str] = (VWAP_TABLE, STATS_TABLE)
+        merge_days(rows, layout.gold(table), schema, layout.window_key, "window_date", days, ["window_start"])

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tradelake.functions.windows import EPOCH_BOOKMARK, aware
-from tradelake.operators.quality import SILVER_SUITE, STATS_SUITE, VWAP_SUITE, report
+from tradelake.operators.quality import SILVER_SUITE, report, stats_suite, vwap_suite
 from tradelake.plans import gold, silver, state
 from tradelake.plans.export import ExportReport, run_export
 from tradelake.schemas import SILVER_TABLE, STATS_TABLE, VWAP_TABLE, Layout
@@ -34,13 +34,13 @@ def quality_report(spark: SparkSession, layout: Layout, days: list | None = None
     """Every declared check of the three tables.
 
     With ``days``, the row-level checks look at those day partitions only: rows
-    elsewhere have not changed since they were last checked. Uniqueness always
-    looks at the keys of the whole table.
+    elsewhere have not changed since they were last checked. Uniqueness looks at
+    every row of the table whose key occurs on those days.
     """
     tables = {
         SILVER_TABLE: (read_silver(spark, layout.silver), "trade_date", SILVER_SUITE),
-        VWAP_TABLE: (gold.read(spark, layout, VWAP_TABLE), "window_date", VWAP_SUITE),
-        STATS_TABLE: (gold.read(spark, layout, STATS_TABLE), "window_date", STATS_SUITE),
+        VWAP_TABLE: (gold.read(spark, layout, VWAP_TABLE), "window_date", vwap_suite(layout.window_key)),
+        STATS_TABLE: (gold.read(spark, layout, STATS_TABLE), "window_date", stats_suite(layout.window_key)),
     }
     parts = []
     for name, (rows, partition, suite) in tables.items():

@@ -127,10 +127,18 @@ DATE_PARTS = ("year", "month", "day")
 _SAFE_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
-def lake_schema(table: str) -> T.StructType:
+def _texts(names) -> list[T.StructField]:
+    return [T.StructField(name, T.StringType(), True) for name in names]
+
+
+def gold_schema(table: str, by: tuple[str, ...] = ()) -> T.StructType:
+    """A gold table's columns, led by the extra key columns."""
+    return T.StructType([*_texts(by), *GOLD[table].fields])
+
+
+def lake_schema(table: str, by: tuple[str, ...] = ()) -> T.StructType:
     """Published columns plus the text date parts that name the directories."""
-    parts = [T.StructField(part, T.StringType(), True) for part in DATE_PARTS]
-    return T.StructType([*PUBLISHED[table].fields, *parts])
+    return T.StructType([*_texts(by), *PUBLISHED[table].fields, *_texts(DATE_PARTS)])
 
 
 def safe_name(name: str) -> str:
@@ -142,9 +150,18 @@ def safe_name(name: str) -> str:
 
 @dataclass(frozen=True)
 class Layout:
-    """Where each table lives below one Hadoop URI."""
+    """Where each table lives below one Hadoop URI.
+
+    ``by=("product_id",)`` keys the metrics by product and window, for a tape of
+    several products; by default a window is the key.
+    """
 
     base: str
+    by: tuple[str, ...] = ()
+
+    @property
+    def window_key(self) -> list[str]:
+        return [*self.by, "window_start"]
 
     def _at(self, *parts: str) -> str:
         return "/".join([self.base.rstrip("/"), *parts])

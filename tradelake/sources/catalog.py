@@ -15,5 +15,5 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     Register again after an export so that new files are listed.
     """
     for table, view in VIEW_NAMES.items():
-        read_gold(spark, layout.lake(table), table).createOrReplaceTempView(view)
+        read_gold(spark, layout.lake(table), table, by=layout.by).createOrReplaceTempView(view)
     return list(VIEW_NAMES.values())

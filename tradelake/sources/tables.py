@@ -81,12 +81,12 @@ def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, QUARANTINE)
 
 
-def read_gold(spark: SparkSession, root: str, table: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+def read_gold(spark: SparkSession, root: str, table: str, since: datetime | None = None, until: datetime | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Published windows with ``since < window_start`` and ``window_start < until``.
 
     The time bound alone prunes no directory, so the day bound goes with it.
     """
-    df = read_table(spark, root, lake_schema(table))
+    df = read_table(spark, root, lake_schema(table, by))
     if since is not None:
         df = df.filter(date_parts_from(since) & (F.col("window_start") > F.lit(since)))
     if until is not None:

@@ -14,7 +14,7 @@ from tradelake.schemas import VWAP_TABLE, Layout
 from tradelake.streaming.options import LATENESS, trigger
 
 
-def vwap_windows(trades: DataFrame, length: str = "1 minute", lateness: str = LATENESS) -> DataFrame:
+def vwap_windows(trades: DataFrame, length: str = "1 minute", lateness: str = LATENESS, by: tuple[str, ...] = ()) -> DataFrame:
     """Tumbling VWAP windows over event time.
 
     ``window()`` keeps the watermark (``date_trunc`` would lose it). The
@@ -23,11 +23,11 @@ def vwap_windows(trades: DataFrame, length: str = "1 minute", lateness: str = LA
     windows = (
         trades.withColumn("traded_at", F.col("traded_at").cast("timestamp"))
         .withWatermark("traded_at", lateness)
-        .groupBy(F.window("traded_at", length).alias("w"))
+        .groupBy(*by, F.window("traded_at", length).alias("w"))
         .agg(*vwap_measures())
     )
     return windows.select(
-        F.col("w.start").alias("window_start"),
+        *by, F.col("w.start").alias("window_start"),
         share(F.col("notional"), F.col("total_volume")).alias("vwap"),
         exact_share(F.col("notional"), F.col("total_volume")).alias("vwap_exact"),
         "notional", "total_volume", "trade_count", "high_price", "low_price",
