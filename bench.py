@@ -52,11 +52,18 @@ def landed_frames(spark, folder: str):
     return read_frames(spark, path)
 
 
+def landed(messages):
+    """Messages as a broker hands them over: spread over its partitions."""
+    path = scratch_path(messages.sparkSession, "bench-messages")
+    messages.repartition(8).write.parquet(path)
+    return messages.sparkSession.read.parquet(path)
+
+
 def layered_run(spark, folder: str, frames) -> dict[str, float]:
     """One pass bronze -> silver -> gold -> lake, then a second delivery."""
     layout = common.new_layout(spark, "bench")
-    trades = common.payloads(common.event_trades(spark, folder))
-    again = common.payloads(common.second_delivery(spark, folder))
+    trades = landed(common.payloads(common.event_trades(spark, folder)))
+    again = landed(common.payloads(common.second_delivery(spark, folder)))
     first, second = common.FIRST_ARRIVAL, common.SECOND_ARRIVAL
     return {
         "write_bronze_append": timed(lambda: bronze.append(spark, layout, trades, first)),

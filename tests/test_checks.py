@@ -15,7 +15,7 @@ from tradelake.operators import quality
 from tradelake.operators.absent import absent_rows
 from tradelake.operators.metrics import all_metrics, vwap
 from tradelake.operators.rolling import rolling_vwap
-from tradelake.plans import bronze, export, gold, refresh, silver
+from tradelake.plans import bronze, dashboards, export, gold, refresh, silver
 from tradelake.schemas import VWAP_TABLE
 from tradelake.sources.tables import on_days, read_bronze, read_gold, read_silver
 from tradelake.streaming.options import LATENESS
@@ -127,7 +127,10 @@ def test_plans(spark, layout):
     text = plan(on_days(read_silver(spark, layout.silver), "trade_date", [at(10).date()]).select("price"))
     assert "trade_date" in text.split("PartitionFilters: [")[1].split("]")[0]
     # the newest windows are a top-k, not a sort
-    assert "TakeOrderedAndProject" in plan(read_gold(spark, layout.lake(VWAP_TABLE), VWAP_TABLE).orderBy(F.desc("window_start")).limit(5))
+    text = plan(dashboards.latest(spark, layout, "vwap", 1))
+    assert "TakeOrderedAndProject" in text and "PartitionFilters: [(struct(year" in text
+    text = plan(read_gold(spark, layout.lake(VWAP_TABLE), VWAP_TABLE, until=at(11)))
+    assert "<= [2026,04,11]" in text.split("PartitionFilters: [")[1] and "LessThan(window_start" in text
     # the big side of insert-if-absent is only ever the probe side
     text = plan(absent_rows(arrivals.select("payload", "trade_id", "received_at"), read_bronze(spark, layout.bronze)))
     assert "LeftSemi, BuildRight" in text and "LeftAnti" in text

@@ -153,3 +153,4 @@ def test_charts(spark, layout):
     shares = dashboards.recent(spark, layout, "pressure", as_of=as_of)
     assert shares.filter(F.abs(F.col("buy_volume_pct") + F.col("sell_volume_pct") - 100) > 0.001).count() == 0
     assert dashboards.recent(spark, layout, "vwap", as_of=as_of, minutes=180).count() == 11
+    assert dashboards.latest(spark, layout, "vwap", n=50).count() == 11

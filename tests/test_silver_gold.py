@@ -96,6 +96,14 @@ def test_arrivals_committed_late_are_picked_up(spark, layout):
     assert [r[0] for r in silver_rows(spark, layout)] == ["a", "b"]
 
 
+def test_redelivery_bound_skips_older_arrivals(spark, layout):
+    deliver(spark, layout, [payload("a", price=1)], at(1))
+    deliver(spark, layout, [payload("b", price=1)], at(9))
+    bronze.append(spark, layout, payloads(spark, [payload("b", price=2)]), at(10), keep="all")
+    assert silver.upsert(spark, layout, at(10, 1), redelivery_days=2).inserted_or_changed == 1
+    assert {r[0]: int(r[2]) for r in silver_rows(spark, layout)} == {"a": 1, "b": 2}
+
+
 def test_new_days_are_appended_not_rewritten(spark, layout):
     deliver(spark, layout, [payload("a", time=at(10))], at(20))
     files = set(spark.read.parquet(layout.silver).inputFiles())

@@ -65,11 +65,13 @@ def test_ingest_isolates_poison_and_survives_restart(spark, layout, tmp_path):
     landing = tmp_path / "landing"
     land(landing, "1.txt", [frame(changed(trade_id="a"), changed(trade_id="b", side="hold")), "garbage", frame(changed(trade_id="c"), 5)])
     source = stream_frames(spark, str(landing), max_files_per_trigger=1)
-    run = lambda: start_ingest(source, layout, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    reports = []
+    run = lambda: start_ingest(source, layout, str(tmp_path / "cp"), available_now=True, on_batch=reports.append).awaitTermination()
     run()
     land(landing, "2.txt", [frame(changed(trade_id="c"), changed(trade_id="d", side="SELL"))])
     run()
     assert sorted(r.trade_id for r in read_bronze(spark, layout.bronze).collect()) == ["a", "c", "d"]
+    assert [(r.received, r.valid, r.invalid, r.inserted, r.duplicates) for r in reports] == [(4, 2, 2, 2, 0), (2, 2, 0, 1, 1)]
     reasons = sorted(r.reasons[0] for r in read_quarantine(spark, layout.quarantine).collect())
     assert reasons == ["frame_not_json", "side_unknown", "trade_not_object"]
     silver.upsert(spark, layout, at(30))

@@ -57,9 +57,18 @@ def date_parts_from(since: datetime | date) -> Column:
     """Partition predicate: directories on or after the day of ``since``."""
     if isinstance(since, datetime) and since.tzinfo is not None:
         since = since.astimezone(UTC)
-    return F.struct(*DATE_PARTS) >= F.struct(
-        F.lit(f"{since.year:04d}"), F.lit(f"{since.month:02d}"), F.lit(f"{since.day:02d}")
-    )
+    return F.struct(*DATE_PARTS) >= _part_values(since)
+
+
+def date_parts_until(until: datetime | date) -> Column:
+    """Partition predicate: directories on or before the day of ``until``."""
+    if isinstance(until, datetime) and until.tzinfo is not None:
+        until = until.astimezone(UTC)
+    return F.struct(*DATE_PARTS) <= _part_values(until)
+
+
+def _part_values(day: datetime | date) -> Column:
+    return F.struct(F.lit(f"{day.year:04d}"), F.lit(f"{day.month:02d}"), F.lit(f"{day.day:02d}"))
 
 
 def bookmark_max(df: DataFrame, ts: str) -> DataFrame:

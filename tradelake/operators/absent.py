@@ -21,11 +21,12 @@ def known_ids(table: DataFrame, batch: DataFrame, key: str = "trade_id") -> Data
     return table.select(key).join(mentioned, key, "left_semi")
 
 
-def absent_rows(batch: DataFrame, table: DataFrame, key: str = "trade_id", by: str = "received_at", ties: Sequence[str] | None = None) -> DataFrame:
+def absent_rows(batch: DataFrame, table: DataFrame, key: str = "trade_id", by: str = "received_at", ties: Sequence[str] | None = None, null_keys: bool = True) -> DataFrame:
     """Rows whose key is neither in ``table`` nor earlier in the batch.
 
     NULL keys never conflict; they take their own branch and are not shuffled.
+    ``null_keys=False`` says that there are none and saves that branch.
     """
     first = earliest(batch.filter(F.col(key).isNotNull()), key, by, ties)
     new = first.join(known_ids(table, batch, key), key, "left_anti").select(*batch.columns)
-    return new.union(batch.filter(F.col(key).isNull()))
+    return new.union(batch.filter(F.col(key).isNull())) if null_keys else new

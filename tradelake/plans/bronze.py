@@ -56,12 +56,13 @@ def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: d
     stored = read_bronze(spark, layout.bronze)
     if redelivery_days is not None:
         stored = stored.filter(F.col("received_date") >= F.lit((received_at - timedelta(days=redelivery_days)).date()))
+    counts = arrivals.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("trade_id").isNull()).alias("nulls")).first()
     inserted = Observation()
     (
-        (arrivals if keep == "all" else absent_rows(arrivals, stored))
+        (arrivals if keep == "all" else absent_rows(arrivals, stored, null_keys=counts.nulls > 0))
         .observe(inserted, F.count(F.lit(1)).alias("rows"))
         .write.mode("append")
         .partitionBy("received_date")
         .parquet(layout.bronze)
     )
-    return IngestReport(attempted=batch.count(), inserted=inserted.get.get("rows") or 0)
+    return IngestReport(attempted=counts.rows, inserted=inserted.get.get("rows") or 0)

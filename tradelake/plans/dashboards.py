@@ -7,8 +7,8 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.schemas import STATS_TABLE, VWAP_TABLE, Layout
-from tradelake.sources.tables import read_gold
+from tradelake.schemas import DATE_PARTS, STATS_TABLE, VWAP_TABLE, Layout
+from tradelake.sources.tables import partition_days, read_gold
 
 
 def _sell_share():
@@ -41,6 +41,15 @@ def recent(spark: SparkSession, layout: Layout, name: str, as_of: datetime | Non
 
 
 def latest(spark: SparkSession, layout: Layout, name: str, n: int = 5) -> DataFrame:
-    """The newest ``n`` windows, newest first (a distributed top-k)."""
+    """The newest ``n`` windows, newest first (a distributed top-k).
+
+    A day directory holds at least one window, so the newest ``n`` directories
+    hold them all, and only those are read.
+    """
     table, _ = CHARTS[name]
-    return chart(read_gold(spark, layout.lake(table), table, by=layout.by), name, layout.by).orderBy(F.desc("window_start")).limit(n)
+    dated = [day for day in partition_days(spark, layout.lake(table), DATE_PARTS) if day[0].isdigit()]
+    days = sorted(dated, reverse=True)[:n]
+    windows = read_gold(spark, layout.lake(table), table, by=layout.by)
+    if days:
+        windows = windows.filter(F.struct(*DATE_PARTS) >= F.struct(*[F.lit(part) for part in days[-1]]))
+    return chart(windows, name, layout.by).orderBy(F.desc("window_start")).limit(n)

@@ -124,10 +124,13 @@ def rebuild(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "
     return UpsertReport(days, written["rows"], broken, True)
 
 
-def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "strict", overlap: timedelta = OVERLAP) -> UpsertReport:
+def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "strict", overlap: timedelta = OVERLAP, redelivery_days: int | None = None) -> UpsertReport:
     """Bring silver up to date with the arrivals since the last run.
 
-    The result equals a full rebuild. Days that only gain trades get appended
+    The result equals a full rebuild. ``redelivery_days`` states that no version
+    of a trade arrives more than that many days after the one before; stored
+    files with older arrivals only are then skipped by their ranges. By default
+    every stored id is consulted. Days that only gain trades get appended
     files; only days that hold an older version of a trade are rewritten, also
     when the newer version moved to another day.
     """
@@ -142,7 +145,10 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
     seen = Observation()
     incoming = _silver_columns(latest_trades(_typed(arrivals, mode, seen)))
     mentioned = arrivals.select("trade_id").filter("trade_id is not null").distinct()
-    stored = read_silver(spark, layout.silver).join(mentioned, "trade_id", "left_semi").select(
+    older = read_silver(spark, layout.silver)
+    if redelivery_days is not None:
+        older = older.filter(F.col("ingested_at") >= F.lit(since - overlap - timedelta(days=redelivery_days)))
+    stored = older.join(mentioned, "trade_id", "left_semi").select(
         "trade_id", F.col("trade_date").alias("_old_date"), F.struct(*RECENCY).alias("_old")
     )
     newer = F.col("_old").isNull() | (F.struct(*RECENCY) > F.col("_old"))

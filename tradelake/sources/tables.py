@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.functions.windows import between_windows, date_parts_from, from_micros
+from tradelake.functions.windows import between_windows, date_parts_from, date_parts_until, from_micros
 from tradelake.schemas import BRONZE, QUARANTINE, SILVER, lake_schema
 from tradelake.session import scratch_path
 
@@ -90,7 +90,7 @@ def read_gold(spark: SparkSession, root: str, table: str, since: datetime | None
     if since is not None:
         df = df.filter(date_parts_from(since) & (F.col("window_start") > F.lit(since)))
     if until is not None:
-        df = df.filter(F.col("window_start") < F.lit(until))
+        df = df.filter(date_parts_until(until) & (F.col("window_start") < F.lit(until)))
     return df
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradelake.functions.windows import utc_now
 from tradelake.operators.flatten import of_products, on_channel, trades_of
-from tradelake.operators.validate import accepted, rejected, validate
+from tradelake.operators.validate import accepted, health_counts, rejected, validate
 from tradelake.plans import bronze
 from tradelake.plans.quarantine import quarantine
 from tradelake.schemas import Layout
@@ -20,7 +21,19 @@ from tradelake.sources.wire import to_wire
 from tradelake.streaming.options import trigger
 
 
-def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Sequence[str] | None = None, redelivery_days: int | None = None) -> bronze.IngestReport:
+@dataclass(frozen=True)
+class FeedReport:
+    """Counts of one batch: trade records seen, and what became of them."""
+
+    batch_id: str
+    received: int
+    valid: int
+    invalid: int
+    inserted: int
+    duplicates: int
+
+
+def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Sequence[str] | None = None, redelivery_days: int | None = None) -> FeedReport:
     """One batch of raw frames: flatten, validate, quarantine, append.
 
     The parsed frames are kept for the two outputs; a lost executor recomputes
@@ -33,21 +46,26 @@ def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Se
         trades = of_products(trades, products)
     checked = validate(trades).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        health = health_counts(checked).first()
         aside = bad_frames(parsed).unionByName(rejected(checked))
         quarantine(aside.withColumns({"received_at": F.lit(received_at), "batch_id": F.lit(batch_id)}), layout)
-        return bronze.append(frames.sparkSession, layout, to_wire(accepted(checked)), received_at, redelivery_days)
+        stored = bronze.append(frames.sparkSession, layout, to_wire(accepted(checked)), received_at, redelivery_days)
+        return FeedReport(batch_id, *health, stored.inserted, stored.duplicates)
     finally:
         checked.unpersist()
 
 
-def start_ingest(frames: DataFrame, layout: Layout, checkpoint: str, name: str = "ingest", products: Sequence[str] | None = None, redelivery_days: int | None = None, available_now: bool = False) -> StreamingQuery:
+def start_ingest(frames: DataFrame, layout: Layout, checkpoint: str, name: str = "ingest", products: Sequence[str] | None = None, redelivery_days: int | None = None, available_now: bool = False, on_batch: Callable[[FeedReport], None] | None = None) -> StreamingQuery:
     """Run ``ingest_frames`` for every micro-batch of a stream.
 
     The source position is committed only after a batch is stored. A batch that
     is replayed finds its ids in bronze and its quarantine partition in place.
+    ``on_batch`` receives the counts of each stored batch.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        ingest_frames(batch.select(F.col("raw")), layout, f"{name}-{batch_id:012d}", products, redelivery_days)
+        report = ingest_frames(batch.select("raw"), layout, f"{name}-{batch_id:012d}", products, redelivery_days)
+        if on_batch:
+            on_batch(report)
 
     return (
         frames.writeStream.option("checkpointLocation", checkpoint)
