@@ -67,7 +67,7 @@ _SUITE = [
     ("stg_trades", "unique", "trade_id", "0"),
     *[("stg_trades", "not_null", c, "0") for c in ("trade_id", "price", "size", "side", "traded_at", "ingested_at")],
     ("stg_trades", "accepted_values", "side", "0"),
-    ("stg_trades", "between", "price", "0"),
+    ("stg_trades", "between", "price", "(SELECT count(*) FROM delivered WHERE price NOT BETWEEN 0.00000001 AND 1000000)"),
     ("gold_vwap_1min", "unique", "window_start", "0"),
     *[("gold_vwap_1min", "not_null", c, "0") for c in ("window_start", "total_volume", "trade_count", "high_price", "low_price")],
     ("gold_vwap_1min", "not_null", "vwap", "(SELECT count(*) FROM w WHERE v = 0)"),

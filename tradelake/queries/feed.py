@@ -43,12 +43,14 @@ _LISTED = """listed AS (SELECT * FROM trades WHERE NOT (
 flat AS (SELECT trade_id, side, product_id, price::DOUBLE AS price FROM listed
   UNION ALL SELECT trade_id || '-m', CASE WHEN side = 'buy' THEN 'sell' ELSE 'buy' END, product_id, price::DOUBLE FROM listed)"""
 
-_REASON = """CASE k WHEN 0 THEN 'size_not_positive' WHEN 1 THEN 'trade_id_empty' WHEN 2 THEN 'side_unknown'
-  WHEN 3 THEN 'price_not_positive' WHEN 4 THEN 'size_not_positive' WHEN 5 THEN 'time_without_zone'
-  WHEN 6 THEN 'price_is_float' WHEN 8 THEN 'side_not_text' WHEN 9 THEN 'price_missing'
-  WHEN 10 THEN 'trade_id_not_text' WHEN 11 THEN 'price_out_of_range' END"""
-
-_STATUS = f"status AS (SELECT *, {_REASON} AS reason FROM trades)"
+# The rules in the order they are listed; real prices and sizes may be zero too.
+_STATUS = """status AS (SELECT *, concat_ws(',',
+  CASE k WHEN 1 THEN 'trade_id_empty' WHEN 10 THEN 'trade_id_not_text' END,
+  CASE WHEN k = 3 THEN 'price_not_positive' WHEN k = 6 THEN 'price_is_float' WHEN k = 9 THEN 'price_missing'
+       WHEN k = 11 THEN 'price_out_of_range' WHEN price <= 0 THEN 'price_not_positive' END,
+  CASE WHEN k = 4 OR size <= 0 THEN 'size_not_positive' END,
+  CASE k WHEN 2 THEN 'side_unknown' WHEN 8 THEN 'side_not_text' END,
+  CASE k WHEN 5 THEN 'time_without_zone' END) AS reasons FROM trades)"""
 
 SQL = {
     "feed_flatten": f"WITH {TRADES}, {_LISTED} SELECT * FROM flat",
@@ -57,14 +59,14 @@ SELECT '{{"channel":"market_trades","events":[' || trade_id AS raw, 'frame_not_j
 UNION ALL SELECT '[1,2,3]', 'frame_not_object' FROM trades WHERE product_id = 'click' AND k >= 10 AND k < 20""",
     "feed_products": f"WITH {TRADES}, {_LISTED} SELECT * FROM flat WHERE product_id IN ('signup', 'view')",
     "validate_accept": f"""WITH {TRADES}, {_STATUS}
-SELECT trade_id, product_id, price::DOUBLE AS price, size::DOUBLE AS size, side, traded_at FROM status WHERE reason IS NULL""",
+SELECT trade_id, product_id, price::DOUBLE AS price, size::DOUBLE AS size, side, traded_at FROM status WHERE reasons = ''""",
     "validate_reject_reasons": f"""WITH {TRADES}, {_STATUS}
-SELECT strftime(traded_at, '%Y-%m-%dT%H:%M:%S.%f') || CASE WHEN k = 5 THEN '' ELSE 'Z' END AS time, reason AS reasons
-FROM status WHERE reason IS NOT NULL""",
+SELECT strftime(traded_at, '%Y-%m-%dT%H:%M:%S.%f') || CASE WHEN k = 5 THEN '' ELSE 'Z' END AS time, reasons
+FROM status WHERE reasons <> ''""",
     "feed_health_counts": f"""WITH {TRADES}, {_STATUS}
-SELECT count(*) AS received, count(*) FILTER (WHERE reason IS NULL) AS valid, count(*) FILTER (WHERE reason IS NOT NULL) AS invalid FROM status""",
+SELECT count(*) AS received, count(*) FILTER (WHERE reasons = '') AS valid, count(*) FILTER (WHERE reasons <> '') AS invalid FROM status""",
     "reject_counts": f"""WITH {TRADES}, {_STATUS}
-SELECT reason, count(*) AS records FROM status WHERE reason IS NOT NULL GROUP BY reason""",
+SELECT reason, count(*) AS records FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM status WHERE reasons <> '') GROUP BY reason""",
     "quarantine_rows": f"""WITH {TRADES}, {_STATUS}
-SELECT CAST(1 AS INTEGER) AS broken, count(*) AS records, count(*) AS with_text FROM status WHERE reason IS NOT NULL HAVING count(*) > 0""",
+SELECT CAST(len(string_split(reasons, ',')) AS INTEGER) AS broken, count(*) AS records, count(*) AS with_text FROM status WHERE reasons <> '' GROUP BY ALL""",
 }

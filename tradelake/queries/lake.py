@@ -133,7 +133,8 @@ SELECT 'gold_vwap_1min' AS table_name, count(*) AS row_total FROM w UNION ALL SE
     "union_by_name_view": f"""WITH {TRADES}, w AS ({vwap_sql('hour')})
 SELECT window_start, vwap, total_volume, CASE WHEN low_price < 2 THEN NULL ELSE trade_count END AS trade_count, high_price, low_price FROM w""",
     "refresh_gated": f"""WITH {TRADES}, w AS (SELECT date_trunc('minute', traded_at) AS m, sum(size) AS v FROM trades GROUP BY ALL),
-f AS (SELECT count(*) FILTER (WHERE v = 0) AS failures, count(*) AS windows FROM w)
+f AS (SELECT count(*) FILTER (WHERE v = 0) + (SELECT count(*) FROM trades WHERE price NOT BETWEEN 0.00000001 AND 1000000) AS failures,
+  count(*) AS windows FROM w)
 SELECT failures = 0 AS published, failures, (SELECT count(*) FROM trades) AS trades, CASE WHEN failures = 0 THEN windows ELSE 0 END AS exported FROM f""",
     **{f"dash_{name}_recent": f"""WITH {TRADES}, {cte} SELECT {columns} FROM w
 WHERE window_start > (SELECT max(window_start) + INTERVAL 1 MINUTE - INTERVAL 24 HOURS FROM w) ORDER BY window_start"""

@@ -69,11 +69,11 @@ SQL = {
     "stream_vwap": f"WITH {TRADES} {vwap_sql('minute')}",
     "stream_vwap_hour": f"WITH {TRADES} {vwap_sql('hour')}",
     "stream_dedup": f"WITH {TRADES} SELECT trade_id, product_id, price::DOUBLE AS price, size::DOUBLE AS size, side, traded_at FROM trades",
-    "stream_ingest": f"WITH {TRADES}, {_LISTED} SELECT * FROM flat WHERE trade_id NOT IN (SELECT f.trade_id FROM flat f JOIN trades t ON f.trade_id IN (t.trade_id, t.trade_id || '-m') WHERE t.k = 0)",
+    "stream_ingest": f"""WITH {TRADES}, {_LISTED}
+SELECT f.* FROM flat f JOIN trades t ON replace(f.trade_id, '-m', '') = t.trade_id WHERE t.k > 0 AND t.price > 0""",
     "stream_quarantine": f"""WITH {TRADES}, {_LISTED}
 SELECT 'frame_not_json' AS reason, count(*) AS records FROM trades WHERE product_id = 'error' AND k < 30 HAVING count(*) > 0
 UNION ALL SELECT 'frame_not_object', count(*) FROM trades WHERE product_id = 'click' AND k >= 10 AND k < 20 HAVING count(*) > 0
-UNION ALL SELECT 'size_not_positive', 2 * count(*) FROM listed WHERE k = 0 HAVING count(*) > 0""",
+UNION ALL SELECT 'size_not_positive', 2 * count(*) FROM listed WHERE k = 0 HAVING count(*) > 0
+UNION ALL SELECT 'price_not_positive', 2 * count(*) FROM listed WHERE price <= 0 HAVING count(*) > 0""",
 }
-SQL["stream_ingest"] = f"""WITH {TRADES}, {_LISTED}
-SELECT f.* FROM flat f JOIN trades t ON replace(f.trade_id, '-m', '') = t.trade_id WHERE t.k > 0"""
