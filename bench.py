@@ -1,6 +1,7 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query runs once to warm up and then $BENCH_RUNS times; the median counts.
+Reads run once to warm up and then $BENCH_RUNS times, the median counts; streams run
+once after the warm-up; of two passes of the write steps the better one counts.
 Read-side queries are drained to a no-op sink, write-side ones write a new lake.
 """
 
