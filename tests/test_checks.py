@@ -12,7 +12,7 @@ from trades import payload, payloads, sorted_rows
 
 from tradelake.functions.windows import after_bookmark, between_windows, bookmark_max
 from tradelake.operators import quality
-from tradelake.operators.absent import absent_rows
+from tradelake.operators.absent import BROADCAST_BYTES, absent_rows, id_bytes
 from tradelake.operators.metrics import all_metrics, vwap
 from tradelake.operators.rolling import rolling_vwap
 from tradelake.plans import bronze, dashboards, export, gold, refresh, silver
@@ -131,7 +131,15 @@ def test_plans(spark, layout):
     assert "TakeOrderedAndProject" in text and "PartitionFilters: [(struct(year" in text
     text = plan(read_gold(spark, layout.lake(VWAP_TABLE), VWAP_TABLE, until=at(11)))
     assert "<= [2026,04,11]" in text.split("PartitionFilters: [")[1] and "LessThan(window_start" in text
-    # the big side of insert-if-absent is only ever the probe side
-    text = plan(absent_rows(arrivals.select("payload", "trade_id", "received_at"), read_bronze(spark, layout.bronze)))
-    assert "LeftSemi, BuildRight" in text and "LeftAnti" in text
+    # batch ids are broadcast by measured size only; beyond the bound they are shuffled
+    batch = arrivals.select("payload", "trade_id", "received_at")
+    assert batch.agg(id_bytes()).first()[0] == 2 * 65 and batch.limit(0).agg(id_bytes()).first()[0] == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for size, joined in [(130, "BroadcastHashJoin"), (BROADCAST_BYTES + 1, "SortMergeJoin"), (None, "SortMergeJoin")]:
+            rows = absent_rows(batch, read_bronze(spark, layout.bronze), measured_bytes=size)
+            semi = next(line for line in plan(rows).splitlines() if "LeftSemi" in line)
+            assert joined in semi and rows.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert gold.TABLES[0] == VWAP_TABLE

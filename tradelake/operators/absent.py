@@ -4,29 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.operators.dedup import earliest
 
 
-def known_ids(table: DataFrame, batch: DataFrame, key: str = "trade_id") -> DataFrame:
-    """Ids of ``table`` that the batch mentions.
+# Ids are broadcast up to this measured size, and shuffled beyond it.
+BROADCAST_BYTES = 128 * 1024 * 1024
+ROW_OVERHEAD = 64
 
-    The batch is the right side of a semi join, so Spark can broadcast its ids
-    when they are small, or put a runtime bloom filter on the table scan; a plain
-    anti join would always shuffle every id of the table.
+
+def id_bytes(key: str = "trade_id") -> Column:
+    """Upper estimate of a hash table of the ids, as an aggregate over the batch."""
+    size = F.sum(F.octet_length(key) + F.lit(ROW_OVERHEAD).cast("bigint"))
+    return F.coalesce(size, F.lit(0).cast("bigint"))
+
+
+def mentioned_ids(batch: DataFrame, measured_bytes: int | None, key: str = "trade_id") -> DataFrame:
+    """Distinct ids of the batch, to be the right side of a semi join.
+
+    Their measured size decides: small ones go to every task of the big scan,
+    larger ones (or unmeasured ones) are left to Spark's own choice.
     """
-    mentioned = batch.select(key).filter(F.col(key).isNotNull()).distinct()
-    return table.select(key).join(mentioned, key, "left_semi")
+    ids = batch.select(key).filter(F.col(key).isNotNull()).distinct()
+    small = measured_bytes is not None and measured_bytes <= BROADCAST_BYTES
+    return F.broadcast(ids) if small else ids
 
 
-def absent_rows(batch: DataFrame, table: DataFrame, key: str = "trade_id", by: str = "received_at", ties: Sequence[str] | None = None, null_keys: bool = True) -> DataFrame:
+def absent_rows(batch: DataFrame, table: DataFrame, key: str = "trade_id", by: str = "received_at", ties: Sequence[str] | None = None, null_keys: bool = True, measured_bytes: int | None = None) -> DataFrame:
     """Rows whose key is neither in ``table`` nor earlier in the batch.
 
     NULL keys never conflict; they take their own branch and are not shuffled.
     ``null_keys=False`` says that there are none and saves that branch.
+
+    The table is first reduced by a semi join with the batch's ids, where the
+    batch can be the broadcast side; a plain anti join against the table would
+    always shuffle every stored id.
     """
     first = earliest(batch.filter(F.col(key).isNotNull()), key, by, ties)
-    new = first.join(known_ids(table, batch, key), key, "left_anti").select(*batch.columns)
+    known = table.select(key).join(mentioned_ids(batch, measured_bytes, key), key, "left_semi")
+    new = first.join(known, key, "left_anti").select(*batch.columns)
     return new.union(batch.filter(F.col(key).isNull())) if null_keys else new

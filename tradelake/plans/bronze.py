@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradelake.functions.dates import day_of
 from tradelake.functions.windows import aware
-from tradelake.operators.absent import absent_rows
+from tradelake.operators.absent import absent_rows, id_bytes
 from tradelake.schemas import Layout
 from tradelake.sources.tables import read_bronze
 
@@ -56,10 +56,12 @@ def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: d
     stored = read_bronze(spark, layout.bronze)
     if redelivery_days is not None:
         stored = stored.filter(F.col("received_date") >= F.lit((received_at - timedelta(days=redelivery_days)).date()))
-    counts = arrivals.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("trade_id").isNull()).alias("nulls")).first()
+    counts = arrivals.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("trade_id").isNull()).alias("nulls"), id_bytes().alias("bytes")
+    ).first()
     inserted = Observation()
     (
-        (arrivals if keep == "all" else absent_rows(arrivals, stored, null_keys=counts.nulls > 0))
+        (arrivals if keep == "all" else absent_rows(arrivals, stored, null_keys=counts.nulls > 0, measured_bytes=counts.bytes))
         .observe(inserted, F.count(F.lit(1)).alias("rows"))
         .write.mode("append")
         .partitionBy("received_date")

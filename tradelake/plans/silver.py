@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.functions.dates import day_of
+from tradelake.operators.absent import id_bytes, mentioned_ids
 from tradelake.operators.dedup import keep_one
 from tradelake.operators.merge import merge_days
 from tradelake.plans import state
@@ -79,7 +80,7 @@ def arrivals_since(bronze: DataFrame, since: datetime | None, overlap: timedelta
 
 
 def _newest_arrival(bronze: DataFrame) -> DataFrame:
-    return bronze.agg(F.unix_micros(F.max("received_at")).alias("at"))
+    return bronze.agg(F.unix_micros(F.max("received_at")).alias("at"), id_bytes().alias("bytes"))
 
 
 def _typed(arrivals: DataFrame, mode: str, seen: Observation) -> DataFrame:
@@ -138,13 +139,14 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
     if since is None or not exists(spark, layout.silver):
         return rebuild(spark, layout, run_at, mode)
     arrivals = arrivals_since(read_bronze(spark, layout.bronze), since, overlap)
-    newest = state.moment(_newest_arrival(arrivals).first(), "at")
+    measured = _newest_arrival(arrivals).first()
+    newest = state.moment(measured, "at")
     if newest is None:
         return UpsertReport([], 0, 0, False)
 
     seen = Observation()
     incoming = _silver_columns(latest_trades(_typed(arrivals, mode, seen)))
-    mentioned = arrivals.select("trade_id").filter("trade_id is not null").distinct()
+    mentioned = mentioned_ids(arrivals, measured.bytes)
     older = read_silver(spark, layout.silver)
     if redelivery_days is not None:
         older = older.filter(F.col("ingested_at") >= F.lit(since - overlap - timedelta(days=redelivery_days)))
