@@ -60,21 +60,25 @@ def components(links: DataFrame) -> DataFrame:
     """
     high, low = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     edges = stored(links.where("a <> b").select(high, low).distinct(), "edges")
-    seen = None
-    while True:
-        state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state[0] == 0 or tuple(state) == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                edges.select("v", "v")).distinct()
-        seen = tuple(state)
-        both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    while not _is_stars(edges):
+        # a node that is the smaller end of several edges hands on the larger ends
+        least = edges.union(edges.select("v", "u")).groupBy("u").agg(F.min("v").alias("m"))
+        least = least.select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
+        large = edges.join(least, "v").select("u", F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = stored(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         forget(edges)
         edges = after
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
+
+
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is no smaller end."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("above"), F.lit(0).alias("below")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("node").agg(F.sum("above").alias("above"), F.max("below").alias("below"))
+    return ends.where("above > 1 or above = 1 and below = 1").isEmpty()
 
 
 def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:

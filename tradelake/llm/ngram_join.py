@@ -199,8 +199,11 @@ def linked_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int)
     open_cells = common.stored(placed.join(mixed, "cell", "left_semi"), "open")
     x, y = open_cells.toDF("cell", "a", "of_a"), open_cells.toDF("cell", "b", "of_b")
     pairs = x.join(y, "cell").where("a < b and of_a <> of_b").select("a", "b").distinct()
-    more = links_between(common.stored(pairs, "pairs"), signed, docs, words, percent)
-    return common.components(links.union(more))
+    pairs = common.stored(pairs, "pairs")
+    if pairs.isEmpty():
+        return found
+    more = links_between(pairs, signed, docs, words, percent)
+    return common.components(found.toDF("a", "b").union(more))
 
 
 def ngram_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:

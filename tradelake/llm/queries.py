@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import language, mix, ngram_join, pack, quality, sampling
+from tradelake.llm import (
+    embedding_dedup, fingerprint, language, licenses, mix, ngram_join, pack, quality, sampling, shard, url_filter)
 from tradelake.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,12 +35,41 @@ def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op4_shard(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 16 shards of near-equal bytes, equal texts together."""
+    placed = shard.with_slots(shard.shard(table(spark, folder, "documents"), shards=16))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and their likeness to the next document's."""
+    rows = fingerprint.against_next(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint.written(F.col("sketch")).alias("fingerprint"),
+        fingerprint.written(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links of all vectors whose cosine reaches 0.95, and their components."""
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"), cosine=0.95)
+
+
 def op7_mix(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed so that every source has an equal share of the bytes."""
     mixed = mix.placed(mix.mix(table(spark, folder, "documents")))
     return mixed.select("doc_id", "source", "copy", "position")
 
 
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    found = licenses.labelled(licenses.scan(table(spark, folder, "documents")))
+    return found.drop("notice_end")
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document; held-out documents are not learned from."""
     docs = table(spark, folder, "documents")
@@ -49,8 +79,14 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (sampling.remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the URLs of all pages."""
+    return url_filter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality, op2_ngram_join, op3_pack, op7_mix, op9_language)
+    found = (op1_quality, op2_ngram_join, op3_pack, op4_shard, op5_fingerprint, op6_embedding_dedup, op7_mix,
+             op8_licenses, op9_language, op10_url_filter)
     return {f.__name__: f for f in found}
 
 
