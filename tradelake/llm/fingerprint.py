@@ -14,14 +14,13 @@ from tradelake.llm import common
 
 SIZE = 128
 WORDS = 5
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER = _UPPER.lower()
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r"
+_LOWER = "abcdefghijklmnopqrstuvwxyz     "
 
 
 def words(text: Column) -> Column:
     """A-Z lowered, split at ASCII space; null is empty."""
-    clean = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), "[\\x09-\\x0D ]+", " "))
-    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), " "), "")
 
 
 def sketch(text: Column, size: int = SIZE, width: int = WORDS) -> Column:
@@ -29,8 +28,8 @@ def sketch(text: Column, size: int = SIZE, width: int = WORDS) -> Column:
     # a one-element transform computes the words once for the many shingles
     made = F.transform(F.array(words(text)), lambda w: F.when(
         F.size(w) > 0,
-        F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - width, F.lit(0))),
-                    lambda i: F.xxhash64(*(F.get(w, i + step) for step in range(width))))))
+        F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - width + 1, F.lit(1))),
+                    lambda i: F.xxhash64(F.slice(w, i, width)))))
     hashes = F.coalesce(F.get(made, F.lit(0)), F.array().cast("array<bigint>"))
     return F.slice(F.sort_array(F.array_distinct(hashes)), 1, size)
 
