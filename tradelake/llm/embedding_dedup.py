@@ -30,18 +30,20 @@ RECALL = 0.995  # of pairs just at the threshold, by the tables together
 BLOCK = 512
 
 
-def rotation(sample: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection: principal axes, rotated until signs lose least."""
+def rotation(sample: np.ndarray, seed: int = 5) -> np.ndarray:
+    """Projection to principal axes, turned until signs lose least.
+
+    Unit vectors are not centred: centring would part the codes of close vectors where
+    one direction rules the corpus.
+    """
     dims = sample.shape[1]
-    mean = sample.mean(axis=0) if len(sample) else np.zeros(dims)
-    centred = sample - mean
-    _, axes = np.linalg.eigh(centred.T @ centred + 1e-9 * np.eye(dims))
-    turned = centred @ axes
+    _, axes = np.linalg.eigh(sample.T @ sample + 1e-9 * np.eye(dims))
+    turned = sample @ axes
     turn, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(dims, dims)))
     for _ in range(ROUNDS):
         u, _, vt = np.linalg.svd(np.sign(turned @ turn).T @ turned)
         turn = (u @ vt).T
-    return mean, axes @ turn
+    return axes @ turn
 
 
 def substrings(dims: int, vectors: int, cosine: float, seed: int = 9) -> list[np.ndarray]:
@@ -62,15 +64,15 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _encoded(mean: np.ndarray, project: np.ndarray, tables: list[np.ndarray]):
+def _encoded(project: np.ndarray, tables: list[np.ndarray]):
     """Every class once for each table, with its bucket and whole code."""
-    dims = len(mean)
+    dims = len(project)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits = (_unit(_matrix(batch.column("embedding"), dims)) - mean) @ project > 0
+            bits = _unit(_matrix(batch.column("embedding"), dims)) @ project > 0
             node = batch.column("node")
             for number, places in enumerate(tables):
                 key = bits[:, places] @ (1 << np.arange(len(places), dtype=np.int64)) * len(tables) + number
@@ -89,15 +91,15 @@ def _pairs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return left, right
 
 
-def _compared(mean: np.ndarray, project: np.ndarray, tables: list[np.ndarray], cosine: float):
+def _compared(project: np.ndarray, tables: list[np.ndarray], cosine: float):
     """Links inside buckets, rows sorted by bucket and block pair; a block pair's rows come together."""
-    dims = len(mean)
+    dims = len(project)
 
     def results(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         bucket, low, high, own = (rows.column(c).to_numpy() for c in ("bucket", "low", "high", "block"))
         node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
         unit = _unit(_matrix(rows.column("embedding").combine_chunks(), dims))
-        bits = (unit - mean) @ project > 0
+        bits = unit @ project > 0
         new = np.flatnonzero(np.diff(bucket) | np.diff(low) | np.diff(high)) + 1
         edges = np.concatenate(([0], new, [len(node)]))
         sizes = np.diff(edges)
@@ -173,9 +175,9 @@ def _of_width(classes: DataFrame, dims: int, cosine: float) -> DataFrame:
     sample = classes.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < share * (1 << 30)).select("node", "embedding")
     rows = sorted(sample.collect(), key=lambda r: r["node"])
     learned = _unit(np.array([r["embedding"] for r in rows], dtype=np.float64)) if rows else np.zeros((0, dims))
-    mean, project = rotation(learned)
+    project = rotation(learned)
     tables = substrings(dims, total, cosine)
-    coded = classes.select("node", "embedding").mapInArrow(_encoded(mean, project, tables), "node long, bucket long")
+    coded = classes.select("node", "embedding").mapInArrow(_encoded(project, tables), "node long, bucket long")
     coded = common.stored(coded, "codes")
     sizes = coded.groupBy("bucket").count().where("count > 1")
     blocks = sizes.select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
@@ -186,7 +188,7 @@ def _of_width(classes: DataFrame, dims: int, cosine: float) -> DataFrame:
     met = met.join(classes.select("node", "embedding", "copies"), "node")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = met.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    return dealt.mapInArrow(_compared(mean, project, tables, cosine), "node long, other long, links long")
+    return dealt.mapInArrow(_compared(project, tables, cosine), "node long, other long, links long")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:

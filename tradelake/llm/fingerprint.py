@@ -82,19 +82,20 @@ def against_next(docs: DataFrame) -> DataFrame:
     Neighbours are found by ranks of ids; texts are then shuffled once, half texts once.
     """
     text = F.coalesce("text", F.lit(""))
-    base = docs.select("doc_id", text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
-    slim = base.select("key", "doc_id", F.char_length("text").alias("n")).distinct()
+    rows = docs.select("doc_id", text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    base = rows.select("key", "text")  # the same for both joins, so their shuffle is one
+    slim = rows.select("key", "doc_id", F.char_length("text").alias("n")).distinct()
     slim = common.stored(slim, "document-keys")
     numbered = common.ranked(slim, [F.desc_nulls_last("doc_id"), F.asc("key")], "rank", "ranked-keys")
     total = slim.count()
     if not total:
-        return base.select("doc_id", F.lit(0).alias("n_chars"), F.col("text").alias("edited"), *(
+        return rows.select("doc_id", F.lit(0).alias("n_chars"), F.col("text").alias("edited"), *(
             sketch(F.col("text")).alias(n) for n in ("sketch", "edited_sketch", "next_sketch")))
-    own = numbered.select(F.col("key").alias("owner"), F.floor(F.col("n") / 2).cast("int").alias("half"),
+    own = numbered.select(F.col("key").alias("owner"), "doc_id", F.floor(F.col("n") / 2).cast("int").alias("half"),
                           ((F.col("rank") + 1) % total).alias("rank"))
-    follows = own.join(numbered.select("rank", "key"), "rank").select("key", "owner", "half")
+    follows = own.join(numbered.select("rank", "key"), "rank").select("key", "owner", "doc_id", "half")
     heads = base.join(follows, "key").select(
-        F.col("owner").alias("key"), F.left(F.col("text"), F.col("half")).alias("head"), sketch(F.col("text")).alias("next_sketch"))
+        F.col("owner").alias("key"), "doc_id", F.left(F.col("text"), F.col("half")).alias("head"), sketch(F.col("text")).alias("next_sketch"))
     if docs.count() > total:  # repeated rows share a place, so a row follows once
         heads = heads.dropDuplicates(["key"])
     length = F.char_length("text")

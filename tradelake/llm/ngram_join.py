@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm import common
@@ -125,9 +125,9 @@ def _signatures(words: int, percent: int):
             size = np.diff(bounds)
             bits = np.arange(len(size) + 1) * BITMAP_WORDS
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row_id"), pa.array(size.astype(np.int64)), classes,
+                [batch.column("row_id"), batch.column("row_key"), pa.array(size.astype(np.int64)), classes,
                  _lists(key, ends), _lists(bitmaps(value, bounds), bits)],
-                names=["row_id", "n_shingles", "class_id", "cells", "bits"])
+                names=["row_id", "row_key", "n_shingles", "class_id", "cells", "bits"])
 
     return run
 
@@ -216,32 +216,46 @@ def ngram_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     for no minimum. Words are lower-cased A-Z between ASCII spaces. An empty table
     gives an empty result.
     """
+    return placed_rows(docs, words, percent).select(F.col("row_id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def row_key() -> Column:
+    """Tells rows apart that differ in id or text."""
+    return F.xxhash64("doc_id", "text")
+
+
+def placed_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``row_id, row_key, n_shingles, component, component_id`` for every row of ``docs``."""
     docs = docs.select("doc_id", "text")
+    keyed = docs.select(F.col("doc_id").alias("row_id"), row_key().alias("row_key"), "text")
     signed = common.stored(
-        docs.withColumnRenamed("doc_id", "row_id").mapInArrow(
+        keyed.mapInArrow(
             _signatures(words, percent),
-            "row_id long, n_shingles long, class_id long, cells array<long>, bits array<long>"), "signatures")
+            "row_id long, row_key long, n_shingles long, class_id long, cells array<long>, bits array<long>"), "signatures")
     found = linked_classes(signed.where("n_shingles > 0"), docs, words, percent)
-    rows = signed.select("row_id", "n_shingles", "class_id")
+    rows = signed.select("row_id", "row_key", "n_shingles", "class_id")
     placed = rows.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "class_id"))
-    least = placed.where("n_shingles > 0").groupBy("component").agg(F.min("row_id").alias("least"))
+    placed = placed.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "class_id")))
+    least = placed.where("component is not null").groupBy("component").agg(F.min("row_id").alias("least"))
     component_id = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("row_id"))
     return placed.join(least, "component", "left").select(
-        F.col("row_id").alias("doc_id"), "n_shingles", component_id.alias("component_id"))
+        "row_id", "row_key", "n_shingles", "component", component_id.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id.
+    """``docs`` with one row of each component: that of the smallest doc_id, nulls last.
 
-    Rows that link with nothing stay, wordless ones included. A doc_id whose rows
-    repeat stays once for each different text; a null doc_id never replaces another one.
+    Rows that link with nothing stay, wordless ones included. Of rows that repeat doc_id
+    and text one stays if they have words.
     """
-    found = ngram_join(docs, words, percent)
-    # ids are equal exactly for the row that stays; ids without a component have none to yield to
-    stays = found.where("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stays.withColumnRenamed("doc_id", "_id"), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    again = found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
+    found = common.stored(placed_rows(docs, words, percent), "placed")
+    first = F.min(F.struct(F.col("row_id").isNull().alias("late"), "row_id", "row_key"))
+    chosen = found.where("n_shingles > 0").groupBy("component").agg(first.alias("first")).select("first.row_key")
+    stays = chosen.union(found.where("n_shingles = 0").select("row_key").distinct())
+    kept = docs.withColumn("_key", row_key()).join(stays.withColumnRenamed("row_key", "_key"), "_key", "left_semi")
+    again = found.where("n_shingles > 0").groupBy("row_key").count().where("count > 1").select(F.col("row_key").alias("_key"))
     again = common.stored(again, "repeated")
-    same = docs["doc_id"].eqNullSafe(F.col("_id"))
-    return kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    if not again.isEmpty():
+        once = kept.join(again, "_key", "left_semi").dropDuplicates(["_key"])
+        kept = kept.join(again, "_key", "left_anti").union(once)
+    return kept.select(docs.columns)

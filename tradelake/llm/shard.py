@@ -5,9 +5,12 @@ of the shards some bytes; two of them are combined by adding the most of one to
 least of the other and so on. Combining always the two of largest spread, until one is
 left, is the differencing method.
 
-Groups are dealt into cells of bounded size and differenced there, each cell leaving
-one partial partition. These are dealt and differenced again until few enough are left
-for the driver. What a task or the driver holds does not grow with the input.
+Three kinds of groups follow each other. The largest, a bounded number, are differenced
+on the driver. The others are dealt into cells of bounded size and differenced there;
+a cell starts from a partial partition that is its share of the imbalance so far, so
+together the cells even it out. A share of the smaller groups is kept to the end and
+evens out what the cells before left. What a task or the driver holds does not grow
+with the input.
 """
 
 from __future__ import annotations
@@ -20,7 +23,9 @@ from pyspark.sql import functions as F
 
 from tradelake.llm import common
 
-CELL = 256  # partial partitions that one step differences
+CELL = 256  # groups that one task step differences, on average
+LARGE = 32  # a group of at least one part in so many of a shard's share is large
+FILLER = 8  # one in so many of the groups of at most average size is kept to the end
 
 
 def difference(partials: list[list[int]]) -> tuple[list[int], list[list[int]]]:
@@ -66,32 +71,39 @@ def difference(partials: list[list[int]]) -> tuple[list[int], list[list[int]]]:
     return sums, went
 
 
-def _cell_step(shards: int):
+def assign(items: list[int], loads: list[int]) -> list[int]:
+    """The shard of each item, when the shards hold ``loads`` already."""
+    alone = [0] * (len(loads) - 1)
+    _, went = difference([loads, *([size, *alone] for size in items)])
+    shard_at = {place: own for own, place in enumerate(went[0])}
+    return [shard_at[places[0]] for places in went[1:]]
+
+
+def _cell_step(loads: list[int]):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("item", kind="stable")
-        partials = [list(map(int, s)) for s in rows["sums"]]
-        sums, went = difference(partials)
-        return pd.DataFrame({"item": rows["item"], "cell": rows["cell"], "went": went, "of_cell": [sums] * len(rows)})
+        rows = rows.sort_values(["bytes", "item"], kind="stable")
+        placed = assign([int(n) for n in rows["bytes"]], loads)
+        return pd.DataFrame({"item": rows["item"], "bytes": rows["bytes"], "shard": placed})
 
     return run
 
 
-def _levels(items: DataFrame, shards: int, cell: int) -> list[DataFrame]:
-    """Stored levels ``(item, cell, went)``; a level's cells are the items of the next, the last has cell 0."""
-    levels = []
-    while True:
-        items = common.stored(items, "items")
-        n = items.count()
-        if not n:
-            return levels
-        cells = -(-n // cell)
-        dealt = items.withColumn("cell", F.pmod(F.xxhash64("item", F.lit(len(levels))), F.lit(cells)) if cells > 1 else F.lit(0).cast("long"))
-        done = dealt.groupBy("cell").applyInPandas(
-            _cell_step(shards), "item long, cell long, went array<int>, of_cell array<long>")
-        levels.append(common.stored(done, "differenced"))
-        if cells == 1:
-            return levels
-        items = levels[-1].groupBy("cell").agg(F.first("of_cell").alias("sums")).withColumnRenamed("cell", "item")
+_PLACED = "item long, bytes long, shard int"
+
+
+def _fill(groups: DataFrame, loads: list[int], cell: int) -> DataFrame:
+    """Stored ``item, bytes, shard`` for all groups, evening out ``loads``."""
+    cells = max(1, -(-groups.count() // cell))
+    share = [(n - min(loads)) // cells for n in loads]
+    dealt = groups.withColumn("cell", F.pmod(F.xxhash64("item", F.lit("cell")), F.lit(cells)))
+    return common.stored(dealt.groupBy("cell").applyInPandas(_cell_step(share), _PLACED), "filled")
+
+
+def _added(loads: list[int], placed: DataFrame) -> list[int]:
+    total = list(loads)
+    for r in placed.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():  # one row for each shard
+        total[r["shard"]] += r["bytes"]
+    return total
 
 
 def shard(docs: DataFrame, shards: int = 16, cell: int = CELL) -> DataFrame:
@@ -106,17 +118,24 @@ def shard(docs: DataFrame, shards: int = 16, cell: int = CELL) -> DataFrame:
     slim = common.stored(docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("item")), "sized")
-    groups = slim.groupBy("item").agg(F.sum("size").alias("bytes"))
-    alone = F.array(F.col("bytes"), *([F.lit(0).cast("long")] * (shards - 1)))
-    levels = _levels(groups.select("item", alone.alias("sums")), shards, cell)
-    if not levels:
-        return slim.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"))
-    place = levels[-1].select("item", F.col("went").alias("to"))
-    for level in reversed(levels[:-1]):
-        upper = place.withColumnRenamed("item", "cell")
-        place = level.join(upper, "cell").select("item", F.transform("went", lambda p: F.get("to", p)).alias("to"))
-    # a group stands at place 0 of its own partial partition
-    place = common.stored(place.select("item", F.get("to", F.lit(0)).alias("shard")), "sharded")
+    groups = common.stored(slim.groupBy("item").agg(F.sum("size").alias("bytes")), "groups")
+    total = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
+    if not total["n"]:
+        return slim.select("doc_id", "size", "text_crc32", "item", F.lit(0).alias("shard"))
+    large = F.col("bytes") * (shards * LARGE) >= total["bytes"]  # so at most shards * LARGE groups
+    filler = ~large & (F.col("bytes") * total["n"] <= total["bytes"]) & (F.pmod(F.xxhash64("item", F.lit("end")), F.lit(FILLER)) == 0)
+    first = sorted((r["bytes"], r["item"]) for r in groups.where(large).collect())
+    loads = [0] * shards
+    placed = assign([n for n, _ in first], loads)
+    for (n, _), own in zip(first, placed):
+        loads[own] += n
+    spark = docs.sparkSession
+    place = spark.createDataFrame([(item, n, own) for (n, item), own in zip(first, placed)], _PLACED)
+    for part in (~large & ~filler, filler):
+        filled = _fill(groups.where(part), loads, cell)
+        loads = _added(loads, filled)
+        place = place.union(filled)
+    place = place.select("item", "shard")
     return slim.join(place, "item").select("doc_id", "size", "text_crc32", "item", "shard")
 
 
