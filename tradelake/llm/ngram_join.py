@@ -116,18 +116,33 @@ def _once(key: np.ndarray, ends: np.ndarray, classes: np.ndarray) -> tuple[np.nd
     return key[np.repeat(keep, size)], np.concatenate(([0], np.cumsum(size * keep)))
 
 
-def _signatures(words: int, percent: int):
+def _signatures(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.chunks(batches, "text", CHUNK_BYTES):
             value, bounds = shingle_sets(batch.column("text"), words)
             classes = _class_ids(value, bounds)
-            key, ends = _once(*cells(value, bounds, percent), classes.to_numpy())
             size = np.diff(bounds)
             bits = np.arange(len(size) + 1) * BITMAP_WORDS
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id"), batch.column("row_key"), pa.array(size.astype(np.int64)), classes,
-                 _lists(key, ends), _lists(bitmaps(value, bounds), bits)],
-                names=["row_id", "row_key", "n_shingles", "class_id", "cells", "bits"])
+                 _lists(bitmaps(value, bounds), bits)],
+                names=["row_id", "row_key", "n_shingles", "class_id", "bits"])
+
+    return run
+
+
+def _cells(words: int, percent: int):
+    """``class_id, cell`` rows; cheaper to compute twice than to keep, as they are many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.chunks(batches, "text", CHUNK_BYTES):
+            value, bounds = shingle_sets(batch.column("text"), words)
+            classes = _class_ids(value, bounds).to_numpy()
+            key, ends = _once(*cells(value, bounds, percent), classes)
+            # 48 bits take less room in shuffles; a chance match is but one more pair to compare
+            cell = (key >> np.uint64(16)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(classes, np.diff(ends))), pa.array(cell)], names=["class_id", "cell"])
 
     return run
 
@@ -184,7 +199,7 @@ def links_between(pairs: DataFrame, signed: DataFrame, docs: DataFrame, words: i
 
 def linked_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``(node, component)`` of all classes that link with another one."""
-    cell = signed.select("class_id", F.explode("cells").alias("cell"))
+    cell = docs.select("text").mapInArrow(_cells(words, percent), "class_id long, cell long")
     shared = cell.groupBy("cell").agg(F.min("class_id").alias("center"), F.max("class_id").alias("last"))
     shared = shared.where("center < last").select("cell", "center")
     members = common.stored(cell.join(shared, "cell").distinct(), "members")
@@ -230,8 +245,8 @@ def placed_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     keyed = docs.select(F.col("doc_id").alias("row_id"), row_key().alias("row_key"), "text")
     signed = common.stored(
         keyed.mapInArrow(
-            _signatures(words, percent),
-            "row_id long, row_key long, n_shingles long, class_id long, cells array<long>, bits array<long>"), "signatures")
+            _signatures(words),
+            "row_id long, row_key long, n_shingles long, class_id long, bits array<long>"), "signatures")
     found = linked_classes(signed.where("n_shingles > 0"), docs, words, percent)
     rows = signed.select("row_id", "row_key", "n_shingles", "class_id")
     placed = rows.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
