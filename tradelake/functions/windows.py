@@ -38,15 +38,6 @@ def between_windows(df: DataFrame, ts: str, since: datetime | None, until: datet
     return df
 
 
-def recent(ts: str, as_of: Column | datetime | None = None, minutes: int = 60) -> Column:
-    """True for rows in the last ``minutes`` before ``as_of`` (now by default)."""
-    if as_of is None:
-        as_of = F.current_timestamp()
-    elif isinstance(as_of, datetime):
-        as_of = F.lit(as_of)
-    return F.col(ts) > as_of - F.make_interval(mins=F.lit(minutes))
-
-
 def with_date_parts(df: DataFrame, ts: str = "window_start") -> DataFrame:
     """Add zero-padded text year, month and day (the directory names)."""
     patterns = {"year": "yyyy", "month": "MM", "day": "dd"}

@@ -84,7 +84,14 @@ def _moment() -> Column:
     kind, text = F.col("time_kind"), F.col("time")
     iso = (kind == "STRING") & text.rlike(ZONED_TEXT)
     unix = _is_fraction(kind) | (kind == "BIGINT") | ((kind == "STRING") & text.rlike(UNIX_TEXT))
-    return F.when(iso, text.try_cast("timestamp")).when(unix, _unix_time(text))
+    return F.when(iso, _full_form(text).try_cast("timestamp")).when(unix, _unix_time(text))
+
+
+def _full_form(text: Column) -> Column:
+    """The ISO text in the form the cast knows: seconds given, ``Z`` in upper case, a colon in the offset."""
+    text = F.regexp_replace(text, "z$", "Z")
+    text = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.regexp_replace(text, r"^(.{13}:\d{2})(Z|[+-].*)$", "$1:00$2")
 
 
 def _time_reason() -> Column:

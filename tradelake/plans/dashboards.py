@@ -31,13 +31,16 @@ def chart(windows: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def recent(spark: SparkSession, layout: Layout, name: str, as_of: datetime | None = None, minutes: int = 60) -> DataFrame:
-    """Windows that started in the ``minutes`` before ``as_of``, oldest first.
+    """Windows that started in the ``minutes`` up to ``as_of``, oldest first.
 
     Only the day directories that can hold them are read.
     """
     since = (as_of or datetime.now(UTC)) - timedelta(minutes=minutes)
     table, _ = CHARTS[name]
-    return chart(read_gold(spark, layout.lake(table), table, since=since, by=layout.by), name, layout.by).orderBy("window_start")
+    windows = read_gold(spark, layout.lake(table), table, since=since, by=layout.by)
+    if as_of is not None:
+        windows = windows.filter(F.col("window_start") <= F.lit(as_of))
+    return chart(windows, name, layout.by).orderBy("window_start")
 
 
 def latest(spark: SparkSession, layout: Layout, name: str, n: int = 5) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BAD_FRAME_PREVIEW = 200
-
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
     """Batch source: column ``raw``."""
@@ -36,8 +34,6 @@ def is_document(frame: str = "frame") -> Column:
 
 
 def bad_frames(parsed: DataFrame) -> DataFrame:
-    """Frames to set aside: not JSON at all, or JSON that is no object."""
+    """Frames to set aside, whole: not JSON at all, or JSON that is no object."""
     reason = F.when(F.col("frame").isNull(), "frame_not_json").otherwise("frame_not_object")
-    return parsed.filter(~is_document()).select(
-        F.left("raw", F.lit(BAD_FRAME_PREVIEW)).alias("raw"), F.array(reason).alias("reasons")
-    )
+    return parsed.filter(~is_document()).select("raw", F.array(reason).alias("reasons"))
