@@ -16,6 +16,7 @@ from tradelake.llm import common
 TERMS = 96  # of the distribution; beyond them less than 1e-30 remains at PART_MEAN
 PART_MEAN = 16.0  # a larger mean is the sum of so many independent parts
 SPAN = 1 << 32
+BROADCAST_SOURCES = 10_000  # up to so many sources (of 1 KB each) their rates are broadcast
 
 
 def _point(doc_id: Column, seed: str, part: Column) -> Column:
@@ -62,8 +63,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     result.
     """
     plain = docs.drop("copy", "mix_key", "_source", "_parts", "_steps")
-    known = rates(docs, weights, epochs).toDF("_source", "_parts", "_steps")
-    rows = plain.join(known, plain["source"].eqNullSafe(known["_source"]))
+    known = common.stored(rates(docs, weights, epochs).toDF("_source", "_parts", "_steps"), "rates")
+    # a row for each source; few of them spare the texts a shuffle by source
+    few = known.count() <= BROADCAST_SOURCES
+    rows = plain.join(F.broadcast(known) if few else known, plain["source"].eqNullSafe(known["_source"]))
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col("_parts")), F.lit(0),
         lambda total, part: total + _below("_steps", _point(F.col("doc_id"), seed, part)))
