@@ -92,6 +92,22 @@ def test_ngram_join_equals_brute_force(spark, width, percent):
     assert by_text(got) == by_text(brute_components(rows, width, percent))
 
 
+def test_ngram_join_of_texts_with_a_common_passage(spark, monkeypatch):
+    """Passages of all lengths against the rest, some texts near copies; small and large cells agree with brute force."""
+    rng = random.Random(5)
+    passage, rows = made_text(70, 90).split(), []
+    for i in range(150):
+        own = made_text(500 + i, rng.choice([4, 9, 20, 30, 60])).split()
+        rows.append((i, " ".join(own[: len(own) // 2] + passage + own[len(own) // 2 :])))
+        if i % 5 == 0:
+            rows.append((1000 + i, rows[-1][1].replace(own[0], "changed", 1)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = by_text(brute_components(rows, 5, 80))
+    for most in (8, 1, 10**9):
+        monkeypatch.setattr(ngram_join, "SMALL_CELL", most)
+        assert by_text(tuple(r) for r in ngram_join.ngram_join(docs, 5, 80).collect()) == want
+
+
 def test_ngram_join_of_a_dense_group_emits_few_pairs(spark):
     words = made_text(3, 120).split()
     rows = [(i, " ".join(words[:60] + [f"x{i}"] + words[60:])) for i in range(300)]
