@@ -245,12 +245,15 @@ def rare_pairs(crowded: DataFrame, signed: DataFrame, docs: DataFrame, words: in
     grams = texts.select("text").mapInArrow(_sets(words), "class_id long, grams array<long>")
     grams = common.stored(grams.dropDuplicates(["class_id"]), "crowded-sets")
     each = grams.select("class_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    often = each.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1")
-    held = each.join(often, "gram")
+    often = each.groupBy("gram").agg(F.count("*").alias("times"), F.bit_xor(F.xxhash64("class_id")).alias("holders"))
+    held = each.join(often.where("times > 1"), "gram")
     # shingles of a single set come first in the order but meet nothing; a window is one text's set
     of_class = Window.partitionBy("class_id")
-    held = held.withColumn("place", F.row_number().over(of_class.orderBy("times", "gram")) - 1)
-    held = held.withColumn("place", F.col("n") - F.count("*").over(of_class) + F.col("place"))
+    in_order = of_class.orderBy("times", "holders", "gram")
+    place = F.col("n") - F.count("*").over(of_class) + F.row_number().over(in_order) - 1
+    # shingles with the same holders lie together in all of these: a pair's first common one opens such a run
+    opens = ~F.lag("holders").over(in_order).eqNullSafe(F.col("holders"))
+    held = held.select("*", place.alias("place"), opens.alias("opens")).where("opens")
     n, p = F.col("n").cast("long"), percent
     # of the smaller set, whose partner is as large at least, fewer shingles do
     as_large, as_small = (n - F.ceil(p * n / 100 - 1e-9) + 1), (n - F.ceil(2 * p * n / (100 + p) - 1e-9) + 1)
