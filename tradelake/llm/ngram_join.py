@@ -14,8 +14,8 @@ cell unless the texts also agree in all else that falls into the part.
 
 Cells are joined in two rounds. First every set is compared with the smallest set it
 shares a cell with; then cells whose members are still in different components
-compare those: small cells each member with each, which is linear in the members. The
-sets of larger cells meet anew by the rarest of their shingles (``rare_pairs``). Pairs inside a component are never listed, so a group of k near
+compare those. Before that, larger cells lose the sets that too few shingles tie to other
+components (``covered``). Pairs inside a component are never listed, so a group of k near
 copies costs about k comparisons. Bit counts of the pair's bitmaps bound the overlap
 from above; survivors are intersected exactly.
 
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm import common
@@ -36,7 +36,7 @@ from tradelake.llm.shingles import mix, shingle_sets
 
 CHUNK_BYTES = 4 << 20  # text that one numpy step handles
 BITMAP_WORDS = 32  # 2,048 bits
-SMALL_CELL = 8  # members; those of larger cells meet by rare shingles, which loses no link either
+SMALL_CELL = 8  # members; larger cells first lose sets that cannot link, which loses no link
 
 
 def band_edges(percent: int, largest: int) -> np.ndarray:
@@ -219,60 +219,36 @@ def linked_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int)
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     mixed = mixed.where("low < high").select("cell", (F.col("n") > SMALL_CELL).alias("large"))
     open_cells = common.stored(placed.join(mixed, "cell"), "open")
-    small = open_cells.where("not large").drop("large")
-    x, y = small.toDF("cell", "a", "of_a"), small.toDF("cell", "b", "of_b")
-    pairs = x.join(y, "cell").where("a < b and of_a <> of_b").select("a", "b")
     crowded = common.stored(open_cells.where("large").select("class_id", "component").distinct(), "crowded")
     if not crowded.isEmpty():
-        pairs = pairs.union(rare_pairs(crowded, signed, docs, words, percent))
-    pairs = common.stored(pairs.distinct(), "pairs")
+        able = covered(crowded, signed, docs, words, percent)
+        large = open_cells.where("large").join(able, "class_id", "left_semi").select(open_cells.columns)
+        open_cells = open_cells.where("not large").union(large)
+    open_cells = open_cells.select("cell", "class_id", "component")
+    x, y = open_cells.toDF("cell", "a", "of_a"), open_cells.toDF("cell", "b", "of_b")
+    pairs = x.join(y, "cell").where("a < b and of_a <> of_b").select("a", "b").distinct()
+    pairs = common.stored(pairs, "pairs")
     if pairs.isEmpty():
         return found
     more = links_between(pairs, signed, docs, words, percent)
     return common.components(found.toDF("a", "b").union(more))
 
 
-def rare_pairs(crowded: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of ``crowded(class_id, component)`` that may link, from different components.
+def covered(crowded: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``class_id`` of those ``crowded(class_id, component)`` that may link with another component.
 
-    In an order of shingles with the rare ones first, linked sets share a shingle among
-    their first few, so many that the rest alone could not reach the overlap. Shingles of
-    a passage that many texts share come last and bring texts together only if they are
-    nearly all there is. A pair's first common shingle also bounds the overlap by what
-    follows it in either set.
+    A link needs an overlap of ``percent`` of either set at least, so a set stays only if
+    so many of its shingles are also held in another component. Texts that share a
+    passage but have enough words of their own leave here, before any pair is listed.
     """
     texts = texts_of(crowded.select("class_id"), signed, docs)
     grams = texts.select("text").mapInArrow(_sets(words), "class_id long, grams array<long>")
-    grams = common.stored(grams.dropDuplicates(["class_id"]), "crowded-sets")
-    each = grams.select("class_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    often = each.groupBy("gram").agg(F.count("*").alias("times"), F.bit_xor(F.xxhash64("class_id")).alias("holders"))
-    held = each.join(often.where("times > 1"), "gram")
-    # shingles of a single set come first in the order but meet nothing; a window is one text's set
-    of_class = Window.partitionBy("class_id")
-    in_order = of_class.orderBy("times", "holders", "gram")
-    place = F.col("n") - F.count("*").over(of_class) + F.row_number().over(in_order) - 1
-    # shingles with the same holders lie together in all of these: a pair's first common one opens such a run
-    opens = ~F.lag("holders").over(in_order).eqNullSafe(F.col("holders"))
-    held = held.select("*", place.alias("place"), opens.alias("opens")).where("opens")
-    n, p = F.col("n").cast("long"), percent
-    # of the smaller set, whose partner is as large at least, fewer shingles do
-    as_large, as_small = (n - F.ceil(p * n / 100 - 1e-9) + 1), (n - F.ceil(2 * p * n / (100 + p) - 1e-9) + 1)
-    held = held.where(F.col("place") < as_large).join(crowded, "class_id")
-    held = held.select("gram", "class_id", "component", "n", "place", (F.col("place") < as_small).alias("first"))
-    held = common.stored(held, "prefixes")
-    # members of one component are not listed against each other
-    parts = held.groupBy("gram", "component").agg(F.max("first").alias("first"))
-    meet = parts.where("first").select("gram", F.col("component").alias("of_a")).join(
-        parts.select("gram", F.col("component").alias("of_b")), "gram").where("of_a <> of_b")
-    x = held.where("first").select("gram", *(F.col(c).alias(d) for c, d in (
-        ("class_id", "a"), ("component", "of_a"), ("n", "n_a"), ("place", "place_a"))))
-    y = held.select("gram", *(F.col(c).alias(d) for c, d in (
-        ("class_id", "b"), ("component", "of_b"), ("n", "n_b"), ("place", "place_b"))))
-    both = x.join(meet, ["gram", "of_a"]).join(y, ["gram", "of_b"])
-    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    fits = (F.col("n_a") <= F.col("n_b")) & (100 * F.col("n_a") >= p * F.col("n_b"))
-    both = both.where(fits & ((100 + p) * rest >= p * (F.col("n_a") + F.col("n_b"))))
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    grams = common.stored(grams.dropDuplicates(["class_id"]).join(crowded, "class_id"), "crowded-sets")
+    each = grams.select("class_id", "component", F.size("grams").cast("long").alias("n"), F.explode("grams").alias("gram"))
+    span = each.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    held = each.join(span.where("low < high").select("gram"), "gram", "left_semi")
+    enough = held.groupBy("class_id").agg(F.count("*").alias("held"), F.max("n").alias("n"))
+    return common.stored(enough.where(100 * F.col("held") >= percent * F.col("n")).select("class_id"), "covered")
 
 
 def ngram_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
