@@ -12,10 +12,13 @@ it meets in a cell that is not empty (a set with as many empty parts enters thos
 No linked pair is missed, and a passage that many texts share does not make a hot
 cell unless the texts also agree in all else that falls into the part.
 
-Cells are joined in two rounds. First every set is compared with the smallest set it
-shares a cell with; then cells whose members are still in different components
-compare those: small cells each member with each, which is linear in the members. The
-sets of larger cells meet anew by the rarest of their shingles (``rare_pairs``). Pairs inside a component are never listed, so a group of k near
+Cells are joined in rounds. First every set is compared with the smallest set it
+shares a cell with; then cells whose members are still in different components compare
+those: small cells each member with each, which is linear in the members. The sets of
+larger cells meet anew by the rarest of their shingles: first with the most typical
+holder, which joins most groups of copies with different edits (``star_pairs``), then
+what is still apart in full (``rare_pairs``).
+Pairs inside a component are never listed, so a group of k near
 copies costs about k comparisons. Bit counts of the pair's bitmaps bound the overlap
 from above; survivors are intersected exactly.
 
@@ -212,36 +215,68 @@ def linked_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int)
     first = members.groupBy("class_id").agg(F.min("center").alias("a")).where("class_id <> a")
     links = links_between(first.select("a", F.col("class_id").alias("b")), signed, docs, words, percent)
     found = common.stored(common.components(links), "components")
-    # cells whose members are in several components so far
-    placed = members.select("cell", "class_id").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
-    placed = placed.select("cell", "class_id", F.coalesce("component", "class_id").alias("component"))
+    open_cells = still_open(members, found)
+    small = open_cells.where("not large").select("cell", "class_id", "component")
+    x, y = small.toDF("cell", "a", "of_a"), small.toDF("cell", "b", "of_b")
+    pairs = x.join(y, "cell").where("a < b and of_a <> of_b").select("a", "b")
+    found = with_links(found, pairs, signed, docs, words, percent)
+    crowded = common.stored(open_cells.where("large").select("class_id").distinct(), "crowded")
+    if crowded.isEmpty():
+        return found
+    held = rare_shingles(crowded, signed, docs, words, percent)
+    found = with_links(found, star_pairs(with_components(held, found)), signed, docs, words, percent)
+    found = with_links(found, rare_pairs(with_components(held, found), percent), signed, docs, words, percent)
+    return found
+
+
+def with_components(held: DataFrame, found: DataFrame) -> DataFrame:
+    """``held`` and the ``component`` of each row's class, which is the class itself if it has no links yet."""
+    placed = held.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
+    return common.stored(placed.withColumn("component", F.coalesce("component", "class_id")), "placed")
+
+
+def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows ``cell, class_id, component, large`` of the cells that hold several components."""
+    placed = with_components(members.select("cell", "class_id"), found)
     mixed = placed.groupBy("cell").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     mixed = mixed.where("low < high").select("cell", (F.col("n") > SMALL_CELL).alias("large"))
-    open_cells = common.stored(placed.join(mixed, "cell"), "open")
-    small = open_cells.where("not large").drop("large")
-    x, y = small.toDF("cell", "a", "of_a"), small.toDF("cell", "b", "of_b")
-    pairs = x.join(y, "cell").where("a < b and of_a <> of_b").select("a", "b")
-    crowded = common.stored(open_cells.where("large").select("class_id", "component").distinct(), "crowded")
-    if not crowded.isEmpty():
-        pairs = pairs.union(rare_pairs(crowded, signed, docs, words, percent))
+    return common.stored(placed.join(mixed, "cell"), "open")
+
+
+def with_links(
+    found: DataFrame, pairs: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``found(node, component)`` after those of ``pairs(a, b)`` that link have joined their components."""
     pairs = common.stored(pairs.distinct(), "pairs")
     if pairs.isEmpty():
         return found
     more = links_between(pairs, signed, docs, words, percent)
-    return common.components(found.toDF("a", "b").union(more))
+    return common.stored(common.components(found.toDF("a", "b").union(more)), "components")
+
+
+def star_pairs(held: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of each class in ``held`` with the most typical holder of each of its shingles.
+
+    Copies with different edits are often too far from each other but near the text
+    they come from, so these pairs, one for each row at most, join most of a group.
+    """
+    star = F.max(F.struct("typical", "class_id", "component")).alias("star")
+    stars = held.groupBy("gram").agg(star).select(
+        "gram", F.col("star.class_id").alias("star"), F.col("star.component").alias("of_star"))
+    near = held.join(stars, "gram").where(F.col("component") != F.col("of_star"))
+    return near.select(F.least("class_id", "star").alias("a"), F.greatest("class_id", "star").alias("b"))
 
 
-def rare_pairs(crowded: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of ``crowded(class_id, component)`` that may link, from different components.
+def rare_shingles(crowded: DataFrame, signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``gram, class_id, n, place, typical, first``: the rarest shingles of the sets ``crowded(class_id)``.
 
     In an order of shingles with the rare ones first, linked sets share a shingle among
     their first few, so many that the rest alone could not reach the overlap. Shingles of
     a passage that many texts share come last and bring texts together only if they are
-    nearly all there is. A pair's first common shingle also bounds the overlap by what
-    follows it in either set.
+    nearly all there is. ``first`` marks those that the smaller set of a pair needs. ``typical`` is how often
+    the set's shingles occur on average: the fewer edits a copy has, the higher.
     """
-    texts = texts_of(crowded.select("class_id"), signed, docs)
+    texts = texts_of(crowded, signed, docs)
     grams = texts.select("text").mapInArrow(_sets(words), "class_id long, grams array<long>")
     grams = common.stored(grams.dropDuplicates(["class_id"]), "crowded-sets")
     each = grams.select("class_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
@@ -253,23 +288,40 @@ def rare_pairs(crowded: DataFrame, signed: DataFrame, docs: DataFrame, words: in
     place = F.col("n") - F.count("*").over(of_class) + F.row_number().over(in_order) - 1
     # shingles with the same holders lie together in all of these: a pair's first common one opens such a run
     opens = ~F.lag("holders").over(in_order).eqNullSafe(F.col("holders"))
-    held = held.select("*", place.alias("place"), opens.alias("opens")).where("opens")
+    typical = F.sum("times").over(of_class) / F.col("n")
+    held = held.select("*", place.alias("place"), typical.alias("typical"), opens.alias("opens")).where("opens")
     n, p = F.col("n").cast("long"), percent
     # of the smaller set, whose partner is as large at least, fewer shingles do
     as_large, as_small = (n - F.ceil(p * n / 100 - 1e-9) + 1), (n - F.ceil(2 * p * n / (100 + p) - 1e-9) + 1)
-    held = held.where(F.col("place") < as_large).join(crowded, "class_id")
-    held = held.select("gram", "class_id", "component", "n", "place", (F.col("place") < as_small).alias("first"))
-    held = common.stored(held, "prefixes")
+    held = held.where(F.col("place") < as_large).select(
+        "gram", "class_id", "n", "place", "typical", (F.col("place") < as_small).alias("first"))
+    return common.stored(held, "prefixes")
+
+
+def rare_pairs(held: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` that may link, from different components, of sets that share a shingle.
+
+    ``held`` has the columns of ``rare_shingles`` and ``component``. Sizes, and what
+    follows the shingle in either set, bound the overlap: first for a set and the best
+    a component has to offer, then for two sets.
+    """
+    p = percent
     # members of one component are not listed against each other
-    parts = held.groupBy("gram", "component").agg(F.max("first").alias("first"))
-    meet = parts.where("first").select("gram", F.col("component").alias("of_a")).join(
-        parts.select("gram", F.col("component").alias("of_b")), "gram").where("of_a <> of_b")
+    parts = held.groupBy("gram", "component").agg(
+        F.max("first").alias("first"), F.min(F.when(F.col("first"), F.col("n"))).alias("least"),
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest"))
+    meet = parts.where("first").select("gram", F.col("component").alias("of_a"), "least").join(
+        parts.select("gram", F.col("component").alias("of_b"), "low", "high", F.col("rest").alias("rest_b")), "gram")
+    meet = meet.where("of_a <> of_b and least <= high").drop("least")
     x = held.where("first").select("gram", *(F.col(c).alias(d) for c, d in (
         ("class_id", "a"), ("component", "of_a"), ("n", "n_a"), ("place", "place_a"))))
     y = held.select("gram", *(F.col(c).alias(d) for c, d in (
         ("class_id", "b"), ("component", "of_b"), ("n", "n_b"), ("place", "place_b"))))
-    both = x.join(meet, ["gram", "of_a"]).join(y, ["gram", "of_b"])
-    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    rest_a, smallest = F.col("n_a") - F.col("place_a"), F.greatest("n_a", "low")
+    x = x.join(meet, ["gram", "of_a"]).where((F.col("n_a") <= F.col("high")) & (100 * F.col("n_a") >= p * F.col("low")))
+    x = x.where((100 + p) * F.least(rest_a, "rest_b") >= p * (F.col("n_a") + smallest))
+    both = x.select("gram", "a", "n_a", "place_a", "of_b").join(y, ["gram", "of_b"])
+    rest = F.least(rest_a, F.col("n_b") - F.col("place_b"))
     fits = (F.col("n_a") <= F.col("n_b")) & (100 * F.col("n_a") >= p * F.col("n_b"))
     both = both.where(fits & ((100 + p) * rest >= p * (F.col("n_a") + F.col("n_b"))))
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
