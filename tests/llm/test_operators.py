@@ -255,6 +255,21 @@ def test_embedding_links_reach_brute_force(spark):
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("vectors", [2_000, 1_000_000, 100_000_000])
+def test_embedding_tables_reach_the_recall_at_the_threshold(vectors):
+    rng = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    tables = embedding_dedup.substrings(64, vectors, 0.95)
+    project = embedding_dedup.rotations(unit(rng.normal(size=(2000, 64))), embedding_dedup.codes_of(tables, 64))
+    assert len(np.unique(np.concatenate(tables))) == sum(len(places) for places in tables)
+    x = unit(rng.normal(size=(4000, 64)))
+    off = rng.normal(size=x.shape)
+    off = unit(off - (off * x).sum(axis=1, keepdims=True) * x)
+    y = 0.95 * x + (1 - 0.95**2) ** 0.5 * off
+    same = embedding_dedup._keys(x, project, tables) == embedding_dedup._keys(y, project, tables)
+    assert same.any(axis=1).mean() >= 0.99
+
+
 def test_blocks_of_a_hot_bucket_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     rng = np.random.default_rng(5)

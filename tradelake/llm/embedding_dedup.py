@@ -1,10 +1,12 @@
 """Embedding near-duplicates by iterative quantisation.
 
-A rotation learned by iterative quantisation turns every vector into a balanced binary
-code. Tables look up substrings of the code: two vectors meet in a table when its bits
-of their codes are equal. The number of bits follows the number of vectors, so buckets
-stay small, and the number of tables follows from the recall wanted at the threshold.
-Pairs that meet are compared by the cosine of the original vectors in double precision.
+Rotations learned by iterative quantisation, each from a start of its own, turn every
+vector into balanced binary codes. Tables look up substrings of the codes: two vectors
+meet in a table when its bits of their codes are equal. The number of bits follows the
+number of vectors, so buckets stay small, and the number of tables follows from the recall
+wanted at the threshold. No two tables share a bit: bits drawn again and again from one
+code would miss a pair that it places far apart in all tables together. Pairs that meet
+are compared by the cosine of the original vectors in double precision.
 
 A bucket is compared inside tasks and only sums leave them: links counted for each
 vector, and of each bucket's components one edge for each vector. A pair that meets in
@@ -28,6 +30,7 @@ SAMPLE = 8_000  # vectors the rotation is learned from, at most about
 ROUNDS = 40
 RECALL = 0.995  # of pairs just at the threshold, by the tables together
 BLOCK = 512
+PAIRS = 1 << 15  # compared at a time
 
 
 def rotation(sample: np.ndarray, seed: int = 5) -> np.ndarray:
@@ -46,13 +49,46 @@ def rotation(sample: np.ndarray, seed: int = 5) -> np.ndarray:
     return axes @ turn
 
 
-def substrings(dims: int, vectors: int, cosine: float, seed: int = 9) -> list[np.ndarray]:
-    """The code bits that each table looks up."""
+def rotations(sample: np.ndarray, codes: int) -> np.ndarray:
+    """Side by side, as many rotations as ``codes``."""
+    return np.hstack([rotation(sample, 5 + number) for number in range(codes)])
+
+
+def _meet(dims: int, bits: int, cosine: float, seed: int = 9) -> float:
+    """Chance that a pair at ``cosine`` has ``bits`` equal bits of one code.
+
+    Drawn, because the bits of a rotation are not quite independent; no larger than if they were.
+    """
+    alone = (1 - math.acos(cosine) / math.pi) ** bits
+    if dims == 1:
+        return alone
+    rng = np.random.default_rng(seed)
+    x, off = rng.normal(size=(2, 1 << 15, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off -= (off * x).sum(axis=1, keepdims=True) * x
+    off *= math.sqrt(max(0.0, 1 - cosine * cosine)) / np.linalg.norm(off, axis=1, keepdims=True)
+    equal = (x > 0) == (cosine * x + off > 0)
+    drawn = np.mean([equal[:, at : at + bits].all(axis=1).mean() for at in range(0, dims - bits + 1, bits)])
+    return min(alone, float(drawn) or alone)
+
+
+def substrings(dims: int, vectors: int, cosine: float) -> list[np.ndarray]:
+    """The bits that each table looks up, of codes of ``dims`` bits side by side; no bit is in two tables."""
     bits = int(min(dims, max(6, round(math.log2(max(vectors, 2))))))
-    meet = (1 - math.acos(cosine) / math.pi) ** bits
+    meet = _meet(dims, bits, cosine)
     tables = max(4, math.ceil(math.log(1 - RECALL) / math.log(1 - meet))) if meet < 1 else 1
-    rng = np.random.default_rng(seed)
-    return [rng.permutation(dims)[:bits] for _ in range(tables)]
+    each = dims // bits  # tables to a code
+    return [number // each * dims + number % each * bits + np.arange(bits) for number in range(tables)]
+
+
+def codes_of(tables: list[np.ndarray], dims: int) -> int:
+    return int(tables[-1][-1]) // dims + 1
+
+
+def _keys(unit: np.ndarray, project: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+    """The bucket of each vector in each table."""
+    bits = unit @ project > 0
+    return np.stack([bits[:, places] @ (1 << np.arange(len(places), dtype=np.int64)) for places in tables], axis=1)
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -72,11 +108,11 @@ def _encoded(project: np.ndarray, tables: list[np.ndarray]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits = _unit(_matrix(batch.column("embedding"), dims)) @ project > 0
+            keys = _keys(_unit(_matrix(batch.column("embedding"), dims)), project, tables)
             node = batch.column("node")
-            for number, places in enumerate(tables):
-                key = bits[:, places] @ (1 << np.arange(len(places), dtype=np.int64)) * len(tables) + number
-                yield pa.RecordBatch.from_arrays([node, pa.array(key)], names=["node", "bucket"])
+            for number in range(len(tables)):
+                yield pa.RecordBatch.from_arrays(
+                    [node, pa.array(keys[:, number] * len(tables) + number)], names=["node", "bucket"])
 
     return run
 
@@ -99,7 +135,6 @@ def _compared(project: np.ndarray, tables: list[np.ndarray], cosine: float):
         bucket, low, high, own = (rows.column(c).to_numpy() for c in ("bucket", "low", "high", "block"))
         node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
         unit = _unit(_matrix(rows.column("embedding").combine_chunks(), dims))
-        bits = unit @ project > 0
         new = np.flatnonzero(np.diff(bucket) | np.diff(low) | np.diff(high)) + 1
         edges = np.concatenate(([0], new, [len(node)]))
         sizes = np.diff(edges)
@@ -116,15 +151,20 @@ def _compared(project: np.ndarray, tables: list[np.ndarray], cosine: float):
             # two blocks meet only across, a block with itself only when low = high
             here = (own[x] != own[y]) | (low[x] == high[x])
             x, y = x[here], y[here]
-            number = bucket[x] % len(tables)
-            for earlier, places in enumerate(tables[:-1]):
-                if not len(x):
-                    break
-                again = (number > earlier) & (bits[x][:, places] == bits[y][:, places]).all(axis=1)
-                x, y, number = x[~again], y[~again], number[~again]
             if len(x):
-                near = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
+                near = np.concatenate([
+                    np.einsum("ij,ij->i", unit[x[i : i + PAIRS]], unit[y[i : i + PAIRS]]) >= cosine
+                    for i in range(0, len(x), PAIRS)])
                 x, y = x[near], y[near]
+            if len(x):
+                used = np.unique(np.concatenate((x, y)))
+                keys = _keys(unit[used], project, tables)
+                left, right = np.searchsorted(used, x), np.searchsorted(used, y)
+                number = bucket[x] % len(tables)
+                again = np.zeros(len(x), dtype=bool)
+                for earlier in range(len(tables) - 1):
+                    again |= (number > earlier) & (keys[left, earlier] == keys[right, earlier])
+                x, y = x[~again], y[~again]
             if len(x):
                 count = np.zeros(edges[stop] - base, dtype=np.int64)
                 np.add.at(count, x - base, copies[y])
@@ -175,8 +215,8 @@ def _of_width(classes: DataFrame, dims: int, cosine: float) -> DataFrame:
     sample = classes.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < share * (1 << 30)).select("node", "embedding")
     rows = sorted(sample.collect(), key=lambda r: r["node"])
     learned = _unit(np.array([r["embedding"] for r in rows], dtype=np.float64)) if rows else np.zeros((0, dims))
-    project = rotation(learned)
     tables = substrings(dims, total, cosine)
+    project = rotations(learned, codes_of(tables, dims))
     coded = classes.select("node", "embedding").mapInArrow(_encoded(project, tables), "node long, bucket long")
     coded = common.stored(coded, "codes")
     sizes = coded.groupBy("bucket").count().where("count > 1")
