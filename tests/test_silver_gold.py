@@ -96,6 +96,24 @@ def test_arrivals_committed_late_are_picked_up(spark, layout):
     assert [r[0] for r in silver_rows(spark, layout)] == ["a", "b"]
 
 
+@pytest.mark.parametrize("redelivery_days", [None, 30])
+def test_arrivals_committed_days_late_are_picked_up(spark, layout, tmp_path, redelivery_days):
+    deliver(spark, layout, [payload("a", price=1), payload("c", price=3)], at(20, 10))
+    bronze.append(spark, layout, payloads(spark, [payload("b"), payload("c", price=2)]), at(20, 8), keep="all")
+    bronze.append(spark, layout, payloads(spark, [payload("d"), payload("a", price=2)]), at(13), keep="all")
+    assert silver.upsert(spark, layout, at(20, 12), redelivery_days=redelivery_days).inserted_or_changed == 2
+    assert {r[0]: int(r[2]) for r in silver_rows(spark, layout)} == {"a": 1, "b": 100, "c": 3, "d": 100}
+    assert silver_rows(spark, layout) == rebuilt(spark, layout, tmp_path)[0]
+    assert silver.upsert(spark, layout, at(20, 13)).inserted_or_changed == 0
+
+
+def test_broken_rows_of_one_stamp_in_two_runs_are_all_set_aside(spark, layout):
+    for text in ("x", "y"):
+        report = deliver(spark, layout, [payload(text, price="abc"), payload(f"good-{text}")], at(20), mode="quarantine")
+        assert report.quarantined == 1
+    assert len(read_quarantine(spark, layout.quarantine).collect()) == 2
+
+
 def test_redelivery_bound_skips_older_arrivals(spark, layout):
     deliver(spark, layout, [payload("a", price=1)], at(1))
     deliver(spark, layout, [payload("b", price=1)], at(9))
@@ -169,4 +187,8 @@ def test_metrics_keyed_by_product(spark, tmp_path):
     assert checks.published and [r.rows_written for r in checks.exports] == [2, 2]
     assert {r.product_id: (r.vwap, r.trade_count) for r in gold.published(spark, layout, VWAP_TABLE).collect()} == {"A": (30.0, 2), "B": (22.5, 2)}
     assert {(r.product_id, r.vwap) for r in spark.sql("select product_id, vwap from vw_vwap_1min").collect()} == {("A", 30.0), ("B", 22.5)}
+    bronze.append(spark, layout, payloads(spark, [payload("5", 5, time=at(11), **a), payload("6", 6, time=at(11), **b)]), at(23))
+    refresh.refresh(spark, layout, at(23))
+    newest = dashboards.latest(spark, layout, "vwap", 2).collect()
+    assert [(r.product_id, r.window_start.day) for r in newest] == [("A", 11), ("B", 11), ("A", 10), ("B", 10)]
     assert dashboards.latest(spark, layout, "pressure").columns == ["product_id", "window_start", "buy_volume_pct", "sell_volume_pct"]

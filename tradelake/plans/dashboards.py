@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradelake.schemas import DATE_PARTS, STATS_TABLE, VWAP_TABLE, Layout
@@ -44,7 +44,7 @@ def recent(spark: SparkSession, layout: Layout, name: str, as_of: datetime | Non
 
 
 def latest(spark: SparkSession, layout: Layout, name: str, n: int = 5) -> DataFrame:
-    """The newest ``n`` windows, newest first (a distributed top-k).
+    """The newest ``n`` windows, newest first (a distributed top-k), each with the rows of all its keys.
 
     A day directory holds at least one window, so the newest ``n`` directories
     hold them all, and only those are read.
@@ -55,4 +55,7 @@ def latest(spark: SparkSession, layout: Layout, name: str, n: int = 5) -> DataFr
     windows = read_gold(spark, layout.lake(table), table, by=layout.by)
     if days:
         windows = windows.filter(F.struct(*DATE_PARTS) >= F.struct(*[F.lit(part) for part in days[-1]]))
-    return chart(windows, name, layout.by).orderBy(F.desc("window_start")).limit(n)
+    if not layout.by:
+        return chart(windows, name).orderBy(F.desc("window_start")).limit(n)
+    newest = windows.withColumn("_place", F.dense_rank().over(Window.orderBy(F.desc("window_start")))).filter(F.col("_place") <= n)
+    return chart(newest, name, layout.by).orderBy(F.desc("window_start"), *layout.by)

@@ -17,12 +17,13 @@ from tradelake.plans import state
 from tradelake.plans.quarantine import quarantine
 from tradelake.schemas import PAYLOAD, PRICE, SILVER, SILVER_TABLE, Layout
 from tradelake.sources.tables import (
-    MAX_LISTED_DAYS, distinct_days, exists, read_bronze, read_silver, replace_table, staged, write_days,
+    MAX_LISTED_DAYS, bronze_files, distinct_days, exists, read_bronze, read_bronze_files, read_silver, replace_table, staged,
+    write_days,
 )
 
 # Latest-wins order; the columns after the stamp settle equal stamps.
 RECENCY = ("ingested_at", "traded_at", "price", "size", "side", "product_id")
-# Arrivals may be committed a little after newer ones; re-read this much.
+# How far behind a moment ``arrivals_since`` looks. The upsert goes by files, not by stamps.
 OVERLAP = timedelta(hours=1)
 
 
@@ -34,6 +35,11 @@ class UpsertReport:
     full: bool
 
 
+def _known(mode: str) -> None:
+    if mode not in ("strict", "quarantine"):
+        raise ValueError(f"unknown mode: {mode!r}")
+
+
 def parse(bronze: DataFrame, mode: str = "strict") -> DataFrame:
     """payload -> typed trade columns, for rows that have a trade_id.
 
@@ -42,8 +48,7 @@ def parse(bronze: DataFrame, mode: str = "strict") -> DataFrame:
     The id test uses the stored column, so it reaches the scan; the inline keeps
     the payload from being parsed more than once per row.
     """
-    if mode not in ("strict", "quarantine"):
-        raise ValueError(f"unknown mode: {mode!r}")
+    _known(mode)
     fields = T.StructType([f for f in PAYLOAD.fields if f.name != "trade_id"])
     rows = bronze.filter(F.col("trade_id").isNotNull()).select(
         "trade_id", F.col("received_at").alias("ingested_at"), "payload", F.inline(F.array(F.from_json("payload", fields)))
@@ -72,15 +77,20 @@ def _silver_columns(trades: DataFrame) -> DataFrame:
 
 
 def arrivals_since(bronze: DataFrame, since: datetime | None, overlap: timedelta = OVERLAP) -> DataFrame:
-    """Bronze rows received at or after the bookmark, less the overlap."""
+    """Bronze rows stamped at or after a moment, less the overlap.
+
+    Rows committed later with an older stamp are not among them.
+    """
     if since is None:
         return bronze
     start = since - overlap
     return bronze.filter((F.col("received_date") >= F.lit(start.date())) & (F.col("received_at") >= F.lit(start)))
 
 
-def _newest_arrival(bronze: DataFrame) -> DataFrame:
-    return bronze.agg(F.unix_micros(F.max("received_at")).alias("at"), id_bytes().alias("bytes"))
+def _stamps(bronze: DataFrame) -> DataFrame:
+    return bronze.agg(
+        F.unix_micros(F.max("received_at")).alias("at"), F.unix_micros(F.min("received_at")).alias("oldest"), id_bytes().alias("bytes")
+    )
 
 
 def _typed(arrivals: DataFrame, mode: str, seen: Observation) -> DataFrame:
@@ -91,26 +101,29 @@ def _typed(arrivals: DataFrame, mode: str, seen: Observation) -> DataFrame:
     return parsed.filter("reasons is null").drop("reasons", "payload")
 
 
-def _set_broken_aside(arrivals: DataFrame, layout: Layout, mode: str, seen: Observation) -> int:
+def _set_broken_aside(arrivals: DataFrame, bronze: DataFrame, layout: Layout, mode: str, seen: Observation) -> int:
     """A second pass over the payloads, only when the first one met broken rows.
 
-    The batch id is the arrival stamp: the overlap reads a stamp's rows again all
-    together, and they replace themselves.
+    The batch id is the arrival stamp. Files of one stamp may be taken by several
+    runs, so a stamp's rows are read again all together, and they replace themselves.
     """
     if mode == "strict" or not seen.get.get("broken"):
         return 0
-    broken = parse(arrivals, mode).filter("reasons is not null").select(
+    found = parse(arrivals, mode).filter("reasons is not null").select(F.col("ingested_at").alias("received_at"))
+    stamps = found.distinct().withColumn("received_date", day_of("received_at"))
+    same = bronze.join(stamps, ["received_date", "received_at"], "left_semi")
+    broken = parse(same, mode).filter("reasons is not null").select(
         F.col("payload").alias("raw"), "reasons", F.col("ingested_at").alias("received_at"),
         F.concat(F.lit("silver-"), F.unix_micros("ingested_at").cast("string")).alias("batch_id"),
     )
     quarantine(broken, layout)
-    return broken.count()
+    return found.count()
 
 
 def rebuild(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "strict") -> UpsertReport:
     """Full refresh from all of bronze."""
     bronze = read_bronze(spark, layout.bronze)
-    newest = state.moment(_newest_arrival(bronze).first(), "at")
+    newest = state.moment(_stamps(bronze).first(), "at")
     if newest is None:
         return UpsertReport([], 0, 0, True)
     state.clear_bookmark(spark, layout, SILVER_TABLE)
@@ -118,30 +131,39 @@ def rebuild(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "
     before = {row.trade_date for row in read_silver(spark, layout.silver).select("trade_date").distinct().collect()}
     table = _silver_columns(latest_trades(_typed(bronze, mode, seen)))
     written = replace_table(spark, table, layout.silver, "trade_date", ["traded_at"])
-    broken = _set_broken_aside(bronze, layout, mode, seen)
+    broken = _set_broken_aside(bronze, bronze, layout, mode, seen)
     days = sorted(before | written["days"])
     state.note_changed_days(spark, layout, days, run_at)
+    state.take_files(spark, layout, sorted(bronze_files(bronze)), "overwrite")
     state.set_bookmark(spark, layout, SILVER_TABLE, newest)
     return UpsertReport(days, written["rows"], broken, True)
 
 
-def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "strict", overlap: timedelta = OVERLAP, redelivery_days: int | None = None) -> UpsertReport:
-    """Bring silver up to date with the arrivals since the last run.
+def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "strict", redelivery_days: int | None = None) -> UpsertReport:
+    """Bring silver up to date with the bronze files not taken yet.
 
-    The result equals a full rebuild. ``redelivery_days`` states that no version
-    of a trade arrives more than that many days after the one before; stored
+    The result equals a full rebuild, whatever the stamps of the rows and the order
+    in which they were committed. A run that dies takes its files again.
+    ``redelivery_days`` states that no version of a trade is stamped more than that
+    many days after the newest one committed before it; stored
     files with older arrivals only are then skipped by their ranges. By default
     every stored id is consulted. Days that only gain trades get appended
     files; only days that hold an older version of a trade are rewritten, also
     when the newer version moved to another day.
     """
+    _known(mode)
     since = state.bookmark(spark, layout, SILVER_TABLE)
     if since is None or not exists(spark, layout.silver):
         return rebuild(spark, layout, run_at, mode)
-    arrivals = arrivals_since(read_bronze(spark, layout.bronze), since, overlap)
-    measured = _newest_arrival(arrivals).first()
+    bronze = read_bronze(spark, layout.bronze)
+    files = sorted(bronze_files(bronze) - state.taken_files(spark, layout))
+    if not files:
+        return UpsertReport([], 0, 0, False)
+    arrivals = read_bronze_files(spark, layout.bronze, files)
+    measured = _stamps(arrivals).first()
     newest = state.moment(measured, "at")
     if newest is None:
+        state.take_files(spark, layout, files)
         return UpsertReport([], 0, 0, False)
 
     seen = Observation()
@@ -149,7 +171,8 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
     mentioned = mentioned_ids(arrivals, measured.bytes)
     older = read_silver(spark, layout.silver)
     if redelivery_days is not None:
-        older = older.filter(F.col("ingested_at") >= F.lit(since - overlap - timedelta(days=redelivery_days)))
+        oldest = min(since, state.moment(measured, "oldest"))
+        older = older.filter(F.col("ingested_at") >= F.lit(oldest - timedelta(days=redelivery_days)))
     stored = older.join(mentioned, "trade_id", "left_semi").select(
         "trade_id", F.col("trade_date").alias("_old_date"), F.struct(*RECENCY).alias("_old")
     )
@@ -169,6 +192,7 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
         if set(days) - set(rewrite):
             write_days(added, layout.silver, "trade_date", ["traded_at"], mode="append")
         count = rows.count()
-    broken = _set_broken_aside(arrivals, layout, mode, seen)
+    broken = _set_broken_aside(arrivals, bronze, layout, mode, seen)
+    state.take_files(spark, layout, files)
     state.set_bookmark(spark, layout, SILVER_TABLE, max(newest, since))
     return UpsertReport(sorted(days), count, broken, False)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.functions.windows import EPOCH_BOOKMARK, aware, from_micros
-from tradelake.schemas import CHANGED_DAYS, EXPORT_STATE, REFRESH_STATE, Layout, safe_name
+from tradelake.schemas import CHANGED_DAYS, EXPORT_STATE, REFRESH_STATE, TAKEN_FILES, Layout, safe_name
 from tradelake.sources.tables import delete, overwrite_partition, read_table
 
 
@@ -55,6 +55,17 @@ def clear_bookmark(spark: SparkSession, layout: Layout, table: str) -> None:
     delete(spark, f"{layout.refresh_state}/table_name={safe_name(table)}")
 
 
+def taken_files(spark: SparkSession, layout: Layout) -> set[str]:
+    """Bronze files that silver holds."""
+    return {row.file for row in read_table(spark, layout.silver_taken, TAKEN_FILES).collect()}
+
+
+def take_files(spark: SparkSession, layout: Layout, files: Iterable[str], mode: str = "append") -> None:
+    """Record files as taken; call it only after silver was written."""
+    rows = spark.createDataFrame([(file,) for file in files], TAKEN_FILES)
+    rows.coalesce(1).write.mode(mode).parquet(layout.silver_taken)
+
+
 def note_changed_days(spark: SparkSession, layout: Layout, days: Iterable[date], changed_at: datetime) -> None:
     """Write down which silver days are about to change, before they do.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tradelake.functions.windows import after_bookmark, bookmark_max
@@ -9,7 +11,7 @@ from tradelake.operators.dedup import latest
 from tradelake.plans import bronze, silver
 from tradelake.queries.common import (
     DELIVERED, FIRST_ARRIVAL, LINES, SECOND_ARRIVAL, TRADES, comparable, event_trades, line_trades, new_layout,
-    payloads, two_deliveries, whole_tape,
+    events, payloads, second_delivery, two_deliveries, whole_tape,
 )
 from tradelake.sources import tape
 from tradelake.sources.tables import read_bronze, read_silver
@@ -68,6 +70,16 @@ def _arrivals(spark, folder):
     return comparable(after_bookmark(rows, "ts", mark).select("event_id", "ts"))
 
 
+def _committed_late(spark, folder):
+    """The second delivery is committed after the first, but stamped two hours before it."""
+    layout = new_layout(spark, "late-commit")
+    first = tape.event_trades(events(spark, folder).filter("event_type <> 'error'"))
+    for trades, stamp in ((first, FIRST_ARRIVAL), (second_delivery(spark, folder), FIRST_ARRIVAL - timedelta(hours=2))):
+        bronze.append(spark, layout, payloads(trades), stamp, keep="all")
+        silver.upsert(spark, layout, FIRST_ARRIVAL)
+    return comparable(read_silver(spark, layout.silver).select(*SILVER_OUT))
+
+
 QUERIES = {
     "wire_serialise": _wire,
     "bronze_scan": _bronze_scan,
@@ -76,6 +88,7 @@ QUERIES = {
     "silver_parse_cast": _parse,
     "silver_dedup_latest": _dedup,
     "silver_incremental_upsert": lambda spark, folder: comparable(read_silver(spark, two_deliveries(spark, folder).silver).select(*SILVER_OUT)),
+    "silver_committed_late": _committed_late,
     "bookmark_filter": _arrivals,
 }
 
@@ -97,6 +110,8 @@ UNION ALL SELECT 'second', a2, ids - i1, a2 - (ids - i1) FROM c""",
   ORDER BY traded_at DESC, price DESC, size DESC, side DESC, product_id DESC) AS n FROM trades)
 SELECT {_TYPED} FROM ranked WHERE n = 1""",
     "silver_incremental_upsert": f"WITH {DELIVERED} SELECT {_TYPED}, ingested_at FROM delivered",
+    "silver_committed_late": f"""WITH {TRADES} SELECT {_TYPED}, CASE WHEN product_id = 'error' THEN TIMESTAMP '2024-01-31 22:00:00'
+  ELSE TIMESTAMP '2024-02-01 00:00:00' END AS ingested_at FROM trades""",
     "bookmark_filter": """SELECT event_id, ts FROM events WHERE ts > (SELECT coalesce(max(ts), TIMESTAMP '1900-01-01 00:00:00')
   FROM events WHERE event_type = 'click' AND value > 200)""",
 }

@@ -120,6 +120,8 @@ CHANGED_DAYS = _struct(
     ("changed_at", T.TimestampType()),
 )
 
+TAKEN_FILES = _struct(("file", T.StringType()))
+
 GOLD = {VWAP_TABLE: GOLD_VWAP, STATS_TABLE: GOLD_STATS}
 PUBLISHED = {VWAP_TABLE: PUBLISHED_VWAP, STATS_TABLE: PUBLISHED_STATS}
 
@@ -182,6 +184,10 @@ class Layout:
     def silver_changes(self) -> str:
         return self._at("silver", "changed_days")
 
+    @property
+    def silver_taken(self) -> str:
+        return self._at("silver", "taken_files")
+
     @property
     def state(self) -> str:
         return self._at("lake", "export_state")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,16 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, BRONZE).select("payload", "trade_id", "received_at", "received_date")
 
 
+def bronze_files(bronze: DataFrame) -> set[str]:
+    """The files that ``bronze`` reads, from its partition directory on; appends never reuse a name."""
+    return {unquote("/".join(file.split("/")[-2:])) for file in bronze.inputFiles()}
+
+
+def read_bronze_files(spark: SparkSession, root: str, files: Sequence[str]) -> DataFrame:
+    rows = spark.read.schema(BRONZE).option("basePath", root).parquet(*[f"{root}/{file}" for file in files])
+    return rows.select("payload", "trade_id", "received_at", "received_date")
+
+
 def read_silver(spark: SparkSession, root: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
     """Trades whose minute starts in ``[since, until)``, pruned by day and by row group."""
     df = read_table(spark, root, SILVER)
