@@ -92,6 +92,20 @@ def test_product_subscription(spark, layout):
     assert payload("b") and read_bronze(spark, layout.bronze).first().trade_id == "b"
 
 
+def test_product_subscription_counts_and_sets_aside_every_record(spark, layout):
+    trades = [
+        changed(trade_id="a", product_id="BTC-USD"), changed(trade_id="b", product_id="ETH-USD"),
+        changed(trade_id="c"), changed(trade_id="d", product_id=5), changed(trade_id="e", product_id=""),
+        changed(trade_id="f", product_id="BTC-USD", side="hold"), changed(trade_id="g", product_id="ETH-USD", price="0"), 5,
+    ]
+    report = ingest_frames(spark.createDataFrame([(frame(*trades),)], "raw string"), layout, "x", products=["BTC-USD"])
+    assert (report.received, report.valid, report.invalid, report.inserted, report.filtered) == (8, 2, 6, 1, 1)
+    assert [r.trade_id for r in read_bronze(spark, layout.bronze).collect()] == ["a"]
+    reasons = sorted(r.reasons[0] for r in read_quarantine(spark, layout.quarantine).collect())
+    assert reasons == [
+        "price_not_positive", "product_id_empty", "product_id_missing", "product_id_not_text", "side_unknown", "trade_not_object"]
+
+
 def test_pace_options():
     assert trigger() == {"processingTime": "2 seconds"} and trigger(available_now=True) == {"availableNow": True}
     assert broker_options() == {"minOffsetsPerTrigger": "200", "maxTriggerDelay": "2s"}

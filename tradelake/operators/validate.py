@@ -22,7 +22,7 @@ UNIX_SECONDS_LIMIT = 2e10
 
 # Members read from a trade object, and those whose JSON type matters.
 MEMBERS = ("trade_id", "product_id", "price", "size", "side", "time")
-TYPED_MEMBERS = ("trade_id", "price", "size", "side", "time")
+TYPED_MEMBERS = ("trade_id", "product_id", "price", "size", "side", "time")
 
 
 def _members(trade: str) -> Column:
@@ -41,12 +41,12 @@ def _is_fraction(kind: Column) -> Column:
     return kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
 
 
-def _id_reason() -> Column:
-    kind = F.col("trade_id_kind")
+def _name_reason(field: str) -> Column:
+    kind = F.col(f"{field}_kind")
     return (
-        F.when(kind == "VOID", "trade_id_missing")
-        .when(kind != "STRING", "trade_id_not_text")
-        .when(F.length("trade_id") == 0, "trade_id_empty")
+        F.when(kind == "VOID", f"{field}_missing")
+        .when(kind != "STRING", f"{field}_not_text")
+        .when(F.length(field) == 0, f"{field}_empty")
     )
 
 
@@ -104,13 +104,14 @@ def _time_reason() -> Column:
     )
 
 
-def validate(trades: DataFrame) -> DataFrame:
+def validate(trades: DataFrame, product_required: bool = False) -> DataFrame:
     """Type each ``trade`` variant and list the rules it breaks.
 
     Output: trade_id, product_id, price, size, side, traded_at, reasons (a
     comma-separated text) and, for a rejected record, its text ``raw``. An empty
     ``reasons`` means accepted. A row that passes every rule but does
-    not fit the silver decimals is rejected as out of range.
+    not fit the silver decimals is rejected as out of range. ``product_required``
+    also rejects a record whose product is missing, empty or no text.
 
     Members are read, then typed, once each: a one-element inline keeps filters
     on the result from being pushed below it, where every condition would repeat
@@ -122,7 +123,8 @@ def validate(trades: DataFrame) -> DataFrame:
         F.col("size").try_cast(PRICE).alias("size_value"),
         _moment().alias("traded_at"),
     ))))
-    rules = F.concat_ws(",", _id_reason(), _number_reason("price"), _number_reason("size"), _side_reason(), _time_reason())
+    product = [_name_reason("product_id")] if product_required else []
+    rules = F.concat_ws(",", _name_reason("trade_id"), *product, _number_reason("price"), _number_reason("size"), _side_reason(), _time_reason())
     broken = F.when(F.col("is_object"), rules).otherwise("trade_not_object")
     return typed.select(
         F.when(broken != "", F.to_json("trade")).alias("raw"), "trade_id", "product_id",

@@ -23,7 +23,10 @@ from tradelake.streaming.options import trigger
 
 @dataclass(frozen=True)
 class FeedReport:
-    """Counts of one batch: trade records seen, and what became of them."""
+    """Counts of one batch: trade records seen, and what became of them.
+
+    ``filtered`` counts the valid records of products not subscribed to.
+    """
 
     batch_id: str
     received: int
@@ -31,26 +34,28 @@ class FeedReport:
     invalid: int
     inserted: int
     duplicates: int
+    filtered: int = 0
 
 
 def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Sequence[str] | None = None, redelivery_days: int | None = None) -> FeedReport:
     """One batch of raw frames: flatten, validate, quarantine, append.
 
+    ``products`` chooses among the valid records what is stored, and
+    records without a readable product are then rejected. Rejected records of every
+    product are set aside.
     The parsed frames are kept for the two outputs; a lost executor recomputes
     its part from the source. A bad record never stops the rest.
     """
     received_at = utc_now()
     parsed = parse_frames(frames)
-    trades = trades_of(on_channel(parsed))
-    if products:
-        trades = of_products(trades, products)
-    checked = validate(trades).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = validate(trades_of(on_channel(parsed)), product_required=bool(products)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         health = health_counts(checked).first()
         aside = bad_frames(parsed).unionByName(rejected(checked))
         quarantine(aside.withColumns({"received_at": F.lit(received_at), "batch_id": F.lit(batch_id)}), layout)
-        stored = bronze.append(frames.sparkSession, layout, to_wire(accepted(checked)), received_at, redelivery_days)
-        return FeedReport(batch_id, *health, stored.inserted, stored.duplicates)
+        wanted = of_products(accepted(checked), products) if products else accepted(checked)
+        stored = bronze.append(frames.sparkSession, layout, to_wire(wanted), received_at, redelivery_days)
+        return FeedReport(batch_id, *health, stored.inserted, stored.duplicates, health.valid - stored.attempted)
     finally:
         checked.unpersist()
 
