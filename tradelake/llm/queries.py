@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.llm import (
-    embedding_dedup, fingerprint, language, licenses, mix, ngram_join, pack, quality, sampling, shard, url_filter)
+    centroids, embedding_dedup, fim, fingerprint, language, licenses, mix, ngram_join, pack, quality, sampling, shard, url_filter,
+    warc)
 from tradelake.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -84,9 +85,24 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_fim(spark: SparkSession, folder: str) -> DataFrame:
+    """Fill-in-the-middle forms of all documents, and their texts restored from them."""
+    return fim.digested(table(spark, folder, "documents"))
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages archived, then read back by their index."""
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors in 8 clusters after 10 rounds."""
+    return centroids.cluster(table(spark, folder, "embeddings"), k=8, rounds=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_quality, op2_ngram_join, op3_pack, op4_shard, op5_fingerprint, op6_embedding_dedup, op7_mix,
-             op8_licenses, op9_language, op10_url_filter)
+             op8_licenses, op9_language, op10_url_filter, op11_fim, op12_warc, op13_centroids)
     return {f.__name__: f for f in found}
 
 
@@ -130,5 +146,71 @@ FROM copies
 """
 
 
+# Cut by lists of units; the text is rebuilt from the places of the sentinels in the output.
+FIM_SQL = """
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+        sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+draws AS (
+    SELECT doc_id, t, u, len(u) AS n, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(0, 4)] AS h FROM units),
+bounds AS (
+    SELECT doc_id, t, u, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+            WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM draws),
+parts AS (
+    SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+        array_to_string(u[b + 1:], '') AS s FROM bounds),
+outputs AS (
+    SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS o FROM parts),
+back AS (
+    SELECT *, instr(o, '<P>') AS ip, instr(o, '<S>') AS i_s, instr(o, '<M>') AS im FROM outputs)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(o) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN o WHEN 'psm' THEN substr(o, 4, i_s - 4) || substr(o, im + 3) || substr(o, i_s + 3, im - i_s - 3)
+        ELSE substr(o, ip + 3, im - ip - 3) || substr(o, im + 3) || substr(o, 4, ip - 4) END) AS restored_sha256
+FROM back
+"""
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS last FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+    CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM f
+"""
+
+
+def centroid_sql(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Lloyd rounds spelled out: components as rows, distances as sums over them."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""placed{r} AS MATERIALIZED (
+    SELECT vec_id, v, min(struct_pack(distance := distance, c := c)) AS near FROM (
+        SELECT vec_id, v, c, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(v, w)])::BIGINT AS distance
+        FROM vectors, centroids{r}) GROUP BY vec_id, v)""")
+        if r < rounds:
+            steps.append(f"""moved{r} AS (
+    SELECT c, list(m ORDER BY d) AS w FROM (
+        SELECT c, d, (s - ((s % n) + n) % n) // n AS m FROM (
+            SELECT near.c AS c, d, sum(v[d])::BIGINT AS s, count(*) AS n FROM placed{r}, range(1, {dims + 1}) t(d) GROUP BY ALL))
+    GROUP BY c),
+centroids{r + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.w, o.w) AS w FROM centroids{r} o LEFT JOIN moved{r} m ON o.c = m.c)""")
+    last = f"placed{rounds}"
+    return f"""WITH vectors AS MATERIALIZED (
+    SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v AS w FROM vectors
+    ORDER BY sha256('3:' || vec_id), v LIMIT {k}),
+{",".join(steps)}
+SELECT vec_id, near.c::INT AS cluster, near.distance AS distance, (sum(near.distance) OVER (PARTITION BY near.c))::BIGINT AS cluster_inertia,
+    (sum(near.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM {last} JOIN centroids{rounds} ON near.c = centroids{rounds}.c
+"""
+
+
 def comparison_sql() -> dict[str, str]:
-    return {"op2_ngram_join": NGRAM_SQL, "op7_mix": MIX_SQL}
+    return {"op2_ngram_join": NGRAM_SQL, "op7_mix": MIX_SQL, "op11_fim": FIM_SQL, "op12_warc": WARC_SQL,
+            "op13_centroids": centroid_sql()}
