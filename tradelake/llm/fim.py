@@ -24,8 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PIECE_BYTES = 64 << 10
+PARTITION_BYTES = 32 << 20  # text that a partition sorts, on average
 BLOCK_BYTES = 1 << 20  # text that one numpy step looks at
 
 # Fixed values of the interface.
@@ -131,9 +133,9 @@ def by_document(key: Key) -> int:
 
 def assembled(docs: DataFrame) -> RDD:
     """The outputs of ``docs(doc_id, text)`` as sorted ``((document, place), piece)``; place -1 holds the head."""
-    rows = docs.select("doc_id", "text").rdd
-    wide = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * rows.getNumPartitions())
-    return rows.mapPartitions(_emit).repartitionAndSortWithinPartitions(wide, by_document)
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    wide = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    return docs.select("doc_id", "text").rdd.mapPartitions(_emit).repartitionAndSortWithinPartitions(wide, by_document)
 
 
 def _placed_back(pieces: Iterator[tuple[Key, object]]) -> Iterator[tuple[Key, object]]:
