@@ -2,16 +2,19 @@
 
 from datetime import UTC, datetime, timedelta
 
+import duckdb
 import pytest
 from conftest import at
 from pyspark.sql import functions as F
-from test_silver_gold import deliver
+from pyspark.sql import types as T
+from test_silver_gold import deliver, held_days
 from trades import payload, sorted_rows
 
 from tradelake.plans import dashboards, export, gold, state
 from tradelake.schemas import DATE_PARTS, PUBLISHED, STATS_TABLE, VWAP_TABLE, Layout, safe_name
 from tradelake.sources.catalog import register_views
-from tradelake.sources.tables import partition_days, read_gold, union_by_name
+from tradelake.sources import snapshots
+from tradelake.sources.tables import common_type, read_gold, union_by_name
 
 
 def lake_rows(spark, layout, table=VWAP_TABLE):
@@ -26,13 +29,13 @@ def test_export_follows_gold(spark, layout):
     deliver(spark, layout, [payload("a", time=at(9, 23, 59)), payload("b", time=at(10)), payload("c", time=at(12))], at(20))
     first = export.run_export(spark, layout)
     assert [(r.ok, r.full, r.rows_written, r.rows_total, r.days) for r in first] == [(True, True, 3, 3, 3)] * 2
-    assert partition_days(spark, layout.lake(VWAP_TABLE), DATE_PARTS) == {("2026", "04", d) for d in ("09", "10", "12")}
-    files = spark.read.parquet(layout.lake(VWAP_TABLE)).inputFiles()
+    assert held_days(spark, layout.lake(VWAP_TABLE)) == {f"year=2026/month=04/day={d}" for d in ("09", "10", "12")}
+    files = read_gold(spark, layout.lake(VWAP_TABLE), VWAP_TABLE).inputFiles()
     assert len(files) == 3 and all(f.endswith(".snappy.parquet") for f in files)
 
     again = export.run_export(spark, layout)
     assert [(r.full, r.rows_written, r.rows_total) for r in again] == [(False, 0, 3)] * 2
-    assert sorted(spark.read.parquet(layout.lake(VWAP_TABLE)).inputFiles()) == sorted(files)
+    assert sorted(read_gold(spark, layout.lake(VWAP_TABLE), VWAP_TABLE).inputFiles()) == sorted(files)
 
     # a late trade, an open minute that grows, and a trade that moves to another day
     deliver(spark, layout, [payload("d", time=at(9, 1)), payload("e", price=7, time=at(10)), payload("c", time=at(10, 5))], at(21))
@@ -40,7 +43,7 @@ def test_export_follows_gold(spark, layout):
     assert [(r.full, r.rows_written, r.rows_total, r.days) for r in third] == [(False, 4, 4, 2)] * 2
     for table in PUBLISHED:
         assert lake_rows(spark, layout, table) == gold_rows(spark, layout, table)
-    assert ("2026", "04", "12") not in partition_days(spark, layout.lake(VWAP_TABLE), DATE_PARTS)
+    assert "year=2026/month=04/day=12" not in held_days(spark, layout.lake(VWAP_TABLE))
     rows = {r.table_name: r for r in state.read_export_state(spark, layout).collect()}
     assert rows[VWAP_TABLE].rows_exported == 4 and rows[VWAP_TABLE].rows_total == 4 and len(rows) == 2
     assert state.export_bookmark(spark, layout, VWAP_TABLE) == at(21, 0, 1)
@@ -75,6 +78,16 @@ def test_replica_copies_touched_days_and_may_fail(spark, layout, tmp_path):
     blocked.write_text("in the way")
     reports = export.run_export(spark, layout, replica=str(blocked))
     assert all(r.ok and r.rows_written == 2 and r.replica_error for r in reports)
+    # the next good run makes up for it, and days that went away go away there
+    deliver(spark, layout, [payload("a", time=at(12))], at(22))
+    assert all(r.replica_error is None for r in export.run_export(spark, layout, replica=replica))
+    for table in PUBLISHED:
+        copied = read_gold(spark, Layout(replica).lake(table), table).drop(*DATE_PARTS)
+        assert sorted_rows(copied) == lake_rows(spark, layout, table)
+    assert held_days(spark, Layout(replica).lake(VWAP_TABLE)) == held_days(spark, layout.lake(VWAP_TABLE))
+    before = snapshots.current(spark, Layout(replica).lake(VWAP_TABLE)).number
+    export.run_export(spark, layout, replica=replica)
+    assert snapshots.current(spark, Layout(replica).lake(VWAP_TABLE)).number == before
 
 
 def test_missing_source_leaves_no_output(spark, layout):
@@ -115,9 +128,35 @@ def test_files_of_an_older_schema_read_as_null(spark, layout):
     export.run_export(spark, layout)
     root = layout.lake(VWAP_TABLE)
     old = spark.sql("select timestamp'2026-04-01 10:00:00' window_start, 5.0D vwap, '2026' year, '04' month, '01' day")
-    old.write.mode("append").partitionBy(*DATE_PARTS).parquet(root)
-    for df in (read_gold(spark, root, VWAP_TABLE), union_by_name(spark, root)):
-        assert df.count() == 3 and df.filter("trade_count is null").select("vwap").first().vwap == 5.0
+    pieces = snapshots.write(old, root, DATE_PARTS, [], "window_start")
+    snapshots.commit(spark, root, snapshots.current(spark, root), pieces)
+    df = read_gold(spark, root, VWAP_TABLE)
+    assert df.count() == 3 and df.filter("trade_count is null").select("vwap").first().vwap == 5.0
+
+
+def test_union_by_name_widens_types(spark, tmp_path):
+    """Files of three versions, against the same reader of DuckDB."""
+    root = str(tmp_path / "versions")
+    for i, columns in enumerate([
+        "1 id, cast(7 as int) n, cast(1.25 as decimal(10,2)) price, cast(3 as smallint) k, date'2026-04-01' at",
+        "2 id, cast(5000000000 as bigint) n, cast(2.12345678 as decimal(18,8)) price, cast(0.5 as float) k, timestamp'2026-04-02 03:04:05' at",
+        "3 id, cast(9 as tinyint) n, 'late' extra, cast(2.5 as double) k",
+    ]):
+        spark.sql(f"select {columns}").coalesce(1).write.parquet(f"{root}/part={i}")
+    df = union_by_name(spark, root)
+    assert dict(df.dtypes) == {"id": "int", "n": "bigint", "price": "decimal(18,8)", "k": "double", "at": "timestamp", "extra": "string", "part": "int"}
+    rows = sorted(tuple(r) for r in df.select("id", "n", "price", "k", "extra").collect())
+    con = duckdb.connect()
+    want = con.execute(f"SELECT id, n, price, k, extra FROM read_parquet('{root}/*/*.parquet', union_by_name = true) ORDER BY id").fetchall()
+    assert rows == want and [r.at for r in df.orderBy("id").collect()] == [datetime(2026, 4, 1), datetime(2026, 4, 2, 3, 4, 5), None]
+
+
+def test_common_types():
+    pairs = {("int", "bigint"): "bigint", ("decimal(10,2)", "decimal(18,8)"): "decimal(18,8)", ("bigint", "decimal(4,2)"): "decimal(21,2)",
+             ("decimal(38,2)", "decimal(38,30)"): "double", ("int", "float"): "double", ("int", "string"): "string", ("date", "string"): "string"}
+    for (a, b), want in pairs.items():
+        types = [T._parse_datatype_string(t) if hasattr(T, "_parse_datatype_string") else T.DataType.fromDDL(t) for t in (a, b)]
+        assert common_type(*types).simpleString() == common_type(*types[::-1]).simpleString() == want
 
 
 def ten_minutes(as_of):

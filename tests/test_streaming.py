@@ -3,7 +3,7 @@
 import random
 
 from conftest import at
-from trades import changed, frame, payload, sorted_rows
+from trades import VALID, changed, frame, payload, sorted_rows
 
 from tradelake.operators.metrics import vwap
 from tradelake.plans import gold, silver
@@ -75,7 +75,7 @@ def test_ingest_isolates_poison_and_survives_restart(spark, layout, tmp_path):
     reasons = sorted(r.reasons[0] for r in read_quarantine(spark, layout.quarantine).collect())
     assert reasons == ["frame_not_json", "side_unknown", "trade_not_object"]
     silver.upsert(spark, layout, at(30))
-    assert {r.trade_id: r.side for r in read_silver(spark, layout.silver).collect()} == {"a": "buy", "c": "buy", "d": "sell"}
+    assert {r.trade_id: r.side for r in read_silver(spark, layout.silver).collect()} == {"a": VALID["side"], "c": VALID["side"], "d": "sell"}
 
 
 def test_replayed_batch_changes_nothing(spark, layout):

@@ -3,28 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-from tradelake.sources.tables import drop_days, on_days, read_table, write_days
 
+def merged_rows(stored: DataFrame, rows: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """``stored`` rows whose key is not in ``rows``, plus all ``rows``.
 
-def merge_days(rows: DataFrame, root: str, schema: T.StructType, key: str | Sequence[str], partition: str, days: Sequence[date], order: Sequence[str] = ()) -> dict:
-    """Rewrite ``days`` of a table: stored rows whose key is not in ``rows``, plus
-    the ``rows`` that fall on those days.
-
-    ``rows`` must be materialised and hold each key once; it may mention keys
-    whose new row lies on another day, which removes them here.
+    ``rows`` must be materialised and hold each key once; ``stored`` is what the days
+    to be rewritten hold.
     """
-    if not days:
-        return {"rows": 0, "days": set(), "newest": None}
-    spark = rows.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    stored = on_days(read_table(spark, root, schema), partition, days)
-    kept = stored.join(rows.select(*keys), keys, "left_anti").select(*schema.names)
-    merged = kept.unionByName(on_days(rows, partition, days).select(*schema.names))
-    written = write_days(merged, root, partition, order)
-    drop_days(spark, root, partition, sorted(set(days) - written["days"]))
-    return written
+    kept = stored.join(rows.select(*keys), keys, "left_anti").select(*stored.columns)
+    return kept.unionByName(rows.select(*stored.columns))

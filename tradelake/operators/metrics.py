@@ -27,6 +27,10 @@ def vwap_measures() -> list[Column]:
     ]
 
 
+def _volume_of(side: Column) -> Column:
+    return F.sum(F.when(side, F.col("size")).otherwise(F.lit(0).cast("decimal(18,8)"))).cast(VOLUME)
+
+
 def stats_measures() -> list[Column]:
     """Volatility (NULL below two trades) and the two directions."""
     buy = F.col("side") == "buy"
@@ -34,7 +38,8 @@ def stats_measures() -> list[Column]:
         F.stddev_samp("price").alias("volatility"),
         F.count_if(buy).alias("buy_count"),
         F.count_if(F.col("side") == "sell").alias("sell_count"),
-        F.sum(F.when(buy, F.col("size")).otherwise(F.lit(0).cast("decimal(18,8)"))).cast(VOLUME).alias("buy_volume"),
+        _volume_of(buy).alias("buy_volume"),
+        _volume_of(F.col("side") == "sell").alias("sell_volume"),
         F.sum("size").cast(VOLUME).alias("_volume"),
     ]
 
@@ -46,9 +51,10 @@ def _with_vwap(sums: DataFrame) -> DataFrame:
     })
 
 
-def _with_buy_share(sums: DataFrame) -> DataFrame:
-    percent = F.col("buy_volume") * F.lit(100)
-    return sums.withColumn("buy_volume_pct", share(percent, F.col("_volume"))).drop("_volume", "buy_volume")
+def _with_shares(sums: DataFrame) -> DataFrame:
+    """Both sides' shares of the volume, each from a sum of its own, so that a check can compare them."""
+    shares = {f"{side}_volume_pct": share(F.col(f"{side}_volume") * F.lit(100), F.col("_volume")) for side in ("buy", "sell")}
+    return sums.withColumns(shares).drop("_volume", "buy_volume", "sell_volume")
 
 
 def vwap(trades: DataFrame, unit: str = "minute", by: Sequence[str] = ()) -> DataFrame:
@@ -60,14 +66,14 @@ def vwap(trades: DataFrame, unit: str = "minute", by: Sequence[str] = ()) -> Dat
 def trade_stats(trades: DataFrame, unit: str = "minute", by: Sequence[str] = ()) -> DataFrame:
     """Volatility and buy/sell flow per window (and per ``by``)."""
     keys = [*by, bucket("traded_at", unit).alias("window_start")]
-    return _with_buy_share(trades.groupBy(*keys).agg(*stats_measures()))
+    return _with_shares(trades.groupBy(*keys).agg(*stats_measures()))
 
 
 def all_metrics(trades: DataFrame, unit: str = "minute", by: Sequence[str] = ()) -> DataFrame:
     """Both gold tables from one scan and one exchange."""
     keys = [*by, bucket("traded_at", unit).alias("window_start")]
     measures = [*vwap_measures(), *[m for m in stats_measures()]]
-    return _with_buy_share(_with_vwap(trades.groupBy(*keys).agg(*measures)))
+    return _with_shares(_with_vwap(trades.groupBy(*keys).agg(*measures)))
 
 
 def published_vwap(windows: DataFrame, by: Sequence[str] = ()) -> DataFrame:

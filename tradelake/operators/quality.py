@@ -43,10 +43,9 @@ def vwap_outside_bounds(vwap: str, high: str, low: str) -> Column:
     return F.coalesce(~F.col(vwap).between(F.col(low), F.col(high)), F.lit(False))
 
 
-def shares_off(buy: str, sell: str | None = None, tolerance: float = PCT_TOLERANCE) -> Column:
-    """Buy and sell shares that do not add up to 100."""
-    sell_share = F.col(sell) if sell else 100 - F.col(buy)
-    return F.coalesce(F.abs(F.col(buy) + sell_share - 100) > tolerance, F.lit(False))
+def shares_off(buy: str, sell: str, tolerance: float = PCT_TOLERANCE) -> Column:
+    """Buy and sell shares that do not add up to 100, as when a trade has neither side."""
+    return F.coalesce(F.abs(F.col(buy) + F.col(sell) - 100) > tolerance, F.lit(False))
 
 
 def duplicated(df: DataFrame, *key: str) -> DataFrame:
@@ -55,13 +54,13 @@ def duplicated(df: DataFrame, *key: str) -> DataFrame:
     return df.filter(present).groupBy(*key).agg(F.count(F.lit(1)).alias("occurrences")).filter("occurrences > 1")
 
 
-def freshness(df: DataFrame, ts: str, as_of: datetime | Column, warn_after: timedelta = WARN_AFTER, error_after: timedelta = ERROR_AFTER) -> DataFrame:
-    """One row: newest arrival and pass / warn / error at ``as_of``.
+def freshness(df: DataFrame, ts: str, as_of: datetime | Column, warn_after: timedelta = WARN_AFTER, error_after: timedelta = ERROR_AFTER, by: Sequence[str] = ()) -> DataFrame:
+    """Newest arrival and pass / warn / error at ``as_of``: one row, or one for each group of ``by``.
 
     An empty source counts as an error.
     """
     as_of = F.lit(as_of) if isinstance(as_of, datetime) else as_of
-    newest = df.agg(F.max(ts).cast("timestamp").alias("newest")).withColumn("as_of", as_of.cast("timestamp"))
+    newest = df.groupBy(*by).agg(F.max(ts).cast("timestamp").alias("newest")).withColumn("as_of", as_of.cast("timestamp"))
     age = F.unix_micros("as_of") - F.unix_micros("newest")
     limit = lambda d: F.lit(int(d.total_seconds() * 1_000_000))
     status = (
@@ -77,7 +76,7 @@ CHECKS: dict[str, Callable[..., DataFrame]] = {
     "accepted_values": lambda df, column, values: df.filter(not_accepted(column, values)),
     "between": lambda df, column, low, high: df.filter(outside(column, low, high)),
     "vwap_bounds": lambda df, vwap, high, low: df.filter(vwap_outside_bounds(vwap, high, low)),
-    "pct_sum": lambda df, buy, sell=None: df.filter(shares_off(buy, sell)),
+    "pct_sum": lambda df, buy, sell: df.filter(shares_off(buy, sell)),
 }
 
 # The same row-level rules as predicates, so that a suite needs one pass.
@@ -113,6 +112,13 @@ def _not_null(*columns: str) -> list[Check]:
     return [Check("not_null", column, {"column": column}) for column in columns]
 
 
+def fresh_source(arrivals: DataFrame, table: str, as_of: datetime) -> DataFrame:
+    """The source's freshness as a row of ``report``: pass, warn or error."""
+    return freshness(arrivals, "received_at", as_of).select(
+        F.lit(table).alias("table"), F.lit("freshness").alias("check"), F.lit("received_at").alias("column"),
+        (F.col("status") != "pass").cast("long").alias("failures"), "status")
+
+
 SILVER_SUITE = [
     Check("unique", "trade_id", {"column": "trade_id"}),
     *_not_null("trade_id", "price", "size", "side", "traded_at", "ingested_at"),
@@ -137,7 +143,7 @@ VWAP_ROW_CHECKS = [
 STATS_ROW_CHECKS = [
     *_not_null("window_start"),
     Check("between", "buy_volume_pct", {"column": "buy_volume_pct", "low": 0.0, "high": 100.0}),
-    Check("pct_sum", "buy_volume_pct", {"buy": "buy_volume_pct"}),
+    Check("pct_sum", "buy_volume_pct", {"buy": "buy_volume_pct", "sell": "sell_volume_pct"}),
 ]
 
 

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions.dates import day_of
 from tradelake.functions.windows import aware
 from tradelake.operators.absent import absent_rows, id_bytes
-from tradelake.schemas import Layout
-from tradelake.sources.tables import read_bronze
+from tradelake.schemas import BRONZE, Layout
+from tradelake.sources.files import claim, delete, names
+from tradelake.sources.tables import read_bronze, read_table
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,11 @@ class IngestReport:
         return self.attempted - self.inserted
 
 
+def arrivals_day(received_at: datetime) -> date:
+    """The partition that a batch with this stamp goes to."""
+    return received_at.astimezone(UTC).date()
+
+
 def stamp(batch: DataFrame, received_at: datetime) -> DataFrame:
     """payload -> bronze columns; the whole batch carries one arrival stamp.
 
@@ -39,6 +45,26 @@ def stamp(batch: DataFrame, received_at: datetime) -> DataFrame:
     ).withColumn("received_date", day_of("received_at"))
 
 
+def next_batch(spark: SparkSession, layout: Layout) -> int:
+    """A batch number that nobody else has or gets; numbers of batches that died stay unused.
+
+    A number is a file that only one caller can create. Older ones are removed, so the
+    folder stays small however many batches there were.
+    """
+    taken = sorted(int(name) for name in names(spark, layout.bronze_batches) if name.isdigit())
+    number = taken[-1] + 1 if taken else 1
+    while not claim(spark, f"{layout.bronze_batches}/{number:012d}"):
+        number += 1
+    for old in taken[:-1]:
+        delete(spark, f"{layout.bronze_batches}/{old:012d}")
+    return number
+
+
+def batches(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Bronze with the number of the batch that brought each row, a partition column."""
+    return read_table(spark, layout.bronze, BRONZE)
+
+
 def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: datetime, redelivery_days: int | None = None, keep: str = "first") -> IngestReport:
     """Append the rows of ``batch`` (``payload``, maybe ``trade_id``) that are new.
 
@@ -49,6 +75,8 @@ def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: d
 
     ``keep="all"`` stores every arrival instead, for feeds that correct trades by
     sending them again: silver then keeps the latest version.
+
+    Every batch is a partition with a number of its own; the inserted rows are counted there.
     """
     if keep not in ("first", "all"):
         raise ValueError(f"unknown policy: {keep!r}")
@@ -59,12 +87,16 @@ def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: d
     counts = arrivals.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("trade_id").isNull()).alias("nulls"), id_bytes().alias("bytes")
     ).first()
-    inserted = Observation()
+    if not counts.rows:
+        return IngestReport(0, 0)
+    number = next_batch(spark, layout)
     (
         (arrivals if keep == "all" else absent_rows(arrivals, stored, null_keys=counts.nulls > 0, measured_bytes=counts.bytes))
-        .observe(inserted, F.count(F.lit(1)).alias("rows"))
+        .withColumn("batch", F.lit(number).cast("long"))
         .write.mode("append")
-        .partitionBy("received_date")
+        .partitionBy("received_date", "batch")
         .parquet(layout.bronze)
     )
-    return IngestReport(attempted=counts.rows, inserted=inserted.get.get("rows") or 0)
+    day = F.col("received_date") == F.lit(arrivals_day(received_at))
+    inserted = batches(spark, layout).filter(day & (F.col("batch") == number)).count()
+    return IngestReport(attempted=counts.rows, inserted=inserted)

@@ -7,8 +7,10 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradelake.schemas import DATE_PARTS, STATS_TABLE, VWAP_TABLE, Layout
-from tradelake.sources.tables import partition_days, read_gold
+from tradelake.schemas import STATS_TABLE, VWAP_TABLE, Layout, lake_schema
+from tradelake.sources import snapshots
+from tradelake.sources.snapshots import Snapshot
+from tradelake.sources.tables import read_gold
 
 
 def _sell_share():
@@ -33,7 +35,7 @@ def chart(windows: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
 def recent(spark: SparkSession, layout: Layout, name: str, as_of: datetime | None = None, minutes: int = 60) -> DataFrame:
     """Windows that started in the ``minutes`` up to ``as_of``, oldest first.
 
-    Only the day directories that can hold them are read.
+    Only the pieces that can hold them are opened, as the manifest tells.
     """
     since = (as_of or datetime.now(UTC)) - timedelta(minutes=minutes)
     table, _ = CHARTS[name]
@@ -43,18 +45,28 @@ def recent(spark: SparkSession, layout: Layout, name: str, as_of: datetime | Non
     return chart(windows, name, layout.by).orderBy("window_start")
 
 
-def latest(spark: SparkSession, layout: Layout, name: str, n: int = 5) -> DataFrame:
-    """The newest ``n`` windows, newest first (a distributed top-k), each with the rows of all its keys.
+def newest_days(snapshot: Snapshot, n: int, by: tuple[str, ...] = ()) -> set[str]:
+    """Keys of the days that hold the newest ``n`` windows, from the manifest alone.
 
-    A day directory holds at least one window, so the newest ``n`` directories
-    hold them all, and only those are read.
+    Without further keys a row is a window; with them a day is only known to hold one window.
     """
+    days = [(max(p.high for p in day.pieces if p.high is not None), key, 1 if by else sum(p.rows for p in day.pieces))
+            for key, day in snapshot.days.items() if any(p.high is not None for p in day.pieces)]
+    found, held = set(), 0
+    for _, key, windows in sorted(days, reverse=True):
+        if held >= n:
+            break
+        found.add(key)
+        held += windows
+    return found
+
+
+def latest(spark: SparkSession, layout: Layout, name: str, n: int = 5) -> DataFrame:
+    """The newest ``n`` windows, newest first (a distributed top-k), each with the rows of all its keys."""
     table, _ = CHARTS[name]
-    dated = [day for day in partition_days(spark, layout.lake(table), DATE_PARTS) if day[0].isdigit()]
-    days = sorted(dated, reverse=True)[:n]
-    windows = read_gold(spark, layout.lake(table), table, by=layout.by)
-    if days:
-        windows = windows.filter(F.struct(*DATE_PARTS) >= F.struct(*[F.lit(part) for part in days[-1]]))
+    root = layout.lake(table)
+    snapshot = snapshots.current(spark, root) or snapshots.EMPTY
+    windows = snapshots.on_keys(spark, root, lake_schema(table, layout.by), newest_days(snapshot, n, layout.by), snapshot)
     if not layout.by:
         return chart(windows, name).orderBy(F.desc("window_start")).limit(n)
     newest = windows.withColumn("_place", F.dense_rank().over(Window.orderBy(F.desc("window_start")))).filter(F.col("_place") <= n)

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tradelake.functions.windows import with_date_parts
+from tradelake.functions.dates import UNDATED
+from tradelake.functions.windows import from_micros, with_date_parts
 from tradelake.operators.metrics import published_stats, published_vwap
 from tradelake.plans import gold, state
-from tradelake.schemas import DATE_PARTS, VWAP_TABLE, Layout, lake_schema, safe_name
+from tradelake.schemas import DATE_PARTS, VWAP_TABLE, Layout, gold_schema, lake_schema, safe_name
+from tradelake.sources import snapshots
 from tradelake.sources.catalog import register_views
-from tradelake.sources.tables import (
-    delete, exists, on_days, partition_days, read_table, replace_table, write_days,
-)
+from tradelake.sources.snapshots import Snapshot
+from tradelake.sources.tables import date_part_key
 
 
 @dataclass(frozen=True)
@@ -41,72 +40,81 @@ class ExportFailed(RuntimeError):
 
 
 def publishable(rows: DataFrame, table: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """Published columns, the directory names, and the refresh stamp."""
+    """Published columns and the directory names."""
     shaped = published_vwap if table == VWAP_TABLE else published_stats
-    return with_date_parts(shaped(rows, by=[*by, "updated_at"])).select(*lake_schema(table, by).names, "updated_at")
+    return with_date_parts(shaped(rows, by=by)).select(*lake_schema(table, by).names)
+
+
+def _publish(spark: SparkSession, layout: Layout, table: str, rows: DataFrame, source: Snapshot, replaced: set[str] | None) -> dict:
+    root = layout.lake(table)
+    before = snapshots.current(spark, root)
+    pieces = snapshots.write(publishable(rows, table, layout.by), root, DATE_PARTS, ["window_start"], "window_start")
+    after = snapshots.commit(spark, root, before, pieces, replaced, {"gold": source.number})
+    return {"rows": sum(piece.rows for piece in pieces.values()), "days": len(pieces), "total": after.rows}
 
 
 def full_export(spark: SparkSession, layout: Layout, table: str) -> dict:
-    """Write the whole table beside the dataset, then swap it in."""
-    rows = publishable(gold.read(spark, layout, safe_name(table)), table, layout.by)
-    return replace_table(spark, rows, layout.lake(table), DATE_PARTS, ["window_start"], stamp="updated_at")
+    """Publish the whole table in one commit; an emptied table is published as such."""
+    root = layout.gold(safe_name(table))
+    source = snapshots.current(spark, root) or snapshots.EMPTY
+    rows = snapshots.read(spark, root, gold_schema(table, layout.by), source)
+    return _publish(spark, layout, table, rows, source, None)
 
 
-def incremental_export(spark: SparkSession, layout: Layout, table: str, bookmark: datetime) -> dict:
-    """Publish again every day that holds a window refreshed after ``bookmark``.
+def incremental_export(spark: SparkSession, layout: Layout, table: str, after: int) -> dict:
+    """Publish again every day that gold changed since its commit ``after``.
 
-    Days are rewritten whole, so open and late windows are brought up to date
-    and repeating the export changes nothing. Days gold no longer has go away.
+    Days are replaced whole, so open and late windows are brought up to date, days that
+    gold no longer has go away, and repeating the export changes nothing. It makes no
+    difference who changed gold, a refresh or a stream, or what stamp it used.
     """
-    source = gold.read(spark, layout, safe_name(table))
-    stale = source.filter(F.col("updated_at") > F.lit(bookmark)).select("window_date").distinct().collect()
-    days = [row.window_date for row in stale]
-    written = {"rows": 0, "days": set(), "newest": None}
-    if days:
-        rows = publishable(on_days(source, "window_date", days), table, layout.by)
-        written = write_days(rows, layout.lake(table), DATE_PARTS, ["window_start"], stamp="updated_at")
-    live = {tuple(day[0].split("-")) for day in partition_days(spark, layout.gold(table), ["window_date"])}
-    for year, month, day in partition_days(spark, layout.lake(table), DATE_PARTS) - live:
-        delete(spark, f"{layout.lake(table)}/year={year}/month={month}/day={day}")
-    return written
+    root = layout.gold(safe_name(table))
+    source = snapshots.current(spark, root) or snapshots.EMPTY
+    changed = source.changed_since(after)
+    if not changed:
+        return {"rows": 0, "days": 0, "total": (snapshots.current(spark, layout.lake(table)) or snapshots.EMPTY).rows}
+    rows = snapshots.on_keys(spark, root, gold_schema(table, layout.by), changed, source)
+    days = {snapshots.key_day(key) for key in changed}
+    # windows without a time are kept under a day of their own
+    replaced = {date_part_key(day) for day in days} | ({date_part_key(None)} if UNDATED in days else set())
+    return _publish(spark, layout, table, rows, source, replaced)
 
 
 def row_count(spark: SparkSession, layout: Layout, table: str) -> int:
-    """Rows in all files of an exported dataset (0 when there is none)."""
-    return read_table(spark, layout.lake(table), lake_schema(table, layout.by)).count()
+    """Rows of an exported dataset (0 when there is none), as its manifest counts them."""
+    return (snapshots.current(spark, layout.lake(table)) or snapshots.EMPTY).rows
 
 
-def replicate(spark: SparkSession, layout: Layout, table: str, days: set[tuple[str, str, str]], replica: str) -> None:
-    """Copy the given days of a dataset to a second root, same relative paths."""
-    if not days:
-        return
-    touched = F.concat_ws("-", *DATE_PARTS).isin(["-".join(day) for day in days])
-    rows = read_table(spark, layout.lake(table), lake_schema(table, layout.by)).filter(touched)
-    write_days(rows, Layout(replica).lake(table), DATE_PARTS, ["window_start"])
+def replicate(spark: SparkSession, layout: Layout, table: str, replica: str) -> None:
+    """Bring a second root to the state of the dataset, whatever it missed before."""
+    snapshots.copy(spark, layout.lake(table), Layout(replica).lake(table))
 
 
 def export_table(spark: SparkSession, layout: Layout, table: str, replica: str | None = None) -> ExportReport:
     """Export one table: full the first time, incremental afterwards.
 
-    The bookmark is the newest refresh stamp actually written and moves only
-    after the write. A failing replica is reported and does not undo the export.
+    The lake notes the gold commit that it shows, in the commit that shows it. A
+    failing replica is reported and does not undo the export; the next run makes up for it.
     """
     try:
-        bookmark = state.export_bookmark(spark, layout, table)
-        full = bookmark is None or not exists(spark, layout.lake(table))
-        written = full_export(spark, layout, table) if full else incremental_export(spark, layout, table, bookmark)
-        total = row_count(spark, layout, table)
-        if written["rows"]:
-            state.upsert_export_state(spark, layout, table, written["newest"], written["rows"], total)
+        source = snapshots.current(spark, layout.gold(safe_name(table)))
+        lake = snapshots.current(spark, layout.lake(table))
+        if source is None and lake is None:
+            return ExportReport(table, True, True)
+        full = lake is None or source is not None and source.number < lake.notes["gold"]  # gold was made anew
+        written = full_export(spark, layout, table) if full else incremental_export(spark, layout, table, lake.notes["gold"])
+        if written["days"] or full:
+            at = from_micros(source.notes.get("refreshed_at", 0))
+            state.upsert_export_state(spark, layout, table, at, written["rows"], written["total"])
     except Exception as error:  # one table's failure must not stop the others
         return ExportReport(table, ok=False, error=str(error))
     replica_error = None
     if replica:
         try:
-            replicate(spark, layout, table, written["days"], replica)
+            replicate(spark, layout, table, replica)
         except Exception as error:  # the replica is best effort
             replica_error = str(error)
-    return ExportReport(table, True, full, written["rows"], total, len(written["days"]), replica_error=replica_error)
+    return ExportReport(table, True, full, written["rows"], written["total"], written["days"], replica_error=replica_error)
 
 
 def run_export(spark: SparkSession, layout: Layout, tables: Sequence[str] = gold.TABLES, replica: str | None = None) -> list[ExportReport]:

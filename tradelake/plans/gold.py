@@ -9,24 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions.dates import day_of
-from tradelake.operators.merge import merge_days
+from tradelake.operators.merge import merged_rows
 from tradelake.operators.metrics import all_metrics, published_stats, published_vwap
-from tradelake.plans import state
-from tradelake.schemas import STATS_TABLE, VWAP_TABLE, Layout, gold_schema
-from tradelake.sources.tables import (
-    MAX_LISTED_DAYS, drop_days, exists, on_days, read_silver, read_table, replace_table, staged, write_days,
-)
+from tradelake.schemas import SILVER, STATS_TABLE, VWAP_TABLE, Layout, gold_schema
+from tradelake.sources import snapshots
+from tradelake.sources.snapshots import Snapshot
+from tradelake.sources.tables import micros, read_silver, staged
 
-GOLD_STATE = "gold"
 TABLES: Sequence[str] = (VWAP_TABLE, STATS_TABLE)
 
 
 def gold_rows(silver: DataFrame, refreshed_at: datetime, by: tuple[str, ...] = ()) -> DataFrame:
     """Both tables' columns per minute, stamped with the refresh time.
 
-    ``updated_at`` tells the export which days to publish again. It is the
-    refresh time rather than the newest arrival, because a window also changes
-    when a trade leaves it.
+    ``updated_at`` is the refresh time rather than the newest arrival, because a window
+    also changes when a trade leaves it. It is for readers; the export goes by commits.
     """
     return all_metrics(silver, by=by).withColumns({
         "updated_at": F.lit(refreshed_at), "window_date": day_of("window_start"),
@@ -35,7 +32,7 @@ def gold_rows(silver: DataFrame, refreshed_at: datetime, by: tuple[str, ...] = (
 
 def read(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """A gold table with its internal columns."""
-    return read_table(spark, layout.gold(table), gold_schema(table, layout.by))
+    return snapshots.read(spark, layout.gold(table), gold_schema(table, layout.by))
 
 
 def published(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
@@ -44,45 +41,63 @@ def published(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     return published_vwap(rows, layout.by) if table == VWAP_TABLE else published_stats(rows, layout.by)
 
 
+def _write(rows: DataFrame, layout: Layout, table: str) -> dict[str, snapshots.Piece]:
+    columns = gold_schema(table, layout.by).names
+    return snapshots.write(rows.select(*columns), layout.gold(table), "window_date", ["window_start"], "window_start")
+
+
+def _commit(spark: SparkSession, layout: Layout, rows: DataFrame, replaced: list[str] | None, silver: Snapshot, run_at: datetime) -> None:
+    """Both tables, each in one commit that also notes the silver commit it was made of."""
+    notes = {"silver": silver.number, "refreshed_at": micros(run_at)}
+    for table in TABLES:
+        before = snapshots.current(spark, layout.gold(table))
+        snapshots.commit(spark, layout.gold(table), before, _write(rows, layout, table), replaced, notes)
+
+
 def rebuild(spark: SparkSession, layout: Layout, run_at: datetime) -> int:
-    """Full rebuild of both tables from one aggregation, each swapped in whole."""
-    _, newest = state.changed_days(spark, layout)
-    with staged(gold_rows(read_silver(spark, layout.silver), run_at, layout.by), "gold-all") as rows:
-        for table in TABLES:
-            replace_table(spark, rows.select(*gold_schema(table, layout.by).names), layout.gold(table), "window_date", ["window_start"])
+    """Full rebuild of both tables from one aggregation; empty silver empties them."""
+    silver = snapshots.current(spark, layout.silver) or snapshots.EMPTY
+    trades = read_silver(spark, layout.silver, snapshot=silver)
+    with staged(gold_rows(trades, run_at, layout.by), "gold-all") as rows:
         windows = rows.count()
-    state.set_bookmark(spark, layout, GOLD_STATE, newest)
+        _commit(spark, layout, rows, None, silver, run_at)
     return windows
 
 
 def refresh(spark: SparkSession, layout: Layout, run_at: datetime) -> list[date]:
-    """Recompute the days that silver changed since the last refresh.
+    """Recompute the days that silver changed since the commit that gold was made of.
 
-    Whole days are aggregated again from silver, so late, moved and corrected
+    Commits are told apart by number, so it doesn't matter whether ``run_at`` repeats or goes
+    back. Whole days are aggregated again from silver, so late, moved and corrected
     trades all count, and the result equals a full rebuild. Reading is limited to
-    the day partitions; nothing is joined.
+    the days' pieces; nothing is joined. If a run dies between the tables, the days are
+    computed again.
     """
-    since = state.bookmark(spark, layout, GOLD_STATE)
-    if since is None or not all(exists(spark, layout.gold(table)) for table in TABLES):
-        rebuild(spark, layout, run_at)
-        return state.changed_days(spark, layout)[0]
-    days, newest = state.changed_days(spark, layout, since)
-    if len(days) > MAX_LISTED_DAYS:
+    silver = snapshots.current(spark, layout.silver)
+    if silver is None:
+        return []
+    made = [snapshots.current(spark, layout.gold(table)) for table in TABLES]
+    if not all(made) or any(not 0 <= snapshot.notes.get("silver", -1) <= silver.number for snapshot in made):
         rebuild(spark, layout, run_at)
-        return days
+        return [snapshots.key_day(key) for key in silver.days]
+    changed = silver.changed_since(min(snapshot.notes["silver"] for snapshot in made))
+    days = [snapshots.key_day(key) for key in changed]
     if days:
-        silver = on_days(read_silver(spark, layout.silver), "trade_date", days)
-        with staged(gold_rows(silver, run_at, layout.by), "gold-days") as rows:
-            for table in TABLES:
-                written = write_days(rows.select(*gold_schema(table, layout.by).names), layout.gold(table), "window_date", ["window_start"])
-                drop_days(spark, layout.gold(table), "window_date", sorted(set(days) - written["days"]))
-    state.set_bookmark(spark, layout, GOLD_STATE, newest)
+        trades = snapshots.on_keys(spark, layout.silver, SILVER, changed, silver)
+        with staged(gold_rows(trades, run_at, layout.by), "gold-days") as rows:
+            _commit(spark, layout, rows, [snapshots.day_key("window_date", day) for day in days], silver, run_at)
     return days
 
 
 def upsert_windows(windows: DataFrame, layout: Layout, table: str = VWAP_TABLE) -> None:
-    """Replace single windows of one table by key (the streaming sink's step)."""
-    schema = gold_schema(table, layout.by)
+    """Replace single windows of one table by key (the streaming sink's step), as one commit."""
+    spark, schema, root = windows.sparkSession, gold_schema(table, layout.by), layout.gold(table)
     with staged(windows.select(*schema.names), "windows") as rows:
-        days = [row.window_date for row in rows.select("window_date").distinct().collect()]
-        merge_days(rows, layout.gold(table), schema, layout.window_key, "window_date", days, ["window_start"])
+        found = rows.agg(F.collect_set("window_date").alias("days"), F.unix_micros(F.max("updated_at")).alias("at")).first()
+        if not found.days:
+            return
+        before = snapshots.current(spark, root)
+        keys = [snapshots.day_key("window_date", day) for day in found.days]
+        held = snapshots.on_keys(spark, root, schema, keys, before)
+        pieces = _write(merged_rows(held, rows, layout.window_key), layout, table)
+        snapshots.commit(spark, root, before, pieces, keys, {"refreshed_at": found["at"]})

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,19 +13,17 @@ from pyspark.sql import types as T
 from tradelake.functions.dates import day_of
 from tradelake.operators.absent import id_bytes, mentioned_ids
 from tradelake.operators.dedup import keep_one
-from tradelake.operators.merge import merge_days
-from tradelake.plans import state
+from tradelake.operators.merge import merged_rows
+from tradelake.plans.bronze import batches
 from tradelake.plans.quarantine import quarantine
-from tradelake.schemas import PAYLOAD, PRICE, SILVER, SILVER_TABLE, Layout
-from tradelake.sources.tables import (
-    MAX_LISTED_DAYS, bronze_files, distinct_days, exists, read_bronze, read_bronze_files, read_silver, replace_table, staged,
-    write_days,
-)
+from tradelake.schemas import PAYLOAD, PRICE, SILVER, Layout
+from tradelake.sources import snapshots
+from tradelake.sources.tables import distinct_days, merged, outside, ranges_of, read_silver, staged
 
 # Latest-wins order; the columns after the stamp settle equal stamps.
 RECENCY = ("ingested_at", "traded_at", "price", "size", "side", "product_id")
-# How far behind a moment ``arrivals_since`` looks. The upsert goes by files, not by stamps.
-OVERLAP = timedelta(hours=1)
+# A day of so many pieces is written anew as one when it gains rows.
+MOST_PIECES = 16
 
 
 @dataclass(frozen=True)
@@ -40,24 +39,25 @@ def _known(mode: str) -> None:
         raise ValueError(f"unknown mode: {mode!r}")
 
 
-def parse(bronze: DataFrame, mode: str = "strict") -> DataFrame:
+def parse(bronze: DataFrame, mode: str = "strict", keep: Sequence[str] = ()) -> DataFrame:
     """payload -> typed trade columns, for rows that have a trade_id.
 
     ``strict`` raises on a value that does not cast. ``quarantine`` keeps such
     rows, with the broken members listed in ``reasons`` (NULL for a good row).
     The id test uses the stored column, so it reaches the scan; the inline keeps
-    the payload from being parsed more than once per row.
+    the payload from being parsed more than once per row. ``keep`` names bronze columns
+    to carry along.
     """
     _known(mode)
     fields = T.StructType([f for f in PAYLOAD.fields if f.name != "trade_id"])
     rows = bronze.filter(F.col("trade_id").isNotNull()).select(
-        "trade_id", F.col("received_at").alias("ingested_at"), "payload", F.inline(F.array(F.from_json("payload", fields)))
+        "trade_id", F.col("received_at").alias("ingested_at"), "payload", *keep, F.inline(F.array(F.from_json("payload", fields)))
     )
     typed = {"price": PRICE, "size": PRICE, "time": "timestamp"}
     values = {n: F.col(n).cast(t) if mode == "strict" else F.col(n).try_cast(t) for n, t in typed.items()}
     trades = [
         "trade_id", "product_id", values["price"].alias("price"), values["size"].alias("size"), "side",
-        values["time"].alias("traded_at"), "ingested_at",
+        values["time"].alias("traded_at"), "ingested_at", *keep,
     ]
     if mode == "strict":
         return rows.select(*trades)
@@ -76,21 +76,8 @@ def _silver_columns(trades: DataFrame) -> DataFrame:
     return trades.withColumn("trade_date", day_of("traded_at")).select(*SILVER.names)
 
 
-def arrivals_since(bronze: DataFrame, since: datetime | None, overlap: timedelta = OVERLAP) -> DataFrame:
-    """Bronze rows stamped at or after a moment, less the overlap.
-
-    Rows committed later with an older stamp are not among them.
-    """
-    if since is None:
-        return bronze
-    start = since - overlap
-    return bronze.filter((F.col("received_date") >= F.lit(start.date())) & (F.col("received_at") >= F.lit(start)))
-
-
 def _stamps(bronze: DataFrame) -> DataFrame:
-    return bronze.agg(
-        F.unix_micros(F.max("received_at")).alias("at"), F.unix_micros(F.min("received_at")).alias("oldest"), id_bytes().alias("bytes")
-    )
+    return bronze.agg(F.count(F.lit(1)).alias("rows"), id_bytes().alias("bytes"))
 
 
 def _typed(arrivals: DataFrame, mode: str, seen: Observation) -> DataFrame:
@@ -101,98 +88,75 @@ def _typed(arrivals: DataFrame, mode: str, seen: Observation) -> DataFrame:
     return parsed.filter("reasons is null").drop("reasons", "payload")
 
 
-def _set_broken_aside(arrivals: DataFrame, bronze: DataFrame, layout: Layout, mode: str, seen: Observation) -> int:
+def _set_broken_aside(arrivals: DataFrame, layout: Layout, mode: str, seen: Observation) -> int:
     """A second pass over the payloads, only when the first one met broken rows.
 
-    The batch id is the arrival stamp. Files of one stamp may be taken by several
-    runs, so a stamp's rows are read again all together, and they replace themselves.
+    A bronze batch is a quarantine batch. It is taken as a whole, so when a run that
+    died takes it again, its rows replace themselves.
     """
     if mode == "strict" or not seen.get.get("broken"):
         return 0
-    found = parse(arrivals, mode).filter("reasons is not null").select(F.col("ingested_at").alias("received_at"))
-    stamps = found.distinct().withColumn("received_date", day_of("received_at"))
-    same = bronze.join(stamps, ["received_date", "received_at"], "left_semi")
-    broken = parse(same, mode).filter("reasons is not null").select(
-        F.col("payload").alias("raw"), "reasons", F.col("ingested_at").alias("received_at"),
-        F.concat(F.lit("silver-"), F.unix_micros("ingested_at").cast("string")).alias("batch_id"),
-    )
-    quarantine(broken, layout)
-    return found.count()
+    numbered = F.concat(F.lit("silver-"), F.lpad(F.col("batch").cast("string"), 12, "0")).alias("batch_id")
+    broken = parse(arrivals, mode, ["batch"]).filter("reasons is not null").select(
+        F.col("payload").alias("raw"), "reasons", F.col("ingested_at").alias("received_at"), numbered)
+    with staged(broken, "broken") as rows:
+        quarantine(rows, layout)
+        return rows.count()
 
 
 def rebuild(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "strict") -> UpsertReport:
-    """Full refresh from all of bronze."""
-    bronze = read_bronze(spark, layout.bronze)
-    newest = state.moment(_stamps(bronze).first(), "at")
-    if newest is None:
-        return UpsertReport([], 0, 0, True)
-    state.clear_bookmark(spark, layout, SILVER_TABLE)
+    """Full refresh from all of bronze, in one commit; empty bronze empties silver."""
+    _known(mode)
+    bronze = batches(spark, layout)
+    before = snapshots.current(spark, layout.silver)
     seen = Observation()
-    before = {row.trade_date for row in read_silver(spark, layout.silver).select("trade_date").distinct().collect()}
     table = _silver_columns(latest_trades(_typed(bronze, mode, seen)))
-    written = replace_table(spark, table, layout.silver, "trade_date", ["traded_at"])
-    broken = _set_broken_aside(bronze, bronze, layout, mode, seen)
-    days = sorted(before | written["days"])
-    state.note_changed_days(spark, layout, days, run_at)
-    state.take_files(spark, layout, sorted(bronze_files(bronze)), "overwrite")
-    state.set_bookmark(spark, layout, SILVER_TABLE, newest)
-    return UpsertReport(days, written["rows"], broken, True)
+    pieces = snapshots.write(table, layout.silver, "trade_date", ["traded_at"], "traded_at")
+    broken = _set_broken_aside(bronze, layout, mode, seen)
+    after = snapshots.commit(spark, layout.silver, before, pieces, None, {"taken": ranges_of(bronze, "batch")})
+    changed = after.changed_since(after.number - 1)
+    return UpsertReport([snapshots.key_day(key) for key in changed], after.rows, broken, True)
 
 
-def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "strict", redelivery_days: int | None = None) -> UpsertReport:
-    """Bring silver up to date with the bronze files not taken yet.
+def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "strict") -> UpsertReport:
+    """Bring silver up to date with the bronze batches not taken yet.
 
     The result equals a full rebuild, whatever the stamps of the rows and the order
-    in which they were committed. A run that dies takes its files again.
-    ``redelivery_days`` states that no version of a trade is stamped more than that
-    many days after the newest one committed before it; stored
-    files with older arrivals only are then skipped by their ranges. By default
-    every stored id is consulted. Days that only gain trades get appended
-    files; only days that hold an older version of a trade are rewritten, also
-    when the newer version moved to another day.
+    in which they were committed. Rows and the numbers of the batches behind them become visible in one
+    commit, so a run that dies is simply run again. Days that only gain trades get a
+    further piece; days that hold an older version of a trade, also when
+    the newer version moved to another day, and days of many pieces are written anew.
     """
     _known(mode)
-    since = state.bookmark(spark, layout, SILVER_TABLE)
-    if since is None or not exists(spark, layout.silver):
+    before = snapshots.current(spark, layout.silver)
+    if before is None:
         return rebuild(spark, layout, run_at, mode)
-    bronze = read_bronze(spark, layout.bronze)
-    files = sorted(bronze_files(bronze) - state.taken_files(spark, layout))
-    if not files:
-        return UpsertReport([], 0, 0, False)
-    arrivals = read_bronze_files(spark, layout.bronze, files)
+    taken = before.notes.get("taken", [])
+    arrivals = batches(spark, layout).filter(outside("batch", taken))
     measured = _stamps(arrivals).first()
-    newest = state.moment(measured, "at")
-    if newest is None:
-        state.take_files(spark, layout, files)
+    if not measured.rows:
         return UpsertReport([], 0, 0, False)
 
     seen = Observation()
     incoming = _silver_columns(latest_trades(_typed(arrivals, mode, seen)))
     mentioned = mentioned_ids(arrivals, measured.bytes)
-    older = read_silver(spark, layout.silver)
-    if redelivery_days is not None:
-        oldest = min(since, state.moment(measured, "oldest"))
-        older = older.filter(F.col("ingested_at") >= F.lit(oldest - timedelta(days=redelivery_days)))
-    stored = older.join(mentioned, "trade_id", "left_semi").select(
+    stored = read_silver(spark, layout.silver, snapshot=before).join(mentioned, "trade_id", "left_semi").select(
         "trade_id", F.col("trade_date").alias("_old_date"), F.struct(*RECENCY).alias("_old")
     )
     newer = F.col("_old").isNull() | (F.struct(*RECENCY) > F.col("_old"))
     changed = incoming.join(stored, "trade_id", "left").filter(newer).drop("_old")
 
     with staged(changed, "silver-changed") as rows:
-        rewrite = distinct_days(rows, "_old_date")
-        days = distinct_days(rows, "_old_date", "trade_date")
-        if len(days) > MAX_LISTED_DAYS:
-            return rebuild(spark, layout, run_at, mode)
-        if days:
-            state.note_changed_days(spark, layout, days, run_at)
-        replaced = rows.drop("_old_date")
-        merge_days(replaced, layout.silver, SILVER, "trade_id", "trade_date", rewrite, ["traded_at"])
-        added = replaced.filter(~F.col("trade_date").isin(rewrite)) if rewrite else replaced
-        if set(days) - set(rewrite):
-            write_days(added, layout.silver, "trade_date", ["traded_at"], mode="append")
+        key = lambda day: snapshots.day_key("trade_date", day)
+        touched = {key(day) for day in distinct_days(rows, "trade_date")}
+        crowded = {k for k in touched if k in before.days and len(before.days[k].pieces) >= MOST_PIECES}
+        rewrite = crowded | {key(day) for day in distinct_days(rows, "_old_date")}
+        fresh = rows.drop("_old_date")
+        held = snapshots.on_keys(spark, layout.silver, SILVER, rewrite, before)
+        pieces = snapshots.write(merged_rows(held, fresh, "trade_id"), layout.silver, "trade_date", ["traded_at"], "traded_at")
         count = rows.count()
-    broken = _set_broken_aside(arrivals, bronze, layout, mode, seen)
-    state.take_files(spark, layout, files)
-    state.set_bookmark(spark, layout, SILVER_TABLE, max(newest, since))
-    return UpsertReport(sorted(days), count, broken, False)
+    broken = _set_broken_aside(arrivals, layout, mode, seen)
+    notes = {"taken": merged(taken, ranges_of(arrivals, "batch"))}
+    after = snapshots.commit(spark, layout.silver, before, pieces, rewrite, notes)
+    days = [snapshots.key_day(k) for k in after.changed_since(before.number)]
+    return UpsertReport(days, count, broken, False)

@@ -1,17 +1,20 @@
-"""Bookmarks: one partition per table name, so an upsert replaces one partition."""
+"""Bookmarks of the export: one partition per table name, so an upsert replaces one partition.
+
+What silver, gold and the lake have taken from the layer before is not kept here but in the
+notes of their own manifests, so that it changes together with their rows.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.functions.windows import EPOCH_BOOKMARK, aware, from_micros
-from tradelake.schemas import CHANGED_DAYS, EXPORT_STATE, REFRESH_STATE, TAKEN_FILES, Layout, safe_name
-from tradelake.sources.tables import delete, overwrite_partition, read_table
+from tradelake.functions.windows import aware, from_micros
+from tradelake.schemas import EXPORT_STATE, Layout, safe_name
+from tradelake.sources.tables import overwrite_partition, read_table
 
 
 def moment(row, field: str) -> datetime | None:
@@ -38,50 +41,3 @@ def export_bookmark(spark: SparkSession, layout: Layout, table: str) -> datetime
     """Bookmark of the last export, None when the table was never exported."""
     rows = read_export_state(spark, layout).filter(F.col("table_name") == table)
     return moment(rows.select(F.unix_micros("last_exported_at").alias("at")).first(), "at")
-
-
-def set_bookmark(spark: SparkSession, layout: Layout, table: str, bookmark: datetime) -> None:
-    row = (aware(bookmark, "bookmark"), safe_name(table))
-    overwrite_partition(_one_row(spark, row, REFRESH_STATE), layout.refresh_state, "table_name")
-
-
-def bookmark(spark: SparkSession, layout: Layout, table: str) -> datetime | None:
-    rows = read_table(spark, layout.refresh_state, REFRESH_STATE).filter(F.col("table_name") == table)
-    return moment(rows.select(F.unix_micros("bookmark").alias("at")).first(), "at")
-
-
-def clear_bookmark(spark: SparkSession, layout: Layout, table: str) -> None:
-    """Forget a bookmark, so that the next run starts from everything."""
-    delete(spark, f"{layout.refresh_state}/table_name={safe_name(table)}")
-
-
-def taken_files(spark: SparkSession, layout: Layout) -> set[str]:
-    """Bronze files that silver holds."""
-    return {row.file for row in read_table(spark, layout.silver_taken, TAKEN_FILES).collect()}
-
-
-def take_files(spark: SparkSession, layout: Layout, files: Iterable[str], mode: str = "append") -> None:
-    """Record files as taken; call it only after silver was written."""
-    rows = spark.createDataFrame([(file,) for file in files], TAKEN_FILES)
-    rows.coalesce(1).write.mode(mode).parquet(layout.silver_taken)
-
-
-def note_changed_days(spark: SparkSession, layout: Layout, days: Iterable[date], changed_at: datetime) -> None:
-    """Write down which silver days are about to change, before they do.
-
-    If the run dies in between, the next gold refresh still knows the days. The
-    silver and the gold step of one layout run one after the other.
-    """
-    listed = F.split(F.lit(",".join(day.isoformat() for day in days)), ",")
-    rows = spark.range(0, 1, 1, 1).select(
-        F.explode(listed.cast("array<date>")).alias("day"), F.lit(changed_at).alias("changed_at")
-    )
-    rows.select(*CHANGED_DAYS.names).write.mode("append").parquet(layout.silver_changes)
-
-
-def changed_days(spark: SparkSession, layout: Layout, since: datetime = EPOCH_BOOKMARK) -> tuple[list[date], datetime]:
-    """Days noted after ``since``, and the newest note (``since`` if there is none)."""
-    log = read_table(spark, layout.silver_changes, CHANGED_DAYS).filter(F.col("changed_at") > F.lit(since))
-    rows = log.groupBy("day").agg(F.unix_micros(F.max("changed_at")).alias("at")).collect()
-    newest = max((moment(row, "at") for row in rows), default=since)
-    return sorted(row.day for row in rows), newest

@@ -7,10 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelake.queries import checks, feed, lake, metrics, streams, trades
+from tradelake.queries import checks, commits, feed, lake, metrics, streams, trades
 from tradelake.session import configure
 
-_MODULES = (metrics, trades, feed, checks, lake, streams)
+_MODULES = (metrics, trades, feed, checks, lake, streams, commits)
 
 
 def _configured(query: Callable) -> Callable[[SparkSession, str], DataFrame]:

@@ -7,9 +7,9 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from tradelake.operators import quality
-from tradelake.operators.metrics import published_stats, trade_stats, vwap
+from tradelake.operators.metrics import trade_stats, vwap
 from tradelake.plans.refresh import quality_report
-from tradelake.queries.common import TRADES, comparable, event_trades, events, line_trades, LINES, stats_sql, two_deliveries
+from tradelake.queries.common import LINES, SECOND_ARRIVAL, TRADES, comparable, event_trades, events, line_trades, two_deliveries
 from tradelake.sources import tape
 
 
@@ -40,13 +40,24 @@ def _freshness(spark, folder):
     """One status per event type, as of the newest event of all."""
     rows = events(spark, folder)
     newest = rows.agg(F.max("ts").cast("timestamp").alias("m")).scalar()
-    return comparable(quality.freshness(rows.filter("event_type = 'click'"), "ts", newest + F.expr("INTERVAL 45 MINUTES"), timedelta(minutes=30), timedelta(hours=2)))
+    return comparable(quality.freshness(rows, "ts", newest + F.expr("INTERVAL 45 MINUTES"), timedelta(minutes=60), timedelta(hours=2), ["event_type"]))
 
 
 def _pct_sum(spark, folder):
-    stats = published_stats(trade_stats(event_trades(spark, folder))).withColumn("sell_volume_pct", 100 - F.col("buy_volume_pct"))
-    return stats.agg(F.count_if(quality.shares_off("buy_volume_pct", "sell_volume_pct")).alias("failures"),
-                     F.count("buy_volume_pct").alias("checked"))
+    """Hours of a tape whose views have no side: their volume is in neither share."""
+    sided = event_trades(spark, folder).withColumn("side", F.when(F.col("product_id") != "view", F.col("side")))
+    stats = trade_stats(sided, "hour")
+    off = quality.run("pct_sum", stats, buy="buy_volume_pct", sell="sell_volume_pct")
+    return comparable(off.select("window_start", "buy_count", "sell_count"))
+
+
+def _report(table):
+    return table.select(F.col("table").alias("table_name"), F.col("check").alias("check_name"), F.col("column").alias("column_name"), "failures", "status")
+
+
+def _stale_report(spark, folder):
+    """All checks of the whole tape, 45 minutes after its arrival."""
+    return _report(quality_report(spark, two_deliveries(spark, folder), as_of=SECOND_ARRIVAL + timedelta(minutes=45)))
 
 
 QUERIES = {
@@ -59,8 +70,8 @@ QUERIES = {
     "check_vwap_ceiling": _bounds("ceiling"),
     "check_freshness": _freshness,
     "check_pct_sum": _pct_sum,
-    "quality_report": lambda spark, folder: quality_report(spark, two_deliveries(spark, folder)).select(
-        F.col("table").alias("table_name"), F.col("check").alias("check_name"), F.col("column").alias("column_name"), "failures", "status"),
+    "quality_report": lambda spark, folder: _report(quality_report(spark, two_deliveries(spark, folder))),
+    "quality_report_stale": _stale_report,
 }
 
 _SUITE = [
@@ -101,11 +112,14 @@ SQL = {
     "check_vwap_ceiling": f"""WITH {TRADES}, {_HOURS}
 SELECT window_start, low::DOUBLE AS low_price, trade_count FROM hours
 WHERE q > 0 AND pq > CAST(low + 60 AS DECIMAL(18,8)) * CAST(q AS DECIMAL(20,8))""",
-    "check_freshness": """WITH n AS (SELECT max(ts) FILTER (WHERE event_type = 'click') AS newest, max(ts) + INTERVAL 45 MINUTES AS as_of FROM events)
-SELECT newest, as_of, CASE WHEN as_of - newest > INTERVAL 2 HOURS THEN 'error' WHEN as_of - newest > INTERVAL 30 MINUTES THEN 'warn' ELSE 'pass' END AS status FROM n""",
-    "check_pct_sum": f"""WITH {TRADES}, stats AS ({stats_sql('minute')})
-SELECT count(*) FILTER (WHERE abs(buy_volume_pct + (100 - buy_volume_pct) - 100) > 0.001) AS failures, count(buy_volume_pct) AS checked FROM stats""",
+    "check_freshness": """WITH n AS (SELECT event_type, max(ts) AS newest, (SELECT max(ts) + INTERVAL 45 MINUTES FROM events) AS as_of FROM events GROUP BY event_type)
+SELECT *, CASE WHEN as_of - newest > INTERVAL 2 HOURS THEN 'error' WHEN as_of - newest > INTERVAL 60 MINUTES THEN 'warn' ELSE 'pass' END AS status FROM n""",
+    "check_pct_sum": f"""WITH {TRADES}, h AS (SELECT date_trunc('hour', traded_at) AS window_start, sum(size)::DOUBLE AS v,
+  coalesce(sum(size) FILTER (WHERE side = 'buy' AND product_id <> 'view'), 0)::DOUBLE AS b, coalesce(sum(size) FILTER (WHERE side = 'sell' AND product_id <> 'view'), 0)::DOUBLE AS s,
+  count(*) FILTER (WHERE side = 'buy' AND product_id <> 'view') AS buy_count, count(*) FILTER (WHERE side = 'sell' AND product_id <> 'view') AS sell_count FROM trades GROUP BY ALL)
+SELECT window_start, buy_count, sell_count FROM h WHERE v > 0 AND abs(100 * b / v + 100 * s / v - 100) > 0.001""",
     "quality_report": _report_sql(),
+    "quality_report_stale": _report_sql() + " UNION ALL SELECT 'raw_trades', 'freshness', 'received_at', 1, 'warn'",
 }
 # Each window's VWAP against its own bounds, exactly, in integers of 1e-16.
 SQL["check_vwap_bounds"] = f"""WITH {TRADES}, w AS (SELECT date_trunc('minute', traded_at) AS m, sum(price::DECIMAL(20,8) * size) AS pq,

@@ -42,6 +42,7 @@ BRONZE = _struct(
     ("trade_id", T.StringType()),
     ("received_at", T.TimestampType()),
     ("received_date", T.DateType()),
+    ("batch", T.LongType()),
 )
 
 QUARANTINE = _struct(
@@ -82,6 +83,7 @@ GOLD_STATS = _struct(
     ("buy_count", T.LongType()),
     ("sell_count", T.LongType()),
     ("buy_volume_pct", T.DoubleType()),
+    ("sell_volume_pct", T.DoubleType()),
     ("updated_at", T.TimestampType()),
     ("window_date", T.DateType()),
 )
@@ -110,18 +112,6 @@ EXPORT_STATE = _struct(
     ("table_name", T.StringType()),
 )
 
-REFRESH_STATE = _struct(
-    ("bookmark", T.TimestampType()),
-    ("table_name", T.StringType()),
-)
-
-CHANGED_DAYS = _struct(
-    ("day", T.DateType()),
-    ("changed_at", T.TimestampType()),
-)
-
-TAKEN_FILES = _struct(("file", T.StringType()))
-
 GOLD = {VWAP_TABLE: GOLD_VWAP, STATS_TABLE: GOLD_STATS}
 PUBLISHED = {VWAP_TABLE: PUBLISHED_VWAP, STATS_TABLE: PUBLISHED_STATS}
 
@@ -181,20 +171,16 @@ class Layout:
         return self._at("silver", SILVER_TABLE)
 
     @property
-    def silver_changes(self) -> str:
-        return self._at("silver", "changed_days")
-
-    @property
-    def silver_taken(self) -> str:
-        return self._at("silver", "taken_files")
+    def bronze_batches(self) -> str:
+        return self._at("bronze", "batch_numbers")
 
     @property
     def state(self) -> str:
         return self._at("lake", "export_state")
 
     @property
-    def refresh_state(self) -> str:
-        return self._at("gold", "refresh_state")
+    def checked(self) -> str:
+        return self._at("gold", "checked")
 
     def gold(self, table: str) -> str:
         return self._at("gold", safe_name(table))

@@ -1,49 +1,26 @@
-"""Reading and writing the partitioned Parquet tables."""
+"""Reading and writing the Parquet tables."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
-from datetime import date, datetime
+from datetime import UTC, date, datetime
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.functions.windows import between_windows, date_parts_from, date_parts_until, from_micros
-from tradelake.schemas import BRONZE, QUARANTINE, SILVER, lake_schema
+from tradelake.functions.windows import between_windows, date_parts_from, date_parts_until
+from tradelake.schemas import BRONZE, DATE_PARTS, QUARANTINE, SILVER, lake_schema
 from tradelake.session import scratch_path
+from tradelake.sources import snapshots
+from tradelake.sources.files import delete, exists
+from tradelake.sources.snapshots import Piece, Snapshot
 
-# Above this many day partitions (over fifty years) a job stops listing days as
-# filter literals and rebuilds the table instead.
-MAX_LISTED_DAYS = 20_000
-
-
-def _hadoop(spark: SparkSession, path: str):
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _hadoop(spark, path)
-    return fs.exists(target)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    fs, target = _hadoop(spark, path)
-    fs.delete(target, True)
-
-
-def partition_days(spark: SparkSession, root: str, columns: Sequence[str]) -> set[tuple[str, ...]]:
-    """Partition values that have a directory, from the listing alone."""
-    fs, _ = _hadoop(spark, root)
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([root, *(f"{c}=*" for c in columns)]))
-    found = set()
-    for status in fs.globStatus(pattern) or []:
-        parts = status.getPath().toString().split("/")[-len(columns):]
-        found.add(tuple(part.split("=", 1)[1] for part in parts))
-    return found
+MINUTE = 60_000_000  # microseconds
 
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -56,31 +33,86 @@ def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(root)
 
 
+WIDER = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both; text if there is no other."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, WIDER) and isinstance(b, WIDER):
+        return max(a, b, key=lambda t: WIDER.index(type(t)))
+    exact = (*WIDER, T.DecimalType)
+    if isinstance(a, exact) and isinstance(b, exact):
+        whole = [t.precision - t.scale if isinstance(t, T.DecimalType) else DIGITS[type(t)] for t in (a, b)]
+        scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in (a, b))
+        return T.DecimalType(min(38, max(whole) + scale), scale) if max(whole) + scale <= 38 else T.DoubleType()
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    if {type(a), type(b)} == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    return T.StringType()
+
+
+def _footers(batches: Iterator) -> Iterator:
+    """The Spark schema of every file of a batch, from its footer."""
+    from pyarrow import fs, parquet
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    for batch in batches:
+        schemas = []
+        for file in batch["file"]:
+            store, path = fs.FileSystem.from_uri(file.replace("s3a://", "s3://", 1))
+            schema = parquet.read_schema(path, filesystem=store)
+            own = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+            schemas.append(own.decode() if own else from_arrow_schema(schema.remove_metadata()).json())
+        yield batch.assign(schema=schemas)
+
+
 def union_by_name(spark: SparkSession, root: str) -> DataFrame:
-    """Scan files of differing schema versions as one table of all their columns.
+    """Files of differing schema versions as one table of all their columns, types widened where they differ.
 
-    This reads every footer; prefer ``read_table`` when the columns are known.
+    Footers are read in tasks; files of one schema are one scan, so there are as many scans as
+    versions. Columns stand in order of first appearance. Prefer ``read_table`` when the columns are known.
     """
-    return spark.read.option("mergeSchema", True).option("recursiveFileLookup", False).parquet(root)
+    files = spark.read.parquet(root).inputFiles()
+    listed = spark.createDataFrame([(unquote(file),) for file in sorted(files)], "file string").repartition(max(1, len(files) // 100))
+    found = listed.mapInPandas(_footers, "file string, schema string")
+    versions = sorted((min(r.files), r.schema, r.files) for r in found.groupBy("schema").agg(F.collect_list("file").alias("files")).collect())
+    scans, types = [], {}
+    for _, schema, own in versions:
+        scan = spark.read.schema(T.StructType.fromJson(json.loads(schema))).option("basePath", root).parquet(*own)
+        scans.append(scan)
+        for column in scan.schema:
+            types[column.name] = common_type(types.get(column.name, T.NullType()), column.dataType)
+    cast = [scan.select(*(F.col(c).cast(types[c]).alias(c) for c in scan.columns)) for scan in scans]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cast)
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, BRONZE).select("payload", "trade_id", "received_at", "received_date")
 
 
-def bronze_files(bronze: DataFrame) -> set[str]:
-    """The files that ``bronze`` reads, from its partition directory on; appends never reuse a name."""
-    return {unquote("/".join(file.split("/")[-2:])) for file in bronze.inputFiles()}
+def micros(moment: datetime) -> int:
+    since = moment.astimezone(UTC) - datetime(1970, 1, 1, tzinfo=UTC)
+    return (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds
 
 
-def read_bronze_files(spark: SparkSession, root: str, files: Sequence[str]) -> DataFrame:
-    rows = spark.read.schema(BRONZE).option("basePath", root).parquet(*[f"{root}/{file}" for file in files])
-    return rows.select("payload", "trade_id", "received_at", "received_date")
+def within(piece: Piece, since: datetime | None, until: datetime | None, slack: int = 0) -> bool:
+    """Whether a piece may hold event times from ``since`` (less the slack) to ``until`` (more the slack)."""
+    if since is None and until is None:
+        return True
+    if piece.low is None:  # rows without a time only
+        return False
+    return (since is None or piece.high >= micros(since) - slack) and (until is None or piece.low <= micros(until) + slack)
 
 
-def read_silver(spark: SparkSession, root: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-    """Trades whose minute starts in ``[since, until)``, pruned by day and by row group."""
-    df = read_table(spark, root, SILVER)
+def read_silver(spark: SparkSession, root: str, since: datetime | None = None, until: datetime | None = None, snapshot: Snapshot | None = None) -> DataFrame:
+    """Trades whose minute starts in ``[since, until)``: pieces by their range, then days and row groups."""
+    df = snapshots.read(spark, root, SILVER, snapshot, lambda _, piece: within(piece, since, until, MINUTE))
     if since is not None:
         df = df.filter(F.col("trade_date") >= F.lit(since).cast("date"))
     if until is not None:
@@ -92,12 +124,13 @@ def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, QUARANTINE)
 
 
-def read_gold(spark: SparkSession, root: str, table: str, since: datetime | None = None, until: datetime | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+def read_gold(spark: SparkSession, root: str, table: str, since: datetime | None = None, until: datetime | None = None, by: tuple[str, ...] = (), snapshot: Snapshot | None = None) -> DataFrame:
     """Published windows with ``since < window_start`` and ``window_start < until``.
 
-    The time bound alone prunes no directory, so the day bound goes with it.
+    Only pieces whose range fits are opened; the time bound alone prunes no directory of
+    those, so the day bound goes with it.
     """
-    df = read_table(spark, root, lake_schema(table, by))
+    df = snapshots.read(spark, root, lake_schema(table, by), snapshot, lambda _, piece: within(piece, since, until))
     if since is not None:
         df = df.filter(date_parts_from(since) & (F.col("window_start") > F.lit(since)))
     if until is not None:
@@ -105,49 +138,17 @@ def read_gold(spark: SparkSession, root: str, table: str, since: datetime | None
     return df
 
 
+def date_part_key(day: date | None) -> str:
+    """Key of a day in a dataset partitioned by year, month and day; of rows without a time for None."""
+    values = (f"{day.year:04d}", f"{day.month:02d}", f"{day.day:02d}") if day else (snapshots.NO_VALUE,) * 3
+    return "/".join(f"{part}={value}" for part, value in zip(DATE_PARTS, values))
+
+
 def on_days(df: DataFrame, column: str, days: Sequence[date]) -> DataFrame:
     """Partition-pruned subset of a day-partitioned table."""
     return df.filter(F.col(column).isin(list(days)))
 
 
-def write_days(df: DataFrame, root: str, partition: str | Sequence[str], order: Sequence[str] = (), mode: str = "overwrite", stamp: str | None = None) -> dict:
-    """Write day partitions and report what was written.
-
-    ``overwrite`` replaces only the days present in ``df``. The rebalance hint
-    lets adaptive execution split a hot day over many tasks and merge small ones;
-    the in-partition order gives the row groups tight time ranges. The counts are
-    taken in the writing stage itself. ``stamp`` names a column whose maximum is
-    reported and which is not written.
-    """
-    parts = [partition] if isinstance(partition, str) else list(partition)
-    seen = Observation()
-    names = F.concat_ws("/", *[F.col(part).cast("string") for part in parts])
-    measures = [F.count(F.lit(1)).alias("rows"), F.collect_set(names).alias("days")]
-    if stamp:
-        measures.append(F.unix_micros(F.max(stamp)).alias("newest"))
-    observed = df.hint("rebalance", *parts).sortWithinPartitions(*parts, *order).observe(seen, *measures)
-    (
-        (observed.drop(stamp) if stamp else observed)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*parts)
-        .parquet(root)
-    )
-    found = seen.get
-    return {
-        "rows": found.get("rows") or 0,
-        "days": {tuple(day.split("/")) if len(parts) > 1 else date.fromisoformat(day) for day in found.get("days") or []},
-        "newest": from_micros(found.get("newest")),
-    }
-
-
-def drop_days(spark: SparkSession, root: str, column: str, days: Sequence[date]) -> None:
-    """Remove day directories that no longer hold rows."""
-    for day in days:
-        delete(spark, f"{root}/{column}={day.isoformat()}")
-
-
 def overwrite_partition(df: DataFrame, root: str, column: str) -> None:
     """Replace just the partitions present in a small ``df``."""
     (
@@ -158,40 +159,6 @@ def overwrite_partition(df: DataFrame, root: str, column: str) -> None:
     )
 
 
-def swap_in(spark: SparkSession, staging: str, root: str) -> None:
-    """Put a finished staging dataset in the place of ``root``.
-
-    The old dataset is set aside first and removed last, so a failure never
-    leaves the table without a complete copy.
-    """
-    fs, live = _hadoop(spark, root)
-    _, fresh = _hadoop(spark, staging)
-    _, aside = _hadoop(spark, f"{root}__old")
-    fs.mkdirs(live.getParent())
-    if fs.exists(live):
-        if fs.exists(aside):
-            fs.delete(aside, True)
-        if not fs.rename(live, aside):
-            raise OSError(f"cannot set {root} aside")
-    if not fs.rename(fresh, live):
-        if fs.exists(aside):
-            fs.rename(aside, live)
-        raise OSError(f"cannot move {staging} to {root}")
-    fs.delete(aside, True)
-
-
-def replace_table(spark: SparkSession, df: DataFrame, root: str, partition: str | Sequence[str], order: Sequence[str] = (), stamp: str | None = None) -> dict:
-    """Full rebuild: write beside the table, then swap. No rows, no swap."""
-    staging = f"{root}__staging"
-    delete(spark, staging)
-    written = write_days(df, staging, partition, order, stamp=stamp)
-    if written["rows"]:
-        swap_in(spark, staging, root)
-    else:
-        delete(spark, staging)
-    return written
-
-
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """Materialise an intermediate result in the shared scratch folder.
@@ -212,3 +179,36 @@ def distinct_days(df: DataFrame, *columns: str) -> list[date]:
     """The calendar days in the given columns (one short row per day)."""
     days = df.select(F.explode(F.array(*columns)).alias("day")).filter("day is not null").distinct()
     return [row.day for row in days.collect()]
+
+
+# Batch numbers that a consumer has taken: ascending, separate (first, last) ranges.
+Ranges = list[tuple[int, int]]
+BLOCK = 4096
+
+
+def outside(column: str, ranges: Iterable[Sequence[int]]) -> Column:
+    """Partition predicate: numbers in none of the ranges."""
+    keep = F.lit(True)
+    for first, last in ranges:
+        keep = keep & ~F.col(column).between(first, last)
+    return keep
+
+
+def ranges_of(df: DataFrame, column: str) -> Ranges:
+    """The distinct numbers of a column as ranges; the runs are found by Spark, a block of numbers at a time."""
+    blocks = df.select(column).distinct().groupBy(F.floor(F.col(column) / BLOCK)).agg(F.sort_array(F.collect_list(column)).alias("n"))
+    starts = F.filter("n", lambda x, i: ~F.get("n", i - 1).eqNullSafe(x - 1))
+    ends = F.filter("n", lambda x, i: ~F.get("n", i + 1).eqNullSafe(x + 1))
+    runs = blocks.select(F.inline(F.arrays_zip(starts.alias("first"), ends.alias("last"))))
+    return merged((r["first"], r["last"]) for r in runs.collect())
+
+
+def merged(*ranges: Iterable[Sequence[int]]) -> Ranges:
+    """The union of ranges, with neighbours joined."""
+    out: Ranges = []
+    for first, last in sorted(tuple(r) for some in ranges for r in some):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], last))
+        else:
+            out.append((first, last))
+    return out
