@@ -5,7 +5,7 @@ from conftest import at
 from pyspark.sql import functions as F
 from trades import payload, payloads, sorted_rows
 
-from tradelake.plans import bronze
+from tradelake.plans import bronze, ledger, silver
 from tradelake.sources.tables import read_bronze
 
 
@@ -49,12 +49,46 @@ def test_payload_is_stored_as_received(spark, layout):
     assert row.payload == text and row.trade_id == "a"
 
 
-def test_redelivery_window_reads_recent_arrivals_only(spark, layout):
-    bronze.append(spark, layout, payloads(spark, [payload("old")]), at(1))
-    bronze.append(spark, layout, payloads(spark, [payload("new")]), at(9))
-    batch = payloads(spark, [payload("old"), payload("new")])
-    assert bronze.append(spark, layout, batch, at(10), redelivery_days=3).inserted == 1
-    assert bronze.append(spark, layout, batch, at(11)).inserted == 0
+def test_ids_are_known_before_and_after_silver_has_taken_them(spark, layout, monkeypatch):
+    for literals in (10_000, 0):  # looked up as literals, and by a join
+        monkeypatch.setattr(ledger, "LITERAL_IDS", literals)
+        old, new, broken = f"old{literals}", f"new{literals}", f"broken{literals}"
+        bronze.append(spark, layout, payloads(spark, [payload(old), payload(broken, price="abc")]), at(1))
+        silver.upsert(spark, layout, at(2), mode="quarantine")
+        bronze.append(spark, layout, payloads(spark, [payload(new)]), at(9))
+        batch = payloads(spark, [payload(old), payload(new), payload(broken), payload(f"x{literals}")])
+        assert bronze.append(spark, layout, batch, at(10)).inserted == 1
+        assert bronze.append(spark, layout, batch, at(11)).inserted == 0
+
+
+def test_a_batch_reads_only_matching_row_groups_of_its_buckets(spark, layout, monkeypatch):
+    monkeypatch.setitem(ledger.BLOOM, "parquet.block.size", str(64 << 10))
+    ids = spark.range(60_000).select(F.to_json(F.struct(F.concat(F.lit("t"), F.col("id").cast("string")).alias("trade_id"), F.lit("1").alias("price"))).alias("payload"))
+    bronze.append(spark, layout, ids, at(10))
+    silver.upsert(spark, layout, at(11))
+    few = bronze.stamp(payloads(spark, [payload("new-a"), payload("new-b"), payload("new-c")]), at(12))
+    found = ledger.looked_up(spark, layout, few, 3, 300)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(trade_id" in plan and "Join" not in plan
+    assert len(found.inputFiles()) <= 3 < ledger.BUCKETS
+    assert found.collect() == [] and rows_scanned(found) == 0
+    one = ledger.looked_up(spark, layout, bronze.stamp(payloads(spark, [payload("t777")]), at(12)), 1, 100)
+    assert [r.trade_id for r in one.collect()] == ["t777"] and rows_scanned(one) < 60_000 / ledger.BUCKETS
+
+
+def rows_scanned(df):
+    """Rows that the scans of a collected frame handed on."""
+    def walk(node):
+        own = [node.metrics().apply("numOutputRows").value()] if node.nodeName().startswith("Scan") else []
+        kids = node.children().iterator()
+        while kids.hasNext():
+            own += walk(kids.next())
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            own += walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            own += walk(node.plan())
+        return own
+    return sum(walk(df._jdf.queryExecution().executedPlan()))
 
 
 def test_hot_id_is_thinned_before_the_exchange(spark, layout):

@@ -9,8 +9,10 @@ from statistics import stdev
 import pytest
 from conftest import at
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from trades import payload, payloads, sorted_rows
 
+from tradelake.operators.metrics import vwap
 from tradelake.plans import bronze, dashboards, gold, refresh, silver
 from tradelake.schemas import SILVER, STATS_TABLE, VWAP_TABLE, Layout
 from tradelake.sources import snapshots
@@ -168,6 +170,39 @@ def test_single_trade_has_no_volatility_and_no_volume_has_no_vwap(spark, layout)
     assert row.window_start.hour == 2 and row.total_volume == 0.0
 
 
+def test_new_trades_are_added_to_stored_windows(spark, layout, tmp_path):
+    """A late trade reads its own piece and the windows of its day; a correction reads the day."""
+    def todo():
+        made = [snapshots.current(spark, layout.gold(table)) for table in gold.TABLES]
+        return gold.pending(snapshots.current(spark, layout.silver), made)
+
+    rng = random.Random(8)
+    trade = lambda i, day, minute: payload(f"t{i}", rng.randrange(1, 10**8) / 1000, rng.randrange(0, 50) / 10, rng.choice(["buy", "sell"]), at(day, 1, minute))
+    deliver(spark, layout, [trade(i, 10 + i % 2, i % 3) for i in range(40)], at(20))
+    for step in range(3):
+        late = [trade(100 + 10 * step + i, 10, i % 4) for i in range(5)]
+        bronze.append(spark, layout, payloads(spark, [*late, payload(f"s{step}", 5, 1, time=at(10, 2))]), at(21 + step))
+        silver.upsert(spark, layout, at(21 + step))
+        before = todo()
+        assert before.whole == set() and before.grown == {"trade_date=2026-04-10"}
+        read = snapshots.read(spark, layout.silver, SILVER, keep=before.reads)
+        assert read.count() == 6 and len(read.inputFiles()) == 1
+        assert gold.refresh(spark, layout, at(21 + step)) == [at(10).date()]
+        assert silver_rows(spark, layout) and gold_rows(spark, layout) == rebuilt(spark, layout, tmp_path / str(step))[1]
+    bronze.append(spark, layout, payloads(spark, [payload("t0", 7)]), at(25), keep="all")
+    silver.upsert(spark, layout, at(25))
+    assert todo().whole == {"trade_date=2026-04-10"} and not todo().grown
+
+
+def test_windows_that_a_stream_wrote_are_not_added_to(spark, layout, tmp_path):
+    deliver(spark, layout, [payload("a", 10, time=at(10)), payload("b", 20, time=at(11))], at(20))
+    ahead = vwap(spark.createDataFrame([(Decimal(10), Decimal(1), at(10)), (Decimal(30), Decimal(1), at(10))], "price decimal(18,8), size decimal(18,8), traded_at timestamp"))
+    gold.upsert_windows(ahead.withColumns({"updated_at": F.current_timestamp(), "window_date": F.to_date("window_start")}), layout)
+    assert {r.trade_count for r in gold.read(spark, layout, VWAP_TABLE).collect()} == {1, 2}
+    deliver(spark, layout, [payload("c", 30, time=at(10)), payload("d", 1, time=at(11))], at(21))
+    assert gold_rows(spark, layout) == rebuilt(spark, layout, tmp_path)[1]
+
+
 def test_trade_without_a_time_is_kept_and_fails_the_check(spark, layout):
     deliver(spark, layout, [payload("a"), '{"trade_id":"b","price":"1","size":"1","side":"buy"}'], at(20))
     assert [(r.trade_id, r.traded_at is None) for r in read_silver(spark, layout.silver).orderBy("trade_id").collect()] == [("a", False), ("b", True)]

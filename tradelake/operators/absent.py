@@ -43,6 +43,6 @@ def absent_rows(batch: DataFrame, table: DataFrame, key: str = "trade_id", by: s
     always shuffle every stored id.
     """
     first = earliest(batch.filter(F.col(key).isNotNull()), key, by, ties)
-    known = table.select(key).join(mentioned_ids(batch, measured_bytes, key), key, "left_semi")
+    known = table.select(key).join(mentioned_ids(batch, measured_bytes, key), key, "left_semi").distinct()
     new = first.join(known, key, "left_anti").select(*batch.columns)
     return new.union(batch.filter(F.col(key).isNull())) if null_keys else new

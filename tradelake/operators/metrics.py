@@ -36,11 +36,14 @@ def stats_measures() -> list[Column]:
     buy = F.col("side") == "buy"
     return [
         F.stddev_samp("price").alias("volatility"),
+        F.count("price").alias("price_count"),
+        F.avg(F.col("price").cast("double")).alias("price_mean"),
+        (F.var_pop("price") * F.count("price")).alias("price_m2"),
         F.count_if(buy).alias("buy_count"),
         F.count_if(F.col("side") == "sell").alias("sell_count"),
         _volume_of(buy).alias("buy_volume"),
         _volume_of(F.col("side") == "sell").alias("sell_volume"),
-        F.sum("size").cast(VOLUME).alias("_volume"),
+        F.sum("size").cast(VOLUME).alias("volume"),
     ]
 
 
@@ -53,8 +56,7 @@ def _with_vwap(sums: DataFrame) -> DataFrame:
 
 def _with_shares(sums: DataFrame) -> DataFrame:
     """Both sides' shares of the volume, each from a sum of its own, so that a check can compare them."""
-    shares = {f"{side}_volume_pct": share(F.col(f"{side}_volume") * F.lit(100), F.col("_volume")) for side in ("buy", "sell")}
-    return sums.withColumns(shares).drop("_volume", "buy_volume", "sell_volume")
+    return sums.withColumns({f"{side}_volume_pct": share(F.col(f"{side}_volume") * F.lit(100), F.col("volume")) for side in ("buy", "sell")})
 
 
 def vwap(trades: DataFrame, unit: str = "minute", by: Sequence[str] = ()) -> DataFrame:
@@ -76,6 +78,40 @@ def all_metrics(trades: DataFrame, unit: str = "minute", by: Sequence[str] = ())
     return _with_shares(_with_vwap(trades.groupBy(*keys).agg(*measures)))
 
 
+def merged_vwap(windows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Windows of the VWAP table that stand in parts, put together: sums, counts and extremes add up exactly."""
+    sums = windows.groupBy(*keys).agg(
+        F.sum("notional").cast(NOTIONAL).alias("notional"), F.sum("total_volume").cast(VOLUME).alias("total_volume"),
+        F.sum("trade_count").alias("trade_count"), F.max("high_price").alias("high_price"), F.min("low_price").alias("low_price"))
+    return _with_vwap(sums)
+
+
+def _joined_moments(parts: Column) -> Column:
+    """Count, mean and sum of squared deviations of all parts, joined pairwise (parallel variance)."""
+    def join(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"), (a["mean"] + apart * b["n"] / n).alias("mean"),
+            (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
+
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(F.sort_array(F.filter(parts, lambda p: p["n"] > 0)), zero, join)
+
+
+def merged_stats(windows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Windows of the statistics table that stand in parts, put together."""
+    part = F.struct(F.col("price_count").alias("n"), F.col("price_mean").alias("mean"), F.col("price_m2").alias("m2"))
+    sums = windows.groupBy(*keys).agg(
+        F.collect_list(part).alias("_parts"), F.sum("buy_count").alias("buy_count"), F.sum("sell_count").alias("sell_count"),
+        *[F.sum(f"{side}volume").cast(VOLUME).alias(f"{side}volume") for side in ("buy_", "sell_", "")])
+    sums = sums.withColumn("_all", _joined_moments(F.col("_parts")))
+    n = F.col("_all")["n"]
+    sums = sums.withColumns({
+        "price_count": n, "price_mean": F.when(n > 0, F.col("_all")["mean"]), "price_m2": F.when(n > 0, F.col("_all")["m2"]),
+        "volatility": F.when(n > 1, F.sqrt(F.col("_all")["m2"] / (n - 1)))})
+    return _with_shares(sums).drop("_parts", "_all")
+
+
 def published_vwap(windows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The reader-facing columns: metrics as doubles."""
     return windows.select(

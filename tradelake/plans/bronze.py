@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import UTC, date, datetime, timedelta
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from tradelake.functions.windows import aware
 from tradelake.operators.absent import absent_rows, id_bytes
 from tradelake.schemas import BRONZE, Layout
 from tradelake.sources.files import claim, delete, names
-from tradelake.sources.tables import read_bronze, read_table
+from tradelake.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -65,13 +65,11 @@ def batches(spark: SparkSession, layout: Layout) -> DataFrame:
     return read_table(spark, layout.bronze, BRONZE)
 
 
-def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: datetime, redelivery_days: int | None = None, keep: str = "first") -> IngestReport:
+def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: datetime, keep: str = "first") -> IngestReport:
     """Append the rows of ``batch`` (``payload``, maybe ``trade_id``) that are new.
 
-    Safe to repeat: a second run finds its own ids and adds nothing. By default
-    the whole table is consulted. ``redelivery_days`` states that a trade is
-    never delivered again after that many days, so only those arrival partitions
-    are read; silver still de-duplicates over everything.
+    Safe to repeat: a second run finds its own ids and adds nothing, however long ago the
+    first was. Ids are looked up in the ledger, and in the batches that it has not seen.
 
     ``keep="all"`` stores every arrival instead, for feeds that correct trades by
     sending them again: silver then keeps the latest version.
@@ -81,17 +79,20 @@ def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: d
     if keep not in ("first", "all"):
         raise ValueError(f"unknown policy: {keep!r}")
     arrivals = stamp(batch, received_at)
-    stored = read_bronze(spark, layout.bronze)
-    if redelivery_days is not None:
-        stored = stored.filter(F.col("received_date") >= F.lit((received_at - timedelta(days=redelivery_days)).date()))
     counts = arrivals.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("trade_id").isNull()).alias("nulls"), id_bytes().alias("bytes")
     ).first()
     if not counts.rows:
         return IngestReport(0, 0)
+    new = arrivals
+    if keep == "first":
+        from tradelake.plans.ledger import known_ids  # the ledger reads bronze
+
+        known = known_ids(spark, layout, arrivals, counts.rows, counts.bytes)
+        new = absent_rows(arrivals, known, null_keys=counts.nulls > 0, measured_bytes=counts.bytes)
     number = next_batch(spark, layout)
     (
-        (arrivals if keep == "all" else absent_rows(arrivals, stored, null_keys=counts.nulls > 0, measured_bytes=counts.bytes))
+        new
         .withColumn("batch", F.lit(number).cast("long"))
         .write.mode("append")
         .partitionBy("received_date", "batch")

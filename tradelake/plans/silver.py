@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.functions.dates import day_of
-from tradelake.operators.absent import id_bytes, mentioned_ids
+from tradelake.operators.absent import id_bytes
 from tradelake.operators.dedup import keep_one
 from tradelake.operators.merge import merged_rows
+from tradelake.plans import ledger
 from tradelake.plans.bronze import batches
+from tradelake.plans.ledger import RECENCY
 from tradelake.plans.quarantine import quarantine
 from tradelake.schemas import PAYLOAD, PRICE, SILVER, Layout
 from tradelake.sources import snapshots
 from tradelake.sources.tables import distinct_days, merged, outside, ranges_of, read_silver, staged
 
-# Latest-wins order; the columns after the stamp settle equal stamps.
-RECENCY = ("ingested_at", "traded_at", "price", "size", "side", "product_id")
 # A day of so many pieces is written anew as one when it gains rows.
 MOST_PIECES = 16
 
@@ -114,6 +114,7 @@ def rebuild(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "
     pieces = snapshots.write(table, layout.silver, "trade_date", ["traded_at"], "traded_at")
     broken = _set_broken_aside(bronze, layout, mode, seen)
     after = snapshots.commit(spark, layout.silver, before, pieces, None, {"taken": ranges_of(bronze, "batch")})
+    ledger.rebuild(spark, layout, after)
     changed = after.changed_since(after.number - 1)
     return UpsertReport([snapshots.key_day(key) for key in changed], after.rows, broken, True)
 
@@ -126,6 +127,7 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
     commit, so a run that dies is simply run again. Days that only gain trades get a
     further piece; days that hold an older version of a trade, also when
     the newer version moved to another day, and days of many pieces are written anew.
+    Older versions are found by the ledger, so silver itself is read on those days only.
     """
     _known(mode)
     before = snapshots.current(spark, layout.silver)
@@ -139,9 +141,9 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
 
     seen = Observation()
     incoming = _silver_columns(latest_trades(_typed(arrivals, mode, seen)))
-    mentioned = mentioned_ids(arrivals, measured.bytes)
-    stored = read_silver(spark, layout.silver, snapshot=before).join(mentioned, "trade_id", "left_semi").select(
-        "trade_id", F.col("trade_date").alias("_old_date"), F.struct(*RECENCY).alias("_old")
+    ledger.follow(spark, layout, before)  # does nothing, unless the last run died before it
+    stored = ledger.looked_up(spark, layout, arrivals, measured.rows, measured.bytes).select(
+        "trade_id", F.col("trade_date").alias("_old_date"), F.col("version").alias("_old")
     )
     newer = F.col("_old").isNull() | (F.struct(*RECENCY) > F.col("_old"))
     changed = incoming.join(stored, "trade_id", "left").filter(newer).drop("_old")
@@ -155,8 +157,9 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
         held = snapshots.on_keys(spark, layout.silver, SILVER, rewrite, before)
         pieces = snapshots.write(merged_rows(held, fresh, "trade_id"), layout.silver, "trade_date", ["traded_at"], "traded_at")
         count = rows.count()
-    broken = _set_broken_aside(arrivals, layout, mode, seen)
-    notes = {"taken": merged(taken, ranges_of(arrivals, "batch"))}
-    after = snapshots.commit(spark, layout.silver, before, pieces, rewrite, notes)
+        broken = _set_broken_aside(arrivals, layout, mode, seen)
+        notes = {"taken": merged(taken, ranges_of(arrivals, "batch"))}
+        after = snapshots.commit(spark, layout.silver, before, pieces, rewrite, notes)
+        ledger.follow(spark, layout, after, before, fresh, arrivals if broken else None)
     days = [snapshots.key_day(k) for k in after.changed_since(before.number)]
     return UpsertReport(days, count, broken, False)

@@ -63,7 +63,7 @@ SILVER = _struct(
     ("trade_date", T.DateType()),
 )
 
-# Gold keeps exact decimals and a refresh stamp; PUBLISHED_* is what readers see.
+# Gold keeps exact sums, the state behind the volatility and a refresh stamp; PUBLISHED_* is what readers see.
 GOLD_VWAP = _struct(
     ("window_start", T.TimestampType()),
     ("vwap", T.DoubleType()),
@@ -84,6 +84,12 @@ GOLD_STATS = _struct(
     ("sell_count", T.LongType()),
     ("buy_volume_pct", T.DoubleType()),
     ("sell_volume_pct", T.DoubleType()),
+    ("price_count", T.LongType()),
+    ("price_mean", T.DoubleType()),
+    ("price_m2", T.DoubleType()),
+    ("buy_volume", VOLUME),
+    ("sell_volume", VOLUME),
+    ("volume", VOLUME),
     ("updated_at", T.TimestampType()),
     ("window_date", T.DateType()),
 )
@@ -174,6 +180,10 @@ class Layout:
     def bronze_batches(self) -> str:
         return self._at("bronze", "batch_numbers")
 
+    @property
+    def ledger(self) -> str:
+        return self._at("silver", "ledger")
+
     @property
     def state(self) -> str:
         return self._at("lake", "export_state")

@@ -37,9 +37,11 @@ class FeedReport:
     filtered: int = 0
 
 
-def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Sequence[str] | None = None, redelivery_days: int | None = None) -> FeedReport:
+def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Sequence[str] | None = None, keep: str = "first") -> FeedReport:
     """One batch of raw frames: flatten, validate, quarantine, append.
 
+    ``keep="all"`` stores corrections of trades that bronze holds, for silver to take the latest.
+
     ``products`` chooses among the valid records what is stored, and
     records without a readable product are then rejected. Rejected records of every
     product are set aside.
@@ -54,13 +56,13 @@ def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Se
         aside = bad_frames(parsed).unionByName(rejected(checked))
         quarantine(aside.withColumns({"received_at": F.lit(received_at), "batch_id": F.lit(batch_id)}), layout)
         wanted = of_products(accepted(checked), products) if products else accepted(checked)
-        stored = bronze.append(frames.sparkSession, layout, to_wire(wanted), received_at, redelivery_days)
+        stored = bronze.append(frames.sparkSession, layout, to_wire(wanted), received_at, keep)
         return FeedReport(batch_id, *health, stored.inserted, stored.duplicates, health.valid - stored.attempted)
     finally:
         checked.unpersist()
 
 
-def start_ingest(frames: DataFrame, layout: Layout, checkpoint: str, name: str = "ingest", products: Sequence[str] | None = None, redelivery_days: int | None = None, available_now: bool = False, on_batch: Callable[[FeedReport], None] | None = None) -> StreamingQuery:
+def start_ingest(frames: DataFrame, layout: Layout, checkpoint: str, name: str = "ingest", products: Sequence[str] | None = None, keep: str = "first", available_now: bool = False, on_batch: Callable[[FeedReport], None] | None = None) -> StreamingQuery:
     """Run ``ingest_frames`` for every micro-batch of a stream.
 
     The source position is committed only after a batch is stored. A batch that
@@ -68,7 +70,7 @@ def start_ingest(frames: DataFrame, layout: Layout, checkpoint: str, name: str =
     ``on_batch`` receives the counts of each stored batch.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        report = ingest_frames(batch.select("raw"), layout, f"{name}-{batch_id:012d}", products, redelivery_days)
+        report = ingest_frames(batch.select("raw"), layout, f"{name}-{batch_id:012d}", products, keep)
         if on_batch:
             on_batch(report)
 
