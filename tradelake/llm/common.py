@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,6 +26,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand at most ``rows`` rows at once to the Python workers of what runs inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a stored step that nothing reads any more."""
     spark = df.sparkSession
@@ -81,15 +94,15 @@ def _is_stars(edges: DataFrame) -> bool:
     return ends.where("above > 1 or above = 1 and below = 1").isEmpty()
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column``'s texts stay near ``most`` bytes; a longer text comes alone."""
+def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column``'s texts stay near ``most`` bytes and ``rows``; a longer text comes alone."""
     for batch in batches:
         if not batch.num_rows:
             continue
         ends = text_offsets(batch.column(column))
         first = 0
         for row in range(1, batch.num_rows + 1):
-            if row == batch.num_rows or ends[row + 1] - ends[first] > most:
+            if row == batch.num_rows or row - first >= rows or ends[row + 1] - ends[first] > most:
                 yield batch.slice(first, row - first)
                 first = row
 

@@ -118,7 +118,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Network:
 def _apply(network: Network, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(network.languages, dtype=object)
-        for batch in common.chunks(batches, "text", 4 << 20):
+        for batch in common.chunks(batches, "text", 1 << 20):
             raw, ends = common.text_bytes(batch.column("text"))
             windows, bounds = cut(raw, ends)
             sums = np.zeros((len(windows) + 1, len(names)))

@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from tradelake.llm import common
 from tradelake.llm.shingles import mix, shingle_sets
 
-CHUNK_BYTES = 4 << 20  # text that one numpy step handles
+CHUNK_BYTES = 1 << 20  # text that one numpy step handles
+PAIR_ROWS = 64  # pairs of whole shingle sets that a worker holds at once
 BITMAP_WORDS = 32  # 2,048 bits
 SMALL_CELL = 8  # members; those of larger cells meet by rare shingles, which loses no link either
 
@@ -194,7 +195,8 @@ def links_between(pairs: DataFrame, signed: DataFrame, docs: DataFrame, words: i
     sets = texts.select("text").mapInArrow(_sets(words), "class_id long, grams array<long>")
     sets = common.stored(sets.dropDuplicates(["class_id"]), "sets")
     both = near.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-    found = common.stored(both.mapInArrow(_verified(percent), "a long, b long"), "links")
+    with common.small_batches(pairs.sparkSession, PAIR_ROWS):
+        found = common.stored(both.mapInArrow(_verified(percent), "a long, b long"), "links")
     for step in (held, near, sets):
         common.forget(step)
     return found

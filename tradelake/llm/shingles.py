@@ -25,32 +25,69 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+BLOCK = 1 << 16  # bytes that are hashed in one step
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
+    out[0] = 1
     return np.multiply.accumulate(out)
 
 
+_UP, _DOWN = _powers(_ODD, BLOCK + 1), _powers(_INVERSE, BLOCK + 1)
+
+
+def _edges(word: np.ndarray, edge: np.ndarray, inside: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a block begin and end; ``inside``: the byte before the block is a word's."""
+    start, stop = word.copy(), word.copy()
+    start[1:] &= ~word[:-1] | edge[1:]
+    start[0] &= not inside or edge[0]
+    stop[:-1] &= ~word[1:] | edge[1:]
+    return np.flatnonzero(start), np.flatnonzero(stop) + 1
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word (A-Z lowered, split at ASCII space) and the words' bounds by row.
 
     A word's hash is a polynomial in its bytes modulo 2**64, taken as a difference
-    of running sums and brought to a common power, then mixed.
+    of running sums and brought to a common power, then mixed. The bytes are taken block
+    by block; a word that crosses into the next block is carried over as its sum and length.
     """
     raw, ends = text_bytes(texts)
-    lowered = _LOWER[raw]
-    word = ~_SPACE[lowered]
-    edge = np.zeros(len(raw) + 1, dtype=bool)
-    edge[ends] = True
-    start = word.copy()
-    start[1:] &= ~word[:-1] | edge[1:-1]
-    stop = word.copy()
-    stop[:-1] &= ~word[1:] | edge[1:-1]
-    starts, stops = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTES[lowered] * _powers(_ODD, len(raw)), out=sums[1:])
-    hashes = mix((sums[stops] - sums[starts]) * _powers(_INVERSE, len(raw) + 1)[starts])
+    sums_of, starts_of = [], []
+    carried = length = None  # sum and length of the word that the last block ended in
+    inside = False
+    for at in range(0, len(raw), BLOCK):
+        lowered = _LOWER[raw[at : at + BLOCK]]
+        size = len(lowered)
+        edge = np.zeros(size, dtype=bool)
+        own = ends[np.searchsorted(ends, at) : np.searchsorted(ends, at + size)]
+        edge[own - at] = True
+        word = ~_SPACE[lowered]
+        starts, stops = _edges(word, edge, inside)
+        sums = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(_BYTES[lowered] * _UP[:size], out=sums[1:])
+        if inside and word[0] and not edge[0]:  # the first stretch goes on with the carried word
+            carried = carried + sums[stops[:1]] * np.array([pow(int(_ODD), length, 2**64)], dtype=np.uint64)
+            length += int(stops[0])
+            stops = stops[1:]
+            if len(stops) or not word[-1]:
+                sums_of.append(carried)
+                carried = None
+        elif inside:
+            sums_of.append(carried)
+            carried = None
+        found = (sums[stops] - sums[starts]) * _DOWN[starts]
+        starts_of.append(starts + at)
+        inside = bool(word[-1])
+        if inside and len(starts) and stops[-1] == size:
+            carried, length = found[-1:], int(size - starts[-1])
+            found = found[:-1]
+        sums_of.append(found)
+    if carried is not None:
+        sums_of.append(carried)
+    hashes = mix(np.concatenate(sums_of)) if sums_of else np.zeros(0, np.uint64)
+    starts = np.concatenate(starts_of) if starts_of else np.zeros(0, np.int64)
     return hashes, np.searchsorted(starts, ends)
 
 
