@@ -1,18 +1,23 @@
 """Streams: parity with batch, replay, poison records, late data."""
 
 import random
+import time
+from decimal import Decimal
 
+import pyarrow as pa
+import pytest
 from conftest import at
-from trades import VALID, changed, frame, payload, sorted_rows
+from trades import VALID, changed, frame, payload, payloads, sorted_rows
 
 from tradelake.operators.metrics import vwap
-from tradelake.plans import gold, silver
+from tradelake.plans import bronze, gold, silver
 from tradelake.schemas import VWAP_TABLE
 from tradelake.sources.feed import stream_frames
 from tradelake.sources.tables import read_bronze, read_quarantine, read_silver
 from tradelake.streaming.ingest import ingest_frames, start_ingest
+from tradelake.streaming.late import LateRows, dropped, repair
 from tradelake.streaming.options import broker_options, trigger
-from tradelake.streaming.windows import dedup_stream, start_vwap, vwap_windows
+from tradelake.streaming.windows import _thinned, dedup_stream, start_vwap, vwap_windows
 
 TRADES = "trade_id string, price decimal(18,8), size decimal(18,8), side string, traded_at timestamp"
 COLUMNS = ["window_start", "vwap", "vwap_exact", "total_volume", "trade_count", "high_price", "low_price"]
@@ -29,8 +34,6 @@ def stream(spark, folder):
 
 
 def random_trades(seed, count, first_id=0):
-    from decimal import Decimal
-
     rng = random.Random(seed)
     return [(f"t{first_id + i}", Decimal(rng.randrange(100, 999)) / 10, Decimal(rng.randrange(1, 50)) / 10, rng.choice(["buy", "sell"]), at(10, 9, rng.randrange(20), rng.randrange(60))) for i in range(count)]
 
@@ -50,12 +53,55 @@ def test_dedup_across_batches_with_a_hot_id(spark, tmp_path):
     hot = [base[0]] * 30
     write_files(spark, tmp_path / "in", [base, base[5:15] + hot, hot + random_trades(2, 5, 50)])
     out = str(tmp_path / "out")
-    rows = dedup_stream(stream(spark, tmp_path / "in"), spread=4)
-    rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    rows = dedup_stream(stream(spark, tmp_path / "in"))
+    query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    state = [p.stateOperators for p in query.recentProgress if p.stateOperators]
+    assert all(len(operators) == 1 for operators in state)  # one state, on disk
+    assert "rocksdbCommitFlushLatency" in state[0][0].customMetrics
+    assert max(p.numInputRows for p in query.recentProgress) == 40
     got = [r.trade_id for r in spark.read.parquet(out).collect()]
     assert sorted(got) == sorted({f"t{i}" for i in [*range(20), *range(50, 55)]})
 
 
+def test_repeats_that_arrive_together_are_dropped_before_the_state():
+    batch = pa.RecordBatch.from_pydict({"trade_id": ["b", None, "a", "b", "a", None, "c"], "n": list(range(7))})
+    assert [b.column("n").to_pylist() for b in _thinned([batch])] == [[0, 1, 2, 6]]
+    assert [b.num_rows for b in _thinned([batch.slice(0, 0), batch.slice(2, 2)])] == [0, 2]
+
+
+def test_late_trades_are_told_and_put_back(spark, layout, tmp_path):
+    in_time = [("t1", Decimal(10), Decimal(1), "buy", at(10, 9, 0)), ("t2", Decimal(20), Decimal(1), "buy", at(10, 12, 0))]
+    late = [("t3", Decimal(30), Decimal(2), "sell", at(10, 9, 0)), ("t4", Decimal(40), Decimal(1), "sell", at(10, 12, 0))]
+    # a batch drops what lies behind the watermark that the batch before it began with
+    write_files(spark, tmp_path / "in", [in_time, in_time[1:], late])
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        query = start_vwap(vwap_windows(stream(spark, tmp_path / "in")), layout, str(tmp_path / "cp"), available_now=True)
+        query.awaitTermination()
+        for _ in range(100):
+            if listener.rows[query.id]:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert dropped(query) == 1 == listener.rows[query.id]
+    counts = lambda: {r.window_start.hour: (r.trade_count, r.vwap) for r in gold.read(spark, layout, VWAP_TABLE).collect()}
+    assert counts() == {9: (1, 10.0), 12: (3, pytest.approx(80 / 3))}
+    texts = [payload(i, p, s, side, moment) for i, p, s, side, moment in in_time + late]
+    bronze.append(spark, layout, payloads(spark, texts), at(11))
+    repair(spark, layout, at(11))
+    want = {9: (2, pytest.approx(70 / 3)), 12: (2, 30.0)}
+    assert counts() == want
+    # the stream goes on and is late again; its days are taken back although silver did not change
+    write_files(spark, tmp_path / "more" / "in", [in_time[:1]])
+    start_vwap(vwap_windows(stream(spark, tmp_path / "more" / "in")), layout, str(tmp_path / "cp2"), available_now=True).awaitTermination()
+    assert counts()[9] == (1, 10.0)
+    assert repair(spark, layout, at(11)) == [at(10).date()] and counts() == want
+    assert repair(spark, layout, at(11)) == []
+
+
 def land(folder, name, lines):
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("\n".join(lines) + "\n")

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradelake.operators.absent import BROADCAST_BYTES, ROW_OVERHEAD
 from tradelake.schemas import SIDES
 
 # Declared limits.
@@ -147,6 +148,12 @@ STATS_ROW_CHECKS = [
 ]
 
 
+def small_keys(keys: DataFrame) -> DataFrame:
+    """Keys to be met by a scan: sent to its tasks up to a measured size, so that only matches are shuffled."""
+    size = F.sum(sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys.columns), F.lit(ROW_OVERHEAD).cast("long")))
+    return F.broadcast(keys) if (keys.agg(size).first()[0] or 0) <= BROADCAST_BYTES else keys
+
+
 def report(df: DataFrame, suite: Sequence[Check], table: str, changed: DataFrame | None = None) -> DataFrame:
     """table, check, column, failures, status; one row per check.
 
@@ -168,7 +175,7 @@ def report(df: DataFrame, suite: Sequence[Check], table: str, changed: DataFrame
         rows = df
         if changed is not None and c.name == "unique":
             keys = [c.params["column"]] if isinstance(c.params["column"], str) else c.params["column"]
-            rows = df.select(*keys).join(changed.select(*keys).distinct(), keys, "left_semi")
+            rows = df.select(*keys).join(small_keys(changed.select(*keys).distinct()), keys, "left_semi")
         failing = run(c.name, rows, **c.params).agg(F.count(F.lit(1)).alias("failures"))
         parts.append(failing.select(F.lit(c.name).alias("check"), F.lit(c.label).alias("column"), "failures"))
     merged = reduce(DataFrame.unionByName, parts)

@@ -82,17 +82,21 @@ class Pending:
         return key in self.grown and piece.number > self.since
 
 
-def pending(silver: Snapshot, made: list[Snapshot]) -> Pending:
-    """Days to bring up to date, by what the tables ``made`` have seen of silver."""
+def pending(silver: Snapshot, made: list[Snapshot], reconcile: bool = False) -> Pending:
+    """Days to bring up to date, by what the tables ``made`` have seen of silver.
+
+    With ``reconcile`` also those that a stream has written to, changed or not.
+    """
     seen = [snapshot.notes["silver"] for snapshot in made]
     changed = silver.changed_since(min(seen))
     foreign = {snapshots.key_day(key) for snapshot in made for key in snapshot.notes["foreign"]}
     grown = {
         key for key in changed if min(seen) == max(seen) and silver.days[key].replaced <= min(seen) and snapshots.key_day(key) not in foreign}
-    return Pending(min(seen), set(changed) - grown, grown)
+    again = {snapshots.day_key("trade_date", day) for day in foreign} if reconcile else set()
+    return Pending(min(seen), set(changed) - grown | again, grown)
 
 
-def refresh(spark: SparkSession, layout: Layout, run_at: datetime) -> list[date]:
+def refresh(spark: SparkSession, layout: Layout, run_at: datetime, reconcile: bool = False) -> list[date]:
     """Bring gold up to date with the commits of silver since the one it was made of.
 
     Commits are told apart by number, so it doesn't matter whether ``run_at`` repeats or goes
@@ -100,6 +104,7 @@ def refresh(spark: SparkSession, layout: Layout, run_at: datetime) -> list[date]
     windows: sums exactly, the variance by its state. Days that hold corrected or moved trades,
     and those that a stream has written to, are aggregated anew. Either way the
     result equals a full rebuild. If a run dies between the tables, the days are computed anew.
+    ``reconcile`` takes back what a stream wrote: silver then decides on those days too.
     """
     silver = snapshots.current(spark, layout.silver)
     if silver is None:
@@ -108,7 +113,7 @@ def refresh(spark: SparkSession, layout: Layout, run_at: datetime) -> list[date]
     if not all(made) or any(not 0 <= snapshot.notes.get("silver", -1) <= silver.number for snapshot in made):
         rebuild(spark, layout, run_at)
         return [snapshots.key_day(key) for key in silver.days]
-    todo = pending(silver, made)
+    todo = pending(silver, made, reconcile)
     if not todo.days:
         return []
     anew = gold_rows(snapshots.on_keys(spark, layout.silver, SILVER, todo.whole, silver), run_at, layout.by)

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradelake.plans import gold
-from tradelake.queries.common import TRADES, comparable, new_layout, vwap_sql
+from tradelake.plans import bronze, gold
+from tradelake.queries.common import FIRST_ARRIVAL, TRADES, comparable, new_layout, payloads, vwap_sql
 from tradelake.queries.feed import _LISTED
 from tradelake.schemas import VWAP_TABLE
 from tradelake.session import scratch_path
 from tradelake.sources import tape
 from tradelake.sources.tables import read_bronze, read_quarantine
 from tradelake.streaming.ingest import start_ingest
+from tradelake.streaming.late import dropped, repair
 from tradelake.streaming.windows import dedup_stream, start_vwap, vwap_windows
 
 
@@ -57,10 +58,30 @@ def _set_aside(spark, folder):
     return rows.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
 
 
+def _late(spark, folder):
+    """The earlier half of the tape arrives after the later one and is dropped; the repair puts it back."""
+    layout, landing = new_layout(spark, "stream-late"), scratch_path(spark, "late-landing")
+    rows = tape.table(spark, folder, "events")
+    middle = rows.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5).alias("at")).first()["at"]
+    late = F.unix_micros(F.col("ts").cast("timestamp")) < middle
+    # a batch drops what lies behind the watermark that the batch before it began with
+    even = F.col("event_id") % 2 == 0
+    for part, some in enumerate((~late & even, ~late & ~even, late)):
+        rows.filter(some).coalesce(1).write.parquet(f"{landing}/{part}")
+    bronze.append(spark, layout, payloads(tape.event_trades(rows)), FIRST_ARRIVAL)
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/*")
+    query = start_vwap(vwap_windows(tape.event_trades(arriving)), layout, scratch_path(spark, "cp"), available_now=True)
+    query.awaitTermination()
+    told = dropped(query) > 0
+    repair(spark, layout, FIRST_ARRIVAL)
+    return comparable(gold.published(spark, layout, VWAP_TABLE)).withColumn("late_told", F.lit(told))
+
+
 QUERIES = {
     "stream_vwap": _vwap("1 minute"),
     "stream_vwap_hour": _vwap("1 hour"),
     "stream_dedup": _dedup,
+    "stream_late_repaired": _late,
     "stream_ingest": _stored,
     "stream_quarantine": _set_aside,
 }
@@ -68,6 +89,7 @@ QUERIES = {
 SQL = {
     "stream_vwap": f"WITH {TRADES} {vwap_sql('minute')}",
     "stream_vwap_hour": f"WITH {TRADES} {vwap_sql('hour')}",
+    "stream_late_repaired": f"WITH {TRADES} SELECT *, true AS late_told FROM ({vwap_sql('minute')})",
     "stream_dedup": f"WITH {TRADES} SELECT trade_id, product_id, price::DOUBLE AS price, size::DOUBLE AS size, side, traded_at FROM trades",
     "stream_ingest": f"""WITH {TRADES}, {_LISTED}
 SELECT f.* FROM flat f JOIN trades t ON replace(f.trade_id, '-m', '') = t.trade_id WHERE t.k > 0 AND t.price > 0""",

@@ -11,12 +11,15 @@ from pyspark.sql import SparkSession
 #  - event times are UTC throughout
 #  - INT64 timestamps carry Parquet min/max statistics (the INT96 default does
 #    not), so bookmark and window filters can skip row groups
+#  - streaming state lives on disk and checkpoints write its changes only
 #  - a repeated JSON member keeps its last value, as common JSON readers do
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 _LOCAL_SCRATCH: dict[str, str] = {}

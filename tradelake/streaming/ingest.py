@@ -45,11 +45,11 @@ def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Se
     ``products`` chooses among the valid records what is stored, and
     records without a readable product are then rejected. Rejected records of every
     product are set aside.
-    The parsed frames are kept for the two outputs; a lost executor recomputes
+    The parsed frames and checked records are kept for the outputs; a lost executor recomputes
     its part from the source. A bad record never stops the rest.
     """
     received_at = utc_now()
-    parsed = parse_frames(frames)
+    parsed = parse_frames(frames).persist(StorageLevel.MEMORY_AND_DISK)
     checked = validate(trades_of(on_channel(parsed)), product_required=bool(products)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         health = health_counts(checked).first()
@@ -60,6 +60,7 @@ def ingest_frames(frames: DataFrame, layout: Layout, batch_id: str, products: Se
         return FeedReport(batch_id, *health, stored.inserted, stored.duplicates, health.valid - stored.attempted)
     finally:
         checked.unpersist()
+        parsed.unpersist()
 
 
 def start_ingest(frames: DataFrame, layout: Layout, checkpoint: str, name: str = "ingest", products: Sequence[str] | None = None, keep: str = "first", available_now: bool = False, on_batch: Callable[[FeedReport], None] | None = None) -> StreamingQuery:
