@@ -16,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RARE = 3  # words that a template is looked up by, besides one of its key phrase
+RARE = 3  # words that a template is looked up by at most, besides one of its key phrase
+WORDS_EACH = 2  # words of a template for each that it is looked up by
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,7 @@ def postings(idf: dict[str, float], templates=TEMPLATES) -> dict[str, list[tuple
         start = next(i for i in range(len(listed)) if listed[i : i + len(phrase)] == phrase)
         order = sorted(range(len(listed)), key=lambda i: (-idf[listed[i]], i))
         inside = min(range(start, start + len(phrase)), key=lambda i: (-idf[listed[i]], i))
-        used = {*order[:RARE], inside}
+        used = {*order[: max(1, min(RARE, len(listed) // WORDS_EACH))], inside}
         whole = sum(idf[listed[i]] for i in used) or 1.0
         for i in sorted(used):
             index.setdefault(listed[i], []).append((number, i, idf[listed[i]] / whole))
@@ -81,8 +82,10 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
     ``places`` are the verified ones: template number, first word of the key phrase, and
     the share (by weight) of the looked-up words that stand in place there. Null and
-    wordless texts have none. Each row is scanned by itself, so repeated rows agree;
-    other columns are ignored; an empty table gives an empty result.
+    wordless texts have none. Each row is scanned by itself, so repeated rows agree, and places
+    that tie are all kept; other columns are ignored; an empty table gives an empty result. A text
+    costs time in proportion to its words and (sorted) hits, also if it consists of nothing else,
+    and memory of some 100 bytes a word in one task.
     """
     split = docs.select("doc_id", words(F.col("text")).alias("words"))
     index = postings(rarity(split, templates), templates)
@@ -95,9 +98,14 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     votes = F.flatten(F.transform("hits", lambda hit: F.transform(
         table[hit["word"]], lambda p: F.struct(
             p["template"].alias("template"), (hit["at"] - p["at"]).alias("start"), p["weight"].alias("weight")))))
-    rows = rows.withColumn("votes", F.when(F.size("hits") > 0, votes))
-    place = lambda v: F.struct(v["template"].alias("template"), v["start"].alias("start"))
-    starts = F.array_distinct(F.transform("votes", place))
+    # sorted, so that the votes for one place stand together: one pass finds the places and their weights
+    rows = rows.withColumn("votes", F.when(F.size("hits") > 0, F.sort_array(votes)))
+    one_place = lambda a, b: a["template"].eqNullSafe(b["template"]) & a["start"].eqNullSafe(b["start"])
+    most = max(len([at for listed in index.values() for t, at, _ in listed if t == number]) for number in range(len(templates)))
+    vote = lambda i: F.get("votes", i)
+    starts = F.filter(
+        F.transform("votes", lambda v, i: F.struct(v["template"].alias("template"), v["start"].alias("start"), i.alias("at"))),
+        lambda s: ~one_place(s, vote(s["at"] - 1)))
     phrases = F.array(*(F.array(*map(F.lit, t.phrase.split())) for t in templates))
     shift = F.array(*(F.lit(t.text.split().index(t.phrase.split()[0])) for t in templates))
 
@@ -107,8 +115,8 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
     verified = F.transform(F.filter(starts, stands), lambda s: F.struct(
         s["template"].alias("template"), (s["start"] + F.get(shift, s["template"])).alias("first"),
-        F.aggregate(F.filter("votes", lambda v: (v["template"] == s["template"]) & (v["start"] == s["start"])),
-                    F.lit(0.0), lambda total, v: total + v["weight"]).alias("share")))
+        sum((F.when(one_place(s, vote(s["at"] + i)), vote(s["at"] + i)["weight"]).otherwise(0.0) for i in range(most)),
+            F.lit(0.0)).alias("share")))
     return rows.select("doc_id", F.size("words").cast("long").alias("n_words"),
                        F.coalesce(verified, F.array().cast("array<struct<template:int,first:int,share:double>>")).alias("places"))
 
