@@ -64,17 +64,50 @@ def _named(kind: str, values: Column) -> Column:
     return F.transform(F.filter(values, lambda x: x != ""), lambda x: F.concat(F.lit(kind), x))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """Pruned rules ``(items, verdict, confidence, support, anchor)`` from ``labelled(tokens, verdict)``.
+def token_classes(listed: DataFrame, least: float) -> DataFrame:
+    """``token, item, seen, blocked`` of the tokens in at least ``least`` URLs; tokens of the very same URLs are one item.
 
-    A rule holds for at least ``support`` of the labelled URLs (and ``LEAST_SUPPORT``),
-    which bounds the number of rules whatever the input. A rule is dropped if another one
-    with some of its tokens has the same verdict and at least its confidence.
+    ``listed`` has ``url, token, verdict``. As every token listed is in one in a hundred URLs or so,
+    there are no more than some hundred for each token that a URL has on average.
     """
-    verdict = F.concat(F.lit("verdict:"), F.col("verdict"))
-    baskets = labelled.select(F.concat("tokens", F.array(verdict)).alias("items"))
-    labelled_urls = baskets.count()
+    covers = listed.groupBy("token").agg(
+        F.count("*").alias("seen"), F.count_if(F.col("verdict") == "block").alias("blocked"),
+        F.bit_xor(F.xxhash64("url")).alias("x"), F.bit_xor(F.xxhash64("url", F.lit(1))).alias("y"))
+    covers = covers.where(F.col("seen") >= least)
+    items = covers.groupBy("seen", "blocked", "x", "y").agg(F.min("token").alias("item"))
+    return common.stored(covers.join(items, ["seen", "blocked", "x", "y"]).select("token", "item", "seen", "blocked"), "token-classes")
+
+
+def with_items(urls: DataFrame, classes: DataFrame) -> DataFrame:
+    """``url, items`` of the URLs that have any: for each token its class."""
+    listed = urls.select("url", F.explode("tokens").alias("token"))
+    return listed.join(classes.select("token", "item"), "token").groupBy("url").agg(F.collect_set("item").alias("items"))
+
+
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """Pruned rules ``(items, verdict, confidence, support, anchor)`` from ``labelled(url, tokens, verdict)``, and the token classes.
+
+    A rule holds for at least ``support`` of the labelled URLs, and for ``LEAST_SUPPORT`` however few
+    there are. A rule is dropped if another one with some of its tokens has the same verdict and at
+    least its confidence. So tokens that always come together are mined as one item, and an item that
+    is certain by itself is a rule and takes no part in combinations: neither can make any
+    that would stay. Without them one long path that many URLs share would
+    make a combination of every subset of its parts.
+    """
+    labelled_urls = labelled.count()
     least = min(1.0, max(support, LEAST_SUPPORT / max(labelled_urls, 1)))
+    listed = labelled.select("url", "verdict", F.explode("tokens").alias("token"))
+    classes = token_classes(listed, least * labelled_urls)
+    whole_classes = classes.select("item", "seen", "blocked").distinct()
+    sure = whole_classes.where("blocked = 0 or blocked = seen").select(
+        F.array("item").alias("items"), F.when(F.col("blocked") > 0, "block").otherwise("allow").alias("verdict"),
+        F.lit(1.0).alias("confidence"), F.col("seen").alias("support"))
+    open_items = classes.where("blocked > 0 and blocked < seen")
+    verdict = F.concat(F.lit("verdict:"), F.col("verdict"))
+    baskets = with_items(labelled, open_items).join(labelled.select("url", verdict.alias("verdict")), "url")
+    baskets = common.stored(baskets.select(F.concat("items", F.array("verdict")).alias("items")), "baskets")
+    # URLs without an open item count for the support too
+    least = min(1.0, least * labelled_urls / max(baskets.count(), 1))
     sets = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(baskets).freqItemsets
     sets = common.stored(sets, "itemsets")
     is_verdict = lambda x: x.startswith("verdict:")
@@ -85,7 +118,7 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     rules = split.where("verdict is not null and size(items) > 0").join(whole, "items")
     rules = rules.withColumn("confidence", F.col("freq") / F.col("of")).where(F.col("confidence") >= confidence)
     rules = rules.select("items", F.substring_index("verdict", ":", -1).alias("verdict"), "confidence", F.col("freq").alias("support"))
-    single = whole.where("size(items) = 1").select(F.get("items", F.lit(0)).alias("token"), F.col("of").alias("seen"))
+    single = whole_classes.select(F.col("item").alias("token"), "seen")
     rules = common.stored(rules, "rules")
     # a part of a rule is found through each of the rule's tokens
     by_token = rules.select(F.explode("items").alias("token"), F.col("items").alias("whole"), "verdict", "confidence")
@@ -94,10 +127,10 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     smaller = (F.size("part") < F.size("whole")) & (F.size(F.array_except("part", "whole")) == 0)
     beaten = by_token.join(part, "token").where(smaller & (F.col("verdict") == F.col("v")) & (F.col("c") >= F.col("confidence")))
     beaten = beaten.select(F.col("whole").alias("items"), "verdict").distinct()
-    kept = rules.join(beaten, ["items", "verdict"], "left_anti")
+    kept = rules.join(beaten, ["items", "verdict"], "left_anti").select(*sure.columns).union(sure)
     listed = kept.withColumn("token", F.explode("items")).join(single, "token")
     anchor = F.min_by("token", F.struct("seen", "token")).alias("anchor")
-    return common.stored(listed.groupBy("items", "verdict", "confidence", "support").agg(anchor), "kept-rules")
+    return common.stored(listed.groupBy("items", "verdict", "confidence", "support").agg(anchor), "kept-rules"), classes
 
 
 def judge(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
@@ -105,8 +138,9 @@ def judge(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: f
 
     ``mined`` is the mined rule that decided, null where a given rule or the default
     ('allow') did. Null URLs and those without '://' have an empty host and path and the
-    default. Equal URLs agree, so each is judged once; other columns are ignored; an
-    empty table gives an empty result.
+    default. Equal URLs agree, so each is judged once; of rules that tie in confidence, support and
+    size a blocking one decides; other columns are ignored; an empty table gives an empty
+    result. A very long URL costs time and memory in proportion to its length.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     urls = pages.select("url").distinct().select("url", host.alias("host"), path.alias("path"))
@@ -114,10 +148,11 @@ def judge(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: f
     urls = urls.withColumn("tokens", tokens(F.col("url"), F.col("host"), F.col("path")))
     names = F.create_map(*(F.lit(x) for own, start, verdict in rules for x in (own + start, verdict)))
     urls = common.stored(urls.withColumn("verdict", names[F.col("rule")]), "urls")
-    mined = mine(urls.where("rule is not null").select("tokens", "verdict"), support, confidence)
-    looked = urls.where("rule is null and host <> ''").select("url", "tokens", F.explode("tokens").alias("anchor"))
+    mined, classes = mine(urls.where("rule is not null").select("url", "tokens", "verdict"), support, confidence)
+    looked = with_items(urls.where("rule is null and host <> ''"), classes).withColumnRenamed("items", "own")
+    looked = looked.select("url", "own", F.explode("own").alias("anchor"))
     hits = looked.join(mined.withColumnRenamed("verdict", "found"), "anchor")
-    hits = hits.where(F.size(F.array_except("items", "tokens")) == 0)
+    hits = hits.where(F.size(F.array_except("items", "own")) == 0)
     order = F.struct("confidence", "support", F.size("items").alias("n"), (F.col("found") == "block").alias("block"), "items")
     best = hits.groupBy("url").agg(F.max_by(F.struct("found", "items"), order).alias("best"))
     judged = urls.join(best, "url", "left").select(
