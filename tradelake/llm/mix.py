@@ -2,8 +2,8 @@
 
 Every source has a mean repetition rate: its target share of the mixture's bytes over
 its present bytes. Each document's number of copies inverts the Poisson distribution
-with that mean at a point hashed from the document's id, so it needs no state, no order
-and no random numbers. Copies are spread over the whole output by a hash of their own.
+with that mean at a point hashed from the document's id and text, so it needs no state, no
+order and no random numbers. Copies are spread over the whole output by a hash of their own.
 """
 
 from __future__ import annotations
@@ -19,10 +19,32 @@ SPAN = 1 << 32
 BROADCAST_SOURCES = 10_000  # up to so many sources (of 1 KB each) their rates are broadcast
 
 
-def _point(doc_id: Column, seed: str, part: Column) -> Column:
-    """A whole number below ``SPAN`` from the id's hash."""
-    text = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), part.cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+def _row_name() -> Column:
+    """The id, the text's hash and, of rows equal in both, a number: what a row's draws and order hang on."""
+    text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text, F.col("_again"))
+
+
+def _point(name: Column, seed: str, part: Column) -> Column:
+    """A whole number below ``SPAN`` from the row's hash."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), name, part.cast("string"))), 1, 8), 16, 10).cast("long")
+
+
+def told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_again``: null, or a number of its own for each row that repeats id and text.
+
+    Only repeated rows are shuffled, by ranges, so a row that stands a million times is not one task's.
+    """
+    key = F.xxhash64("doc_id", "text")
+    again = docs.select(key.alias("_key")).groupBy("_key").count().where("count > 1").select("_key")
+    again = common.stored(again, "repeated-rows")
+    if again.isEmpty():
+        return docs.withColumn("_again", F.lit(None).cast("string"))
+    keyed = docs.withColumn("_key", key)
+    once = keyed.join(again, "_key", "left_anti").withColumn("_again", F.lit(None).cast("string"))
+    more = keyed.join(again, "_key", "left_semi").withColumn("_any", F.rand(7))
+    more = common.ranked(more, [F.col("_key"), F.col("_any")], "_again", "repeated").drop("_any")
+    return once.unionByName(more.withColumn("_again", F.col("_again").cast("string"))).drop("_key")
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None, epochs: float) -> DataFrame:
@@ -57,23 +79,24 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
 
     ``weights`` are target shares of bytes by source (equal ones by default; a source
     that is not named gets none), ``epochs`` the mixture's size against the input's. A
-    null source is a source of its own, but cannot be named. Rows with one doc_id (or
-    none) are drawn alike. Null and empty texts count one byte. Other columns stay as
-    they are, but ``copy`` and ``mix_key`` are replaced; an empty table gives an empty
-    result.
+    null source is a source of its own, but cannot be named. Every row is drawn by itself: a
+    row's draw hangs on its id and text, of rows equal in both on a number given to
+    each. Null and empty texts count one byte. Other columns stay as they are, but ``copy``
+    and ``mix_key`` are replaced; an empty table gives an empty result. A very long text is
+    repeated like any other, row by row.
     """
-    plain = docs.drop("copy", "mix_key", "_source", "_parts", "_steps")
+    plain = docs.drop("copy", "mix_key", "_source", "_parts", "_steps", "_again", "_key", "_name")
     known = common.stored(rates(docs, weights, epochs).toDF("_source", "_parts", "_steps"), "rates")
     # a row for each source; few of them spare the texts a shuffle by source
     few = known.count() <= BROADCAST_SOURCES
-    rows = plain.join(F.broadcast(known) if few else known, plain["source"].eqNullSafe(known["_source"]))
+    rows = told_apart(plain).withColumn("_name", _row_name())
+    rows = rows.join(F.broadcast(known) if few else known, rows["source"].eqNullSafe(known["_source"]))
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col("_parts")), F.lit(0),
-        lambda total, part: total + _below("_steps", _point(F.col("doc_id"), seed, part)))
+        lambda total, part: total + _below("_steps", _point(F.col("_name"), seed, part)))
     rows = rows.withColumn("_copies", drawn).where("_copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                            F.col("copy").cast("string")))
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.col("_name"), F.col("copy").cast("string")))
     return rows.select(*(F.col(f"`{c}`") for c in plain.columns), "copy", key.alias("mix_key"))
 
 

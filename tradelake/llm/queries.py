@@ -134,15 +134,15 @@ split AS (SELECT source, greatest(1, ceil(mean / 16.0))::INT AS parts, mean / gr
 terms AS (SELECT source, parts, k, exp(-m + k * ln(m) - lgamma(k + 1)) AS p FROM split, range(0, 97) t(k)),
 steps AS (SELECT source, k, ceil(sum(p) OVER (PARTITION BY source ORDER BY k) * 4294967296.0) AS step FROM terms),
 draws AS (
-    SELECT d.doc_id, d.source, i, ('0x' || substr(md5('mix:' || d.doc_id || ':' || i), 1, 8))::BIGINT AS point
+    SELECT d.doc_id, d.source, i, ('0x' || substr(md5('mix:' || d.doc_id || ':' || md5(coalesce(d.text, '')) || ':' || i), 1, 8))::BIGINT AS point
     FROM documents d JOIN split s ON d.source IS NOT DISTINCT FROM s.source, unnest(range(1, s.parts + 1)) u(i)),
 counts AS (
     SELECT w.doc_id, w.source, count(s.k) AS copies FROM draws w
     JOIN steps s ON w.source IS NOT DISTINCT FROM s.source AND s.step <= w.point GROUP BY w.doc_id, w.source),
 copies AS (SELECT doc_id, source, unnest(range(1, copies + 1))::INT AS copy FROM counts)
 SELECT doc_id, source, copy,
-    row_number() OVER (ORDER BY md5('mix:order:' || doc_id || ':' || copy), doc_id, copy) - 1 AS position
-FROM copies
+    row_number() OVER (ORDER BY md5('mix:order:' || doc_id || ':' || md5(coalesce(text, '')) || ':' || copy), doc_id, copy) - 1 AS position
+FROM copies JOIN (SELECT doc_id, text FROM documents) USING (doc_id)
 """
 
 
