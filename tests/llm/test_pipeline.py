@@ -42,6 +42,25 @@ def test_stages_one_by_one(spark, folder):
             assert {(r["doc_id"]) for r in rows} == set(before)
 
 
+UNLEARNED = (
+    "Η γλώσσα είναι ένα σύστημα επικοινωνίας που χρησιμοποιούν οι άνθρωποι για να εκφράζουν τις σκέψεις τους",
+    "语言是人类最重要的交际工具，人们借助语言保存和传递人类文明的成果。语言是民族的重要特征之一。",
+    "Язык представляет собой сложную знаковую систему, соотносящую понятийное содержание и типовое звучание",
+    "Język jest systemem znaków służącym do porozumiewania się ludzi w obrębie danej społeczności każdego dnia",
+    "اللغة نسق من الإشارات والرموز، تشكل أداة من أدوات المعرفة، وتعتبر أهم وسائل التفاهم بين أفراد المجتمع",
+    "言語は、狭義には、音声や文字によって人の意志・思想・感情などの情報を表現・伝達する、または理解するための約束である。",
+)
+
+
+def test_texts_in_unlearned_languages_go(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = table(spark, folder, "documents")
+    more = spark.createDataFrame(
+        [(10**6 + i, t, None, "s", len(t)) for i, t in enumerate([*UNLEARNED, "12 34", None])], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_languages(spark, docs.union(more), folder).select("doc_id").collect()}
+    assert max(kept) < 10**6 and len(kept) >= 0.998 * docs.count()
+
+
 def one_of_each(rows):
     sets = {i: grams(r["text"]) for i, r in rows.items()}
     at = defaultdict(list)

@@ -28,6 +28,50 @@ UNKNOWN = "und"
 SAMPLE_DOCS = 800  # for each language, at most about so many documents are fitted on
 SAMPLE_CHARS = 2048  # from each, a passage of this length at a hashed place
 STEPS, BATCH, RATE = 500, 96, 0.01
+DEVIATIONS = 6  # by which the bytes of a short text may be less usual than those of a long one
+MARGIN = 3  # times the distance from the sample's mean to its lowest text that other texts may be off
+LONG = 256  # bytes of a sample text whose mean counts for its language
+BLOCK = 1 << 18  # bytes that are looked up in one step
+
+
+@dataclass
+class Habits:
+    """How usual byte pairs are in each learned language, to tell texts that are in none of them.
+
+    ``usual`` holds, for every pair and language, the log-probability of the second byte after
+    the first, less the lowest mean that texts of the language may have (``MARGIN`` times as
+    far off as the least usual text of its sample); ``spread`` is the deviation of one byte.
+    """
+
+    usual: np.ndarray  # (65536, languages)
+    spread: np.ndarray
+
+    def foreign(self, raw: np.ndarray, ends: np.ndarray, language: np.ndarray) -> np.ndarray:
+        """Which rows' bytes are too unusual for their language; short rows need to be more so."""
+        out = np.zeros(len(ends) - 1, dtype=bool)
+        for row, own in enumerate(language):
+            first, last = ends[row], ends[row + 1]
+            total, n = 0.0, max(last - first - 1, 0)
+            for at in range(first, last - 1, BLOCK):
+                part = raw[at : min(at + BLOCK + 1, last)].astype(np.int32)
+                total += float(self.usual[part[:-1] * 256 + part[1:], own].sum())
+            out[row] = n > 0 and total < -DEVIATIONS * self.spread[own] * n**0.5
+        return out
+
+
+def habits(texts: list[str], labels: list[str], languages: list[str]) -> Habits:
+    usual, spread = np.zeros((65536, len(languages)), np.float32), np.zeros(len(languages))
+    for i, language in enumerate(languages):
+        own = [np.frombuffer(t.encode(), np.uint8).astype(np.int32) for t, at in zip(texts, labels) if at == language]
+        pairs = [t[:-1] * 256 + t[1:] for t in own if len(t) > 1]
+        if not pairs:
+            continue
+        counts = np.bincount(np.concatenate(pairs), minlength=65536).reshape(256, 256) + 0.01
+        table = np.log(counts / counts.sum(axis=1, keepdims=True)).ravel()
+        each = np.array([table[p].mean() for p in pairs if len(p) >= LONG] or [table[p].mean() for p in pairs])
+        usual[:, i] = table - (each.mean() - MARGIN * (each.mean() - each.min()))
+        spread[i] = table[np.concatenate(pairs)].std()
+    return Habits(usual, spread)
 
 
 @dataclass
@@ -37,6 +81,7 @@ class Network:
     last: np.ndarray  # (65536, filters): its last two bytes
     weights: np.ndarray
     bias: np.ndarray
+    habits: Habits | None = None
 
     def logits(self, windows: np.ndarray) -> np.ndarray:
         """Logits of windows of bytes, one row each."""
@@ -128,10 +173,11 @@ def _apply(network: Network, keep: list[str]):
             odds /= odds.sum(axis=1, keepdims=True)
             has = batch.column("_letter").to_numpy(zero_copy_only=False)
             lang = np.where(has, names[odds.argmax(axis=1)], UNKNOWN)
+            foreign = network.habits.foreign(raw, ends, odds.argmax(axis=1)) if network.habits else ~has
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in keep), pa.array(lang, pa.string()),
-                 pa.array(np.where(has, odds.max(axis=1), 0.0))],
-                names=[*keep, "lang_pred", "lang_score"])
+                 pa.array(np.where(has, odds.max(axis=1), 0.0)), pa.array(foreign | ~has)],
+                names=[*keep, "lang_pred", "lang_score", "lang_foreign"])
 
     return run
 
@@ -142,23 +188,29 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network:
     spare = F.greatest(F.char_length("text") - SAMPLE_CHARS + 1, F.lit(1))
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), spare.cast("long")).cast("int") + 1
     passage = F.substr("text", place, F.lit(SAMPLE_CHARS))
-    rows = sampling.about(usable, "lang", sample_docs).select("doc_id", passage.alias("text"), "lang").collect()
+    chosen = sampling.about(usable, "lang", sample_docs).select("doc_id", passage.alias("text"), "lang")
+    rows = sampling.bounded(chosen, "lang", sample_docs, ["doc_id", "text"]).collect()
     rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    texts, labels = [r["text"] for r in rows], [r["lang"] for r in rows]
+    network = train(texts, labels)
+    network.habits = habits(texts, labels, network.languages)
+    return network
 
 
 def identify(docs: DataFrame, network: Network, keep: list[str]) -> DataFrame:
-    """``docs`` reduced to ``keep``, with ``lang_pred`` and ``lang_score``.
+    """``docs`` reduced to ``keep``, with ``lang_pred``, ``lang_score`` and ``lang_foreign``.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything if
-    no language was learned. Every row is judged by its text alone, so repeated rows
+    no language was learned. ``lang_foreign`` tells texts whose bytes are unlike all of their
+    language's sample (those that are ``und`` too): the network always names one of the learned languages.
+    Of languages with equal logits the first by name is taken. A very long text is read in windows. Every row is judged by its text alone, so repeated rows
     agree; columns not in ``keep`` are ignored; an empty table gives an empty result.
     """
     spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    spec += ", lang_pred string, lang_score double"
+    spec += ", lang_pred string, lang_score double, lang_foreign boolean"
     names = [f.name for f in docs.schema if f.name in keep]
     if not network.languages:
-        return docs.select(*names, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("lang_score"))
+        return docs.select(*names, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("lang_score"), F.lit(True).alias("lang_foreign"))
     letter = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("_letter")
     wanted = list(dict.fromkeys([*names, "text"]))
     return docs.select(*wanted, letter).mapInArrow(_apply(network, names), spec)
