@@ -14,15 +14,13 @@ from tradelake.llm import language, mix, ngram_join, pack, quality
 from tradelake.llm.common import stored, table
 
 TOKENIZER = "word_bpe_49k.json"
-LANGUAGE_FLOOR = 0.3  # below this score a text is in none of the learned languages
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without a letter or without a clear language go."""
+    """Documents in a learned language; those without a letter or unlike all that was learned go."""
     network = language.fit(docs)
     found = language.identify(docs, network, docs.columns)
-    kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_score") >= LANGUAGE_FLOOR)
-    return found.where(kept).select(docs.columns)
+    return found.where(~F.col("lang_foreign")).select(docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
