@@ -159,14 +159,13 @@ def test_common_types():
         assert common_type(*types).simpleString() == common_type(*types[::-1]).simpleString() == want
 
 
-def ten_minutes(as_of):
-    """Ten minutes up to ``as_of`` and one row two hours old."""
-    moments = [as_of - timedelta(minutes=i) for i in range(1, 11)] + [as_of - timedelta(hours=2)]
-    texts = []
-    for i, moment in enumerate(moments):
-        texts += [payload(f"b{i}", 100 + i, 2, "buy", moment), payload(f"s{i}", 90 + i, 1, "sell", moment)]
-    return texts
-
+# Windows around an hour that ends at half past one, and whether the chart of that hour shows them.
+AROUND = {
+    at(10, 0, 29): False, at(10, 0, 30): False,  # before the bound, and on it
+    at(10, 0, 31): True, at(10, 1, 0): True, at(10, 1, 29): True,
+    at(10, 1, 30): True, at(10, 1, 31): False,  # the moment asked for, and after it
+    at(9, 23, 59): False, at(11, 0, 0): False,  # the days next to it
+}
 
 # The chart queries as a dashboard user writes them.
 CHARTS = {
@@ -178,18 +177,23 @@ CHARTS = {
 
 
 def test_charts(spark, layout):
-    as_of = datetime.now(UTC).replace(second=30, microsecond=0)
-    deliver(spark, layout, ten_minutes(as_of), as_of)
+    as_of = at(10, 1, 30)
+    texts = []
+    for n, moment in enumerate(AROUND):
+        for m in range(n % 3 + 1):
+            texts.append(payload(f"{n}-{m}", 50 + 3 * n + m, 1 + (n + m) % 4, "sell" if m % 2 else "buy", moment + timedelta(seconds=59 * (m % 2))))
+    deliver(spark, layout, texts, at(20))
     export.run_export(spark, layout)
+    bounds = "WHERE window_start > timestamp'2026-04-10 00:30:00' AND window_start <= timestamp'2026-04-10 01:30:00' ORDER BY window_start"
     for name, sql in CHARTS.items():
         recent = dashboards.recent(spark, layout, name, as_of=as_of)
-        assert recent.count() == 10
-        want = spark.sql(sql.format("WHERE window_start > NOW() - INTERVAL '60 minutes' ORDER BY window_start"))
+        want = spark.sql(sql.format(bounds))
         assert recent.columns == want.columns and recent.collect() == want.collect()
-        latest = dashboards.latest(spark, layout, name)
-        want = spark.sql(sql.format("ORDER BY window_start DESC LIMIT 5"))
-        assert latest.collect() == want.collect() and latest.count() == 5
+        assert [r.window_start.replace(tzinfo=UTC) for r in recent.collect()] == sorted(m for m, shown in AROUND.items() if shown)
+        for n in (1, 4, 20):
+            assert dashboards.latest(spark, layout, name, n).collect() == spark.sql(sql.format(f"ORDER BY window_start DESC LIMIT {n}")).collect()
     shares = dashboards.recent(spark, layout, "pressure", as_of=as_of)
     assert shares.filter(F.abs(F.col("buy_volume_pct") + F.col("sell_volume_pct") - 100) > 0.001).count() == 0
-    assert dashboards.recent(spark, layout, "vwap", as_of=as_of, minutes=180).count() == 11
-    assert dashboards.latest(spark, layout, "vwap", n=50).count() == 11
+    assert dashboards.recent(spark, layout, "vwap", as_of=as_of, minutes=61).count() == 5
+    assert dashboards.recent(spark, layout, "vwap").count() == 0
+    assert {m for m in held_days(spark, layout.lake(VWAP_TABLE))} == {f"year=2026/month=04/day={d}" for d in ("09", "10", "11")}

@@ -20,7 +20,7 @@ from tradelake.plans.ledger import RECENCY
 from tradelake.plans.quarantine import quarantine
 from tradelake.schemas import PAYLOAD, PRICE, SILVER, Layout
 from tradelake.sources import snapshots
-from tradelake.sources.tables import distinct_days, merged, outside, ranges_of, read_silver, staged
+from tradelake.sources.tables import distinct_days, merged, outside, ranges_of, staged
 
 # A day of so many pieces is written anew as one when it gains rows.
 MOST_PIECES = 16

@@ -10,7 +10,6 @@ from tradelake.operators import quality
 from tradelake.operators.metrics import trade_stats, vwap
 from tradelake.plans.refresh import quality_report
 from tradelake.queries.common import LINES, SECOND_ARRIVAL, TRADES, comparable, event_trades, events, line_trades, two_deliveries
-from tradelake.sources import tape
 
 
 def _null_vwap(spark, folder):
