@@ -89,7 +89,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     known = common.stored(rates(docs, weights, epochs).toDF("_source", "_parts", "_steps"), "rates")
     # a row for each source; few of them spare the texts a shuffle by source
     few = known.count() <= BROADCAST_SOURCES
-    rows = told_apart(plain).withColumn("_name", _row_name())
+    # generated, so that the text is hashed once for all uses of the name
+    rows = told_apart(plain).select("*", F.explode(F.array(_row_name())).alias("_name"))
     rows = rows.join(F.broadcast(known) if few else known, rows["source"].eqNullSafe(known["_source"]))
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col("_parts")), F.lit(0),
@@ -101,7 +102,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
 
 
 def _below(steps: str, point: Column) -> Column:
-    return F.size(F.filter(steps, lambda step: step <= point))
+    # the one-element transform computes the point once, not for every step
+    return F.get(F.transform(F.array(point), lambda p: F.size(F.filter(steps, lambda step: step <= p))), F.lit(0))
 
 
 def shuffled(mixed: DataFrame) -> DataFrame:
