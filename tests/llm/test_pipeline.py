@@ -56,7 +56,7 @@ def test_texts_in_unlearned_languages_go(spark):
     folder = "/root/testdata/sf0.01"
     docs = table(spark, folder, "documents")
     more = spark.createDataFrame(
-        [(10**6 + i, t, None, "s", len(t)) for i, t in enumerate([*UNLEARNED, "12 34", None])], docs.schema)
+        [(10**6 + i, t, None, "s", len(t or "")) for i, t in enumerate([*UNLEARNED, "12 34", None])], docs.schema)
     kept = {r["doc_id"] for r in corpus_pipeline.keep_languages(spark, docs.union(more), folder).select("doc_id").collect()}
     assert max(kept) < 10**6 and len(kept) >= 0.998 * docs.count()
 
