@@ -59,18 +59,25 @@ class Habits:
         return out
 
 
+def _pairs(text: np.ndarray) -> np.ndarray:
+    return text[:-1].astype(np.int32) * 256 + text[1:]
+
+
 def habits(texts: list[str], labels: list[str], languages: list[str]) -> Habits:
     usual, spread = np.zeros((65536, len(languages)), np.float32), np.zeros(len(languages))
     for i, language in enumerate(languages):
-        own = [np.frombuffer(t.encode(), np.uint8).astype(np.int32) for t, at in zip(texts, labels) if at == language]
-        pairs = [t[:-1] * 256 + t[1:] for t in own if len(t) > 1]
-        if not pairs:
+        own = [t for t in (np.frombuffer(t.encode(), np.uint8) for t, at in zip(texts, labels) if at == language) if len(t) > 1]
+        if not own:
             continue
-        counts = np.bincount(np.concatenate(pairs), minlength=65536).reshape(256, 256) + 0.01
-        table = np.log(counts / counts.sum(axis=1, keepdims=True)).ravel()
-        each = np.array([table[p].mean() for p in pairs if len(p) >= LONG] or [table[p].mean() for p in pairs])
+        counts = np.zeros(65536, np.int64)
+        for text in own:
+            np.add.at(counts, _pairs(text), 1)
+        smooth = counts.reshape(256, 256) + 0.01
+        table = np.log(smooth / smooth.sum(axis=1, keepdims=True)).ravel()
+        each = np.array([table[_pairs(t)].mean() for t in own if len(t) > LONG] or [table[_pairs(t)].mean() for t in own])
+        mean = (counts * table).sum() / counts.sum()
         usual[:, i] = table - (each.mean() - MARGIN * (each.mean() - each.min()))
-        spread[i] = table[np.concatenate(pairs)].std()
+        spread[i] = ((counts * (table - mean) ** 2).sum() / counts.sum()) ** 0.5
     return Habits(usual, spread)
 
 
