@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tradelake.operators.flatten import flatten, of_products
 from tradelake.operators.validate import accepted, health_counts, reason_counts, rejected, validate
-from tradelake.queries.common import TRADES, comparable, events
+from tradelake.plans.quarantine import quarantine
+from tradelake.queries.common import FIRST_ARRIVAL, TRADES, comparable, events, new_layout
 from tradelake.sources import tape
 from tradelake.sources.feed import bad_frames, parse_frames
+from tradelake.sources.tables import read_quarantine
 
 
 def _flat(spark, folder):
@@ -25,6 +27,16 @@ def _checked(spark, folder):
     return validate(lines.select(F.try_parse_json("raw").alias("trade")))
 
 
+def _set_aside(spark, folder):
+    """Rejected records set aside, again under the same batch as a replay does, and read back."""
+    layout = new_layout(spark, "set-aside")
+    rows = rejected(_checked(spark, folder)).withColumns({"received_at": F.lit(FIRST_ARRIVAL), "batch_id": F.lit("batch-1")})
+    for _ in range(2):
+        quarantine(rows, layout)
+    kept = read_quarantine(spark, layout.quarantine).select(F.length("raw").alias("_n"), F.size("reasons").alias("broken"))
+    return kept.groupBy("broken").agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("_n") > 0).alias("with_text"))
+
+
 QUERIES = {
     "feed_flatten": lambda spark, folder: _members(_flat(spark, folder)),
     "feed_bad_frames": lambda spark, folder: bad_frames(parse_frames(tape.frames(events(spark, folder)))).select("raw", F.col("reasons")[0].alias("reason")),
@@ -34,8 +46,7 @@ QUERIES = {
         F.try_variant_get(F.parse_json("raw"), "$.time", "string").alias("time"), F.array_join("reasons", ",").alias("reasons")),
     "feed_health_counts": lambda spark, folder: health_counts(_checked(spark, folder)),
     "reject_counts": lambda spark, folder: reason_counts(_checked(spark, folder)),
-    "quarantine_rows": lambda spark, folder: rejected(_checked(spark, folder)).select(
-        F.length("raw").alias("_n"), F.size("reasons").alias("broken")).groupBy("broken").agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("_n") > 0).alias("with_text")),
+    "quarantine_rows": _set_aside,
 }
 
 _LISTED = """listed AS (SELECT * FROM trades WHERE NOT (
