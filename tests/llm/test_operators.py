@@ -270,8 +270,33 @@ def test_embedding_tables_reach_the_recall_at_the_threshold(vectors):
     assert same.any(axis=1).mean() >= 0.99
 
 
+def test_sketches_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(18)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    # directions even, and one direction that rules
+    for lean in (0.0, 1.0):
+        make = lambda n: unit(rng.normal(size=(n, 64)) + lean)  # noqa: E731, B023
+        learned, x = make(2000), make(20_000)
+        project = embedding_dedup.rotations(learned, 2)
+        bound = embedding_dedup.hamming_bound(learned, project, 0.95)
+        off = rng.normal(size=x.shape)
+        off = unit(off - (off * x).sum(axis=1, keepdims=True) * x)
+        y = 0.95 * x + (1 - 0.95**2) ** 0.5 * off
+        bits = lambda v: embedding_dedup._sketches(v, project)  # noqa: E731, B023
+        apart = np.bitwise_count(bits(x) ^ bits(y)).sum(axis=1)
+        plain = ((x @ project > 0) != (y @ project > 0)).sum(axis=1)
+        assert (apart == plain).all() and (apart <= bound).mean() >= 0.9999
+        others = np.bitwise_count(bits(x) ^ np.roll(bits(x), 1, axis=0)).sum(axis=1)
+        assert lean or (others <= bound).mean() < 0.001
+        tables = embedding_dedup.substrings(64, 2000, 0.95)
+        known = [places for places in tables if places[-1] < embedding_dedup.SKETCH]
+        assert (embedding_dedup._known_keys(bits(x), known) == embedding_dedup._keys(x, project, known)).all()
+
+
 def test_blocks_of_a_hot_bucket_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embedding_dedup, "CELLS", 100)
+    monkeypatch.setattr(embedding_dedup, "PAIRS", 7)
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in 1 + rng.normal(size=16) * 0.01]) for i in range(90)]
     got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()

@@ -3,15 +3,19 @@
 Rotations learned by iterative quantisation, each from a start of its own, turn every
 vector into balanced binary codes. Tables look up substrings of the codes: two vectors
 meet in a table when its bits of their codes are equal. The number of bits follows the
-number of vectors, so buckets stay small, and the number of tables follows from the recall
+number of vectors, so buckets hold some hundred, and the number of tables follows from the recall
 wanted at the threshold. No two tables share a bit: bits drawn again and again from one
-code would miss a pair that it places far apart in all tables together. Pairs that meet
-are compared by the cosine of the original vectors in double precision.
+code would miss a pair that it places far apart in all tables together.
+
+Buckets are shuffled with the first codes (``SKETCH`` bits) in place of the vectors. Only
+vectors with a partner in the bucket within the Hamming distance that made pairs at the threshold stay
+within, and not met in an earlier table that the sketch knows, are fetched and compared
+by the cosine of the original vectors in double precision.
 
 A bucket is compared inside tasks and only sums leave them: links counted for each
 vector, and of each bucket's components one edge for each vector. A pair that meets in
-several tables is counted in the first. Buckets beyond ``BLOCK`` rows are dealt into
-blocks, every two of which meet in one task. Equal vectors are compared once, as a class.
+several tables is counted in the first. Buckets beyond ``BLOCK`` rows, as a share of the vectors
+tells, are dealt into blocks, every two of which meet in one task. Equal vectors are compared once, as a class.
 """
 
 from __future__ import annotations
@@ -29,8 +33,13 @@ from tradelake.llm import common
 SAMPLE = 8_000  # vectors the rotation is learned from, at most about
 ROUNDS = 40
 RECALL = 0.995  # of pairs just at the threshold, by the tables together
-BLOCK = 512
-PAIRS = 1 << 15  # compared at a time
+BLOCK = 2_048
+CROWD = 8  # a bucket holds about 2 ** CROWD vectors
+SKETCH = 128  # bits of the codes that travel with a bucket's rows
+MARGIN = 1.25  # on the largest Hamming distance of made pairs
+COUNTED = 16  # one vector of so many counts for the sizes of buckets
+CELLS = 1 << 20  # pairs met at a time
+PAIRS = 1 << 14  # of them compared at a time
 
 
 def rotation(sample: np.ndarray, seed: int = 5) -> np.ndarray:
@@ -74,7 +83,7 @@ def _meet(dims: int, bits: int, cosine: float, seed: int = 9) -> float:
 
 def substrings(dims: int, vectors: int, cosine: float) -> list[np.ndarray]:
     """The bits that each table looks up, of codes of ``dims`` bits side by side; no bit is in two tables."""
-    bits = int(min(dims, max(6, round(math.log2(max(vectors, 2))))))
+    bits = int(min(dims, max(6, round(math.log2(max(vectors, 2))) - CROWD)))
     meet = _meet(dims, bits, cosine)
     tables = max(4, math.ceil(math.log(1 - RECALL) / math.log(1 - meet))) if meet < 1 else 1
     each = dims // bits  # tables to a code
@@ -100,103 +109,77 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _encoded(project: np.ndarray, tables: list[np.ndarray]):
-    """Every class once for each table, with its bucket and whole code."""
+def _sketches(unit: np.ndarray, project: np.ndarray) -> np.ndarray:
+    """The first bits of the codes, packed into 64-bit words."""
+    bits = np.zeros((len(unit), SKETCH), dtype=np.uint8)
+    known = min(SKETCH, project.shape[1])
+    bits[:, :known] = unit @ project[:, :known] > 0
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+
+def _known_keys(sketches: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+    """The buckets of sketches in the tables whose bits they hold."""
+    bits = np.unpackbits(sketches.view(np.uint8).reshape(len(sketches), -1), axis=1, bitorder="little")
+    return np.stack([bits[:, places] @ (1 << np.arange(len(places), dtype=np.int64)) for places in tables], axis=1)
+
+
+def hamming_bound(sample: np.ndarray, project: np.ndarray, cosine: float, seed: int = 11) -> int:
+    """Distance of sketches beyond which a pair is not fetched.
+
+    Every vector of the sample gets partners at the threshold in random directions; the largest
+    distance seen, widened by ``MARGIN``, is the bound.
+    """
+    if sample.shape[1] == 1 or not len(sample):
+        return SKETCH
+    rng = np.random.default_rng(seed)
+    own, most = _sketches(sample, project), 0
+    for _ in range(4):
+        off = rng.normal(size=sample.shape)
+        off -= (off * sample).sum(axis=1, keepdims=True) * sample
+        off *= math.sqrt(max(0.0, 1 - cosine * cosine)) / np.linalg.norm(off, axis=1, keepdims=True)
+        apart = np.bitwise_count(own ^ _sketches(cosine * sample + off, project)).sum(axis=1)
+        most = max(most, int(apart.max()))
+    return math.ceil(most * MARGIN)
+
+
+def _encoded(project: np.ndarray, tables: list[np.ndarray], sketched: bool):
+    """Every class once for each table, with its bucket and, if asked for, its sketch."""
     dims = len(project)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = _keys(_unit(_matrix(batch.column("embedding"), dims)), project, tables)
-            node = batch.column("node")
+            unit = _unit(_matrix(batch.column("embedding"), dims))
+            keys = _keys(unit, project, tables)
+            columns, names = [batch.column("node")], ["node"]
+            if sketched:
+                words = _sketches(unit, project)
+                columns += [pa.array(np.ascontiguousarray(words[:, at]).view(np.int64)) for at in range(words.shape[1])]
+                names += [f"word{at}" for at in range(words.shape[1])]
             for number in range(len(tables)):
-                yield pa.RecordBatch.from_arrays(
-                    [node, pa.array(keys[:, number] * len(tables) + number)], names=["node", "bucket"])
+                bucket = pa.array(keys[:, number] * len(tables) + number)
+                yield pa.RecordBatch.from_arrays([bucket, *columns], names=["bucket", *names])
 
     return run
 
 
-def _pairs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of all pairs inside runs of the given sizes."""
-    first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    row = np.arange(len(first))
-    n = row - first  # each row pairs with the rows before it in its run
-    left = np.repeat(row, n)
-    right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-    return left, right
-
-
-def _compared(project: np.ndarray, tables: list[np.ndarray], cosine: float):
-    """Links inside buckets, rows sorted by bucket and block pair; a block pair's rows come together."""
-    dims = len(project)
-
-    def results(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        bucket, low, high, own = (rows.column(c).to_numpy() for c in ("bucket", "low", "high", "block"))
-        node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
-        unit = _unit(_matrix(rows.column("embedding").combine_chunks(), dims))
-        new = np.flatnonzero(np.diff(bucket) | np.diff(low) | np.diff(high)) + 1
-        edges = np.concatenate(([0], new, [len(node)]))
-        sizes = np.diff(edges)
-        at = 0
-        while at < len(sizes):  # some runs at a time, so that pairs stay few
-            stop = at + 1
-            work = int(sizes[at]) ** 2
-            while stop < len(sizes) and work + int(sizes[stop]) ** 2 <= 1 << 21:
-                work += int(sizes[stop]) ** 2
-                stop += 1
-            base = edges[at]
-            x, y = _pairs(sizes[at:stop])
-            x, y = x + base, y + base
-            # two blocks meet only across, a block with itself only when low = high
-            here = (own[x] != own[y]) | (low[x] == high[x])
-            x, y = x[here], y[here]
-            if len(x):
-                near = np.concatenate([
-                    np.einsum("ij,ij->i", unit[x[i : i + PAIRS]], unit[y[i : i + PAIRS]]) >= cosine
-                    for i in range(0, len(x), PAIRS)])
-                x, y = x[near], y[near]
-            if len(x):
-                used = np.unique(np.concatenate((x, y)))
-                keys = _keys(unit[used], project, tables)
-                left, right = np.searchsorted(used, x), np.searchsorted(used, y)
-                number = bucket[x] % len(tables)
-                again = np.zeros(len(x), dtype=bool)
-                for earlier in range(len(tables) - 1):
-                    again |= (number > earlier) & (keys[left, earlier] == keys[right, earlier])
-                x, y = x[~again], y[~again]
-            if len(x):
-                count = np.zeros(edges[stop] - base, dtype=np.int64)
-                np.add.at(count, x - base, copies[y])
-                np.add.at(count, y - base, copies[x])
-                label = np.arange(len(count))
-                while True:
-                    least = np.minimum(label[x - base], label[y - base])
-                    after = label.copy()
-                    np.minimum.at(after, x - base, least)
-                    np.minimum.at(after, y - base, least)
-                    after = after[after]
-                    if (after == label).all():
-                        break
-                    label = after
-                linked = np.flatnonzero(count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[base + linked]), pa.array(node[base + label[linked]]), pa.array(count[linked])],
-                    names=["node", "other", "links"])
-            at = stop
+def _by_run(results):
+    """Calls ``results`` with whole buckets (or block pairs) of rows sorted by them."""
+    names = ("bucket", "low", "high")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = [batch.column(c).to_numpy() for c in ("bucket", "low", "high")]
+            key = [batch.column(c).to_numpy() for c in names]
             last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
                 yield from results(pa.Table.from_batches([*held, batch.slice(0, cut)]))
                 held = [batch.slice(cut)]
-            elif held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in ("bucket", "low", "high")):
+            elif held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in names):
                 yield from results(pa.Table.from_batches(held))
                 held = [batch]
             else:
@@ -207,6 +190,116 @@ def _compared(project: np.ndarray, tables: list[np.ndarray], cosine: float):
     return run
 
 
+def _runs(rows: pa.Table) -> Iterator[tuple[int, int]]:
+    """First row and end of each bucket or block pair of more than one row."""
+    bucket, low, high = (rows.column(c).to_numpy() for c in ("bucket", "low", "high"))
+    new = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)) + 1
+    edges = np.concatenate(([0], new, [len(bucket)]))
+    for at in np.flatnonzero(np.diff(edges) > 1):
+        yield int(edges[at]), int(edges[at + 1])
+
+
+def _steps(size: int) -> Iterator[tuple[int, int]]:
+    """Rows to compare at a time with all rows before their end."""
+    step = max(1, CELLS // size)
+    for start in range(0, size, step):
+        yield start, min(size, start + step)
+
+
+def _promising(tables: list[np.ndarray], bound: int):
+    """Rows with a partner in their bucket whose sketch is near and that no earlier known table has."""
+    known = [places for places in tables if places[-1] < SKETCH]
+
+    def results(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        names = [name for name in rows.column_names if name.startswith("word")]
+        words = np.stack([rows.column(c).to_numpy() for c in names], axis=1).view(np.uint64)
+        own, low, high = (rows.column(c).to_numpy() for c in ("block", "low", "high"))
+        number = rows.column("bucket").to_numpy() % len(tables)
+        wanted = np.zeros(len(words), dtype=bool)
+        for base, stop in _runs(rows):
+            run, block = words[base:stop], own[base:stop]
+            across = low[base] != high[base]
+            earlier = known[: number[base]]
+            keys = _known_keys(run, earlier) if earlier else None
+            found = np.zeros(len(run), dtype=bool)
+            for start, end in _steps(len(run)):
+                apart = sum(
+                    np.bitwise_count(run[start:end, at, None] ^ run[None, :end, at]).astype(np.uint16)
+                    for at in range(run.shape[1]))
+                x, y = np.nonzero(apart <= bound)
+                x += start
+                pick = y < x
+                if across:
+                    pick &= block[x] != block[y]
+                x, y = x[pick], y[pick]
+                if keys is not None and len(x):
+                    fresh = np.ones(len(x), dtype=bool)
+                    for table in range(keys.shape[1]):
+                        fresh &= keys[x, table] != keys[y, table]
+                    x, y = x[fresh], y[fresh]
+                found[x] = found[y] = True
+            wanted[base:stop] = found
+        if wanted.any():
+            kept = rows.select(["node", "bucket", "block", "low", "high"]).filter(pa.array(wanted))
+            yield from kept.combine_chunks().to_batches()
+
+    return _by_run(results)
+
+
+def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels after the links x-y: the smallest row of each component."""
+    while True:
+        one, two = label[x], label[y]
+        apart = one != two
+        if not apart.any():
+            return label
+        np.minimum.at(label, np.maximum(one, two)[apart], np.minimum(one, two)[apart])
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _compared(project: np.ndarray, tables: list[np.ndarray], cosine: float):
+    """Links inside buckets, rows sorted by bucket and block pair; a block pair's rows come together."""
+    dims = len(project)
+
+    def results(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        bucket, low, high, own = (rows.column(c).to_numpy() for c in ("bucket", "low", "high", "block"))
+        node, copies = rows.column("node").to_numpy(), rows.column("copies").to_numpy()
+        vectors = _unit(_matrix(rows.column("embedding").combine_chunks(), dims))
+        for base, stop in _runs(rows):
+            unit, block, many = vectors[base:stop], own[base:stop], copies[base:stop]
+            across = low[base] != high[base]
+            earlier = tables[: int(bucket[base] % len(tables))]
+            keys = _keys(unit, project, earlier) if earlier else None
+            count = np.zeros(len(unit), dtype=np.int64)
+            label = np.arange(len(unit))
+            for start, end in _steps(len(unit)):
+                x, y = np.nonzero(unit[start:end] @ unit[:end].T >= cosine - 1e-9)
+                x += start
+                pick = y < x
+                if across:  # two blocks meet only across, a block with itself only when low = high
+                    pick &= block[x] != block[y]
+                x, y = x[pick], y[pick]
+                near = np.zeros(len(x), dtype=bool)
+                for at in range(0, len(x), PAIRS):
+                    part = slice(at, at + PAIRS)
+                    near[part] = np.einsum("ij,ij->i", unit[x[part]], unit[y[part]]) >= cosine
+                if keys is not None:
+                    for table in range(keys.shape[1]):
+                        near &= keys[x, table] != keys[y, table]
+                x, y = x[near], y[near]
+                np.add.at(count, x, many[y])
+                np.add.at(count, y, many[x])
+                label = _joined(label, x, y)
+            linked = np.flatnonzero(count)
+            if len(linked):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[base + linked]), pa.array(node[base + label[linked]]), pa.array(count[linked])],
+                    names=["node", "other", "links"])
+
+    return _by_run(results)
+
+
 def _of_width(classes: DataFrame, dims: int, cosine: float) -> DataFrame:
     """``node, other, links`` over all buckets, for vectors of one width."""
     spark = classes.sparkSession
@@ -216,19 +309,32 @@ def _of_width(classes: DataFrame, dims: int, cosine: float) -> DataFrame:
     rows = sorted(sample.collect(), key=lambda r: r["node"])
     learned = _unit(np.array([r["embedding"] for r in rows], dtype=np.float64)) if rows else np.zeros((0, dims))
     tables = substrings(dims, total, cosine)
-    project = rotations(learned, codes_of(tables, dims))
-    coded = classes.select("node", "embedding").mapInArrow(_encoded(project, tables), "node long, bucket long")
-    coded = common.stored(coded, "codes")
-    sizes = coded.groupBy("bucket").count().where("count > 1")
-    blocks = sizes.select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    met = coded.join(blocks, "bucket")
-    met = met.withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
-    met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("node", "bucket", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    project = rotations(learned, max(codes_of(tables, dims), math.ceil(SKETCH / dims)))
+    bound = hamming_bound(learned, project, cosine)
+    vectors = classes.select("node", "embedding")
+    share = vectors.where(F.pmod(F.xxhash64("node", F.lit(4)), F.lit(COUNTED)) == 0)
+    sizes = share.mapInArrow(_encoded(project, tables, False), "bucket long, node long").groupBy("bucket").count()
+    crowded = sizes.where(F.col("count") * COUNTED > BLOCK).select(
+        "bucket", F.ceil(F.col("count") * COUNTED / BLOCK).cast("int").alias("blocks"))
+    crowded = common.stored(crowded, "crowded")
+    words = "".join(f", word{at} long" for at in range(SKETCH // 64))
+    coded = vectors.mapInArrow(_encoded(project, tables, True), f"bucket long, node long{words}")
+    coded = coded.join(crowded, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    coded = coded.withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
+    coded = coded.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    coded = coded.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with"))
+    met = _together(coded.drop("blocks", "with")).mapInArrow(
+        _promising(tables, bound), "node long, bucket long, block int, low int, high int")
+    met = common.stored(met, "promising")
     met = met.join(classes.select("node", "embedding", "copies"), "node")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = met.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    return dealt.mapInArrow(_compared(project, tables, cosine), "node long, other long, links long")
+    return _together(met).mapInArrow(_compared(project, tables, cosine), "node long, other long, links long")
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    """The rows of a bucket, or of two blocks of it, after each other in one partition."""
+    key = ("bucket", "low", "high")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *key).sortWithinPartitions(*key)
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
