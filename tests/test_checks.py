@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from test_silver_gold import deliver
 from trades import payload, payloads, sorted_rows
 
+from tradelake.functions.ranges import outside
 from tradelake.functions.windows import after_bookmark, between_windows, bookmark_max
 from tradelake.operators import quality
 from tradelake.operators.absent import BROADCAST_BYTES, absent_rows, id_bytes
@@ -17,7 +18,7 @@ from tradelake.operators.metrics import all_metrics, vwap
 from tradelake.operators.rolling import rolling_vwap
 from tradelake.plans import bronze, dashboards, export, gold, refresh, silver
 from tradelake.schemas import VWAP_TABLE
-from tradelake.sources.tables import on_days, outside, read_bronze, read_gold, read_silver
+from tradelake.sources.tables import on_days, read_bronze, read_gold, read_silver
 from tradelake.streaming.options import LATENESS
 
 

@@ -7,11 +7,12 @@ from conftest import at
 from pyspark.sql import functions as F
 from trades import payload, payloads
 
+from tradelake.functions.ranges import merged, outside, ranges_of
 from tradelake.plans import bronze, silver
 from tradelake.schemas import SILVER
 from tradelake.sources import snapshots
 from tradelake.sources.files import delete, names
-from tradelake.sources.tables import merged, outside, ranges_of, read_silver
+from tradelake.sources.tables import read_silver
 
 SCHEMA = "n long, moment timestamp, day date"
 

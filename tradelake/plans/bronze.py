@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions.dates import day_of
+from tradelake.functions.ranges import Ranges
 from tradelake.functions.windows import aware
 from tradelake.operators.absent import absent_rows, id_bytes
 from tradelake.schemas import BRONZE, Layout
 from tradelake.sources.files import claim, delete, names
-from tradelake.sources.tables import read_table
+from tradelake.sources.tables import read_batches, read_table
 
 
 @dataclass(frozen=True)
@@ -60,9 +61,9 @@ def next_batch(spark: SparkSession, layout: Layout) -> int:
     return number
 
 
-def batches(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Bronze with the number of the batch that brought each row, a partition column."""
-    return read_table(spark, layout.bronze, BRONZE)
+def batches(spark: SparkSession, layout: Layout, beyond: Ranges = ()) -> DataFrame:
+    """Bronze with the number of the batch that brought each row, without the batches in ``beyond``."""
+    return read_batches(spark, layout.bronze, beyond)
 
 
 def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: datetime, keep: str = "first") -> IngestReport:
@@ -99,5 +100,5 @@ def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: d
         .parquet(layout.bronze)
     )
     day = F.col("received_date") == F.lit(arrivals_day(received_at))
-    inserted = batches(spark, layout).filter(day & (F.col("batch") == number)).count()
+    inserted = read_table(spark, layout.bronze, BRONZE).filter(day & (F.col("batch") == number)).count()
     return IngestReport(attempted=counts.rows, inserted=inserted)

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradelake.functions.ranges import outside
 from tradelake.operators.absent import mentioned_ids
 from tradelake.plans.bronze import batches
 from tradelake.schemas import SILVER, Layout
 from tradelake.sources import snapshots
 from tradelake.sources.snapshots import Snapshot
-from tradelake.sources.tables import outside
 
 BUCKETS = 16
 LITERAL_IDS = 10_000  # ids of a batch that are looked up as literals, at most
@@ -77,7 +77,7 @@ def looked_up(spark: SparkSession, layout: Layout, batch: DataFrame, count: int,
 def known_ids(spark: SparkSession, layout: Layout, batch: DataFrame, count: int, size: int) -> DataFrame:
     """Ids of ``batch`` that bronze holds: the ledger's, and those of batches that it has not seen."""
     seen = (snapshots.current(spark, layout.ledger) or snapshots.EMPTY).notes.get("taken", [])
-    recent = batches(spark, layout).filter(outside("batch", seen)).select("trade_id")
+    recent = batches(spark, layout, seen).select("trade_id")
     return looked_up(spark, layout, batch, count, size).select("trade_id").union(recent)
 
 
@@ -112,7 +112,7 @@ def follow(spark: SparkSession, layout: Layout, silver: Snapshot, since: Snapsho
         rows = entries(changed) if unplaced is None else entries(changed).union(bare(unplaced))
     else:
         trades = snapshots.on_keys(spark, layout.silver, SILVER, silver.changed_since(seen), silver)
-        fresh = batches(spark, layout).filter(~outside("batch", silver.notes["taken"]) & outside("batch", before.notes["taken"]))
+        fresh = batches(spark, layout, before.notes["taken"]).filter(~outside("batch", silver.notes["taken"]))
         rows = entries(trades).union(bare(fresh))
     crowded = [key for key, day in before.days.items() if len(day.pieces) >= MOST_PIECES]
     if crowded:

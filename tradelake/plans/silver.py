@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.functions.dates import day_of
+from tradelake.functions.ranges import merged, ranges_of
 from tradelake.operators.absent import id_bytes
 from tradelake.operators.dedup import keep_one
 from tradelake.operators.merge import merged_rows
@@ -20,7 +21,7 @@ from tradelake.plans.ledger import RECENCY
 from tradelake.plans.quarantine import quarantine
 from tradelake.schemas import PAYLOAD, PRICE, SILVER, Layout
 from tradelake.sources import snapshots
-from tradelake.sources.tables import distinct_days, merged, outside, ranges_of, staged
+from tradelake.sources.tables import distinct_days, staged
 
 # A day of so many pieces is written anew as one when it gains rows.
 MOST_PIECES = 16
@@ -134,7 +135,7 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
     if before is None:
         return rebuild(spark, layout, run_at, mode)
     taken = before.notes.get("taken", [])
-    arrivals = batches(spark, layout).filter(outside("batch", taken))
+    arrivals = batches(spark, layout, taken)
     measured = _stamps(arrivals).first()
     if not measured.rows:
         return UpsertReport([], 0, 0, False)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tradelake.operators.flatten import flatten, of_products
 from tradelake.operators.validate import accepted, health_counts, reason_counts, rejected, validate
+from tradelake.plans.packing import pack_quarantine
 from tradelake.plans.quarantine import quarantine
 from tradelake.queries.common import FIRST_ARRIVAL, TRADES, comparable, events, new_layout
 from tradelake.sources import tape
@@ -33,7 +34,24 @@ def _set_aside(spark, folder):
     rows = rejected(_checked(spark, folder)).withColumns({"received_at": F.lit(FIRST_ARRIVAL), "batch_id": F.lit("batch-1")})
     for _ in range(2):
         quarantine(rows, layout)
-    kept = read_quarantine(spark, layout.quarantine).select(F.length("raw").alias("_n"), F.size("reasons").alias("broken"))
+    return _by_reasons(read_quarantine(spark, layout.quarantine))
+
+
+def _packed(spark, folder):
+    """Rejected records of many batches, packed; the last batch comes again, then all are packed again."""
+    layout = new_layout(spark, "set-aside-packed")
+    number = F.pmod(F.xxhash64("raw"), F.lit(20)).cast("string")
+    rows = rejected(_checked(spark, folder)).withColumns(
+        {"received_at": F.lit(FIRST_ARRIVAL), "batch_id": F.concat(F.lit("feed-"), F.lpad(number, 12, "0"))})
+    quarantine(rows, layout)
+    pack_quarantine(spark, layout)
+    quarantine(rows.filter(number.cast("int") >= 18), layout)
+    pack_quarantine(spark, layout)
+    return _by_reasons(read_quarantine(spark, layout.quarantine))
+
+
+def _by_reasons(aside):
+    kept = aside.select(F.length("raw").alias("_n"), F.size("reasons").alias("broken"))
     return kept.groupBy("broken").agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("_n") > 0).alias("with_text"))
 
 
@@ -47,6 +65,7 @@ QUERIES = {
     "feed_health_counts": lambda spark, folder: health_counts(_checked(spark, folder)),
     "reject_counts": lambda spark, folder: reason_counts(_checked(spark, folder)),
     "quarantine_rows": _set_aside,
+    "quarantine_packed": _packed,
 }
 
 _LISTED = """listed AS (SELECT * FROM trades WHERE NOT (
@@ -81,3 +100,4 @@ SELECT reason, count(*) AS records FROM (SELECT unnest(string_split(reasons, ','
     "quarantine_rows": f"""WITH {TRADES}, {_STATUS}
 SELECT CAST(len(string_split(reasons, ',')) AS INTEGER) AS broken, count(*) AS records, count(*) AS with_text FROM status WHERE reasons <> '' GROUP BY ALL""",
 }
+SQL["quarantine_packed"] = SQL["quarantine_rows"]

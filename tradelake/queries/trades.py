@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tradelake.functions.windows import after_bookmark, bookmark_max
 from tradelake.operators.dedup import latest
 from tradelake.plans import bronze, silver
+from tradelake.plans.packing import pack_bronze
 from tradelake.queries.common import (
     DELIVERED, FIRST_ARRIVAL, LINES, SECOND_ARRIVAL, TRADES, comparable, event_trades, line_trades, new_layout,
     events, payloads, second_delivery, two_deliveries, whole_tape,
@@ -80,6 +81,23 @@ def _committed_late(spark, folder):
     return comparable(read_silver(spark, layout.silver).select(*SILVER_OUT))
 
 
+def _packed(spark, folder):
+    """The first delivery in four batches, packed once silver has them; the second comes twice, around a second packing."""
+    layout = new_layout(spark, "packed")
+    first = events(spark, folder).filter("event_type <> 'error'").withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(4)))
+    for part in range(4):
+        bronze.append(spark, layout, payloads(tape.event_trades(first.filter(F.col("part") == part))), FIRST_ARRIVAL, keep="all")
+    silver.upsert(spark, layout, FIRST_ARRIVAL)
+    pack_bronze(spark, layout)
+    bronze.append(spark, layout, payloads(second_delivery(spark, folder)), SECOND_ARRIVAL, keep="all")
+    silver.upsert(spark, layout, SECOND_ARRIVAL)
+    pack_bronze(spark, layout)
+    bronze.append(spark, layout, payloads(second_delivery(spark, folder)), SECOND_ARRIVAL)
+    silver.rebuild(spark, layout, SECOND_ARRIVAL)
+    arrivals = read_bronze(spark, layout.bronze).groupBy("trade_id").agg(F.count(F.lit(1)).alias("arrivals"))
+    return comparable(read_silver(spark, layout.silver).join(arrivals, "trade_id").select(*SILVER_OUT, "arrivals"))
+
+
 QUERIES = {
     "wire_serialise": _wire,
     "bronze_scan": _bronze_scan,
@@ -89,6 +107,7 @@ QUERIES = {
     "silver_dedup_latest": _dedup,
     "silver_incremental_upsert": lambda spark, folder: comparable(read_silver(spark, two_deliveries(spark, folder).silver).select(*SILVER_OUT)),
     "silver_committed_late": _committed_late,
+    "bronze_packed": _packed,
     "bookmark_filter": _arrivals,
 }
 
@@ -112,6 +131,8 @@ SELECT {_TYPED} FROM ranked WHERE n = 1""",
     "silver_incremental_upsert": f"WITH {DELIVERED} SELECT {_TYPED}, ingested_at FROM delivered",
     "silver_committed_late": f"""WITH {TRADES} SELECT {_TYPED}, CASE WHEN product_id = 'error' THEN TIMESTAMP '2024-01-31 22:00:00'
   ELSE TIMESTAMP '2024-02-01 00:00:00' END AS ingested_at FROM trades""",
+    "bronze_packed": f"""WITH {DELIVERED} SELECT {_TYPED}, ingested_at,
+  CASE WHEN product_id = 'purchase' THEN 2 ELSE 1 END AS arrivals FROM delivered""",
     "bookmark_filter": """SELECT event_id, ts FROM events WHERE ts > (SELECT coalesce(max(ts), TIMESTAMP '1900-01-01 00:00:00')
   FROM events WHERE event_type = 'click' AND value > 200)""",
 }

@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import UTC, date, datetime
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradelake.functions.ranges import Ranges
 from tradelake.functions.windows import between_windows, date_parts_from, date_parts_until
 from tradelake.schemas import BRONZE, DATE_PARTS, QUARANTINE, SILVER, lake_schema
 from tradelake.session import scratch_path
 from tradelake.sources import snapshots
 from tradelake.sources.files import delete, exists
+from tradelake.sources.packed import with_packed
 from tradelake.sources.snapshots import Piece, Snapshot
 
 MINUTE = 60_000_000  # microseconds
@@ -92,8 +94,13 @@ def union_by_name(spark: SparkSession, root: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cast)
 
 
+def read_batches(spark: SparkSession, root: str, beyond: Ranges = ()) -> DataFrame:
+    """Bronze rows of the batches outside ``beyond``, whether packed or in folders of their own."""
+    return with_packed(spark, root, read_table(spark, root, BRONZE), "batch", beyond)
+
+
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, BRONZE).select("payload", "trade_id", "received_at", "received_date")
+    return read_batches(spark, root).select("payload", "trade_id", "received_at", "received_date")
 
 
 def micros(moment: datetime) -> int:
@@ -121,7 +128,7 @@ def read_silver(spark: SparkSession, root: str, since: datetime | None = None, u
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, QUARANTINE)
+    return with_packed(spark, root, read_table(spark, root, QUARANTINE), "batch_id")
 
 
 def read_gold(spark: SparkSession, root: str, table: str, since: datetime | None = None, until: datetime | None = None, by: tuple[str, ...] = (), snapshot: Snapshot | None = None) -> DataFrame:
@@ -179,36 +186,3 @@ def distinct_days(df: DataFrame, *columns: str) -> list[date]:
     """The calendar days in the given columns (one short row per day)."""
     days = df.select(F.explode(F.array(*columns)).alias("day")).filter("day is not null").distinct()
     return [row.day for row in days.collect()]
-
-
-# Batch numbers that a consumer has taken: ascending, separate (first, last) ranges.
-Ranges = list[tuple[int, int]]
-BLOCK = 4096
-
-
-def outside(column: str, ranges: Iterable[Sequence[int]]) -> Column:
-    """Partition predicate: numbers in none of the ranges."""
-    keep = F.lit(True)
-    for first, last in ranges:
-        keep = keep & ~F.col(column).between(first, last)
-    return keep
-
-
-def ranges_of(df: DataFrame, column: str) -> Ranges:
-    """The distinct numbers of a column as ranges; the runs are found by Spark, a block of numbers at a time."""
-    blocks = df.select(column).distinct().groupBy(F.floor(F.col(column) / BLOCK)).agg(F.sort_array(F.collect_list(column)).alias("n"))
-    starts = F.filter("n", lambda x, i: ~F.get("n", i - 1).eqNullSafe(x - 1))
-    ends = F.filter("n", lambda x, i: ~F.get("n", i + 1).eqNullSafe(x + 1))
-    runs = blocks.select(F.inline(F.arrays_zip(starts.alias("first"), ends.alias("last"))))
-    return merged((r["first"], r["last"]) for r in runs.collect())
-
-
-def merged(*ranges: Iterable[Sequence[int]]) -> Ranges:
-    """The union of ranges, with neighbours joined."""
-    out: Ranges = []
-    for first, last in sorted(tuple(r) for some in ranges for r in some):
-        if out and first <= out[-1][1] + 1:
-            out[-1] = (out[-1][0], max(out[-1][1], last))
-        else:
-            out.append((first, last))
-    return out
