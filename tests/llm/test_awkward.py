@@ -234,3 +234,20 @@ def test_near_copies_hand_workers_few_pairs_at_once(spark):
     with common.small_batches(spark, 64):
         assert spark.conf.get(name) == "64"
     assert spark.conf.get(name) == before and ngram_join.PAIR_ROWS <= 64
+
+
+def test_every_labelled_text_counts_in_the_ranking(spark, monkeypatch):
+    """Two tasks' sums over all rows give the ranker of all rows in memory, whatever their number."""
+    rng = np.random.default_rng(3)
+    rows = [(i, "".join(rng.choice(list("abcd" if i % 3 else "bcde"), 60)), int(i % 3 > 0)) for i in range(9000)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "ROWS", 3000)
+    seen = []
+    learn = quality._learn
+    monkeypatch.setattr(quality, "_learn", lambda total, share: (seen.append(total(quality._grams)[:, 0, 0]), learn(total, share))[1])
+    ranker = quality.fit(docs, labels)
+    assert seen[0].tolist() == [3000, 6000]
+    x = quality.features(pa.array([t for _, t, _ in rows])).astype(np.float16).astype(float)
+    plain = learn(lambda part, add=np.add: part(x, np.array([q == 1 for *_, q in rows])), 1 / 3)
+    assert np.allclose(ranker.score(x), plain.score(x), atol=1e-4)
