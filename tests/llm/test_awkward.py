@@ -251,3 +251,21 @@ def test_every_labelled_text_counts_in_the_ranking(spark, monkeypatch):
     x = quality.features(pa.array([t for _, t, _ in rows])).astype(np.float16).astype(float)
     plain = learn(lambda part, add=np.add: part(x, np.array([q == 1 for *_, q in rows])), 1 / 3)
     assert np.allclose(ranker.score(x), plain.score(x), atol=1e-4)
+
+
+def test_every_text_counts_in_the_languages(spark):
+    """Habits come from the byte pairs of all whole texts, and the network tells their languages apart."""
+    rng = np.random.default_rng(8)
+    rows = [(i, "".join(rng.choice(list("abc"), 300)) if i % 9 else "xyz" * 1200, "b" if i % 9 else "a") for i in range(4500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language.fit(docs)
+    for own, name in enumerate(network.languages):
+        counts = np.zeros((256, 256))
+        for _, text, lang in rows:
+            if lang == name:
+                np.add.at(counts, (np.frombuffer(text.encode()[:-1], np.uint8), np.frombuffer(text.encode()[1:], np.uint8)), 1)
+        table = np.log((counts + 0.01) / (counts + 0.01).sum(axis=1, keepdims=True)).ravel()
+        usual = network.habits.usual[:, own]
+        assert np.allclose(usual - usual[0], table - table[0], atol=1e-4)
+    found = language.identify(docs, network, ["doc_id", "lang"])
+    assert found.where("lang <> lang_pred or lang_foreign").count() == 0
