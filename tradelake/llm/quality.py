@@ -167,8 +167,8 @@ def _learn(total: Callable, bad_share: float | None = None) -> Ranker:
     # the rows hold both labels in other shares than all labels: weight them back
     threshold = _quantile(total, strength, np.array([bad_share, 1 - bad_share]) / count, bad_share)
     scaled = weights / spread
-    squares = np.einsum("kab,a,b->k", products, scaled, scaled) - np.einsum("ka,a->k", means, scaled) ** 2
-    return Ranker(scaled, float(threshold + center @ scaled), max(float(np.sqrt(np.maximum(squares, 0)).mean()), 1e-6))
+    pooled = np.einsum("k,kab,a,b->", count / count.sum(), products, scaled, scaled) - float((center * scaled).sum()) ** 2
+    return Ranker(scaled, float(threshold + (center * scaled).sum()), max(float(pooled), 0.0) ** 0.5 or 1e-6)
 
 
 def _solved(matrix: np.ndarray, right: np.ndarray) -> np.ndarray:
