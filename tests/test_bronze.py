@@ -103,3 +103,17 @@ def test_arrival_stamp_needs_a_zone(spark, layout):
         bronze.append(spark, layout, payloads(spark, [payload("a")]), at(10).replace(tzinfo=None))
     with pytest.raises(ValueError, match="policy"):
         bronze.append(spark, layout, payloads(spark, [payload("a")]), at(10), keep="some")
+
+
+@pytest.mark.parametrize("keep", ["first", "all"])
+def test_the_messages_of_a_batch_are_made_once(spark, layout, keep):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    batch = payloads(spark, [payload("a"), payload("b"), payload("b")]).select("payload").mapInArrow(counted, "payload string")
+    report = bronze.append(spark, layout, batch, at(10), keep=keep)
+    assert made.value == 3 and report.inserted == (2 if keep == "first" else 3)

@@ -14,7 +14,7 @@ from tradelake.functions.windows import aware
 from tradelake.operators.absent import absent_rows, id_bytes
 from tradelake.schemas import BRONZE, Layout
 from tradelake.sources.files import claim, delete, names
-from tradelake.sources.tables import read_batches, read_table
+from tradelake.sources.tables import read_batches, read_table, staged
 
 
 @dataclass(frozen=True)
@@ -80,25 +80,32 @@ def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: d
     if keep not in ("first", "all"):
         raise ValueError(f"unknown policy: {keep!r}")
     arrivals = stamp(batch, received_at)
-    counts = arrivals.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("trade_id").isNull()).alias("nulls"), id_bytes().alias("bytes")
-    ).first()
-    if not counts.rows:
-        return IngestReport(0, 0)
-    new = arrivals
-    if keep == "first":
+    if keep == "all":
+        stored = _add(spark, layout, arrivals, received_at)
+        return IngestReport(stored, stored)
+    # several steps read the batch, so its messages are made and parsed once
+    with staged(arrivals, "arrivals") as rows:
+        counts = rows.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("trade_id").isNull()).alias("nulls"), id_bytes().alias("bytes")
+        ).first()
+        if not counts.rows:
+            return IngestReport(0, 0)
         from tradelake.plans.ledger import known_ids  # the ledger reads bronze
 
-        known = known_ids(spark, layout, arrivals, counts.rows, counts.bytes)
-        new = absent_rows(arrivals, known, null_keys=counts.nulls > 0, measured_bytes=counts.bytes)
+        known = known_ids(spark, layout, rows, counts.rows, counts.bytes)
+        new = absent_rows(rows, known, null_keys=counts.nulls > 0, measured_bytes=counts.bytes)
+        return IngestReport(counts.rows, _add(spark, layout, new, received_at))
+
+
+def _add(spark: SparkSession, layout: Layout, rows: DataFrame, received_at: datetime) -> int:
+    """Write rows as a batch of their own and count them there."""
     number = next_batch(spark, layout)
     (
-        new
+        rows
         .withColumn("batch", F.lit(number).cast("long"))
         .write.mode("append")
         .partitionBy("received_date", "batch")
         .parquet(layout.bronze)
     )
     day = F.col("received_date") == F.lit(arrivals_day(received_at))
-    inserted = read_table(spark, layout.bronze, BRONZE).filter(day & (F.col("batch") == number)).count()
-    return IngestReport(attempted=counts.rows, inserted=inserted)
+    return read_table(spark, layout.bronze, BRONZE).filter(day & (F.col("batch") == number)).count()
