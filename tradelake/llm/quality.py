@@ -205,9 +205,9 @@ def _features():
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Features and labels of a batch, 2,048 rows at a time."""
-    for at in range(0, batch.num_rows, 2048):
-        part = batch.slice(at, 2048)
+    """Features and labels of a batch, 512 rows at a time."""
+    for at in range(0, batch.num_rows, 512):
+        part = batch.slice(at, 512)
         x = np.frombuffer(b"".join(part.column("x").to_pylist()), np.float16).reshape(-1, WIDTH)
         yield x.astype(np.float64), part.column("quality").to_numpy() == 1
 
