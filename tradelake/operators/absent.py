@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,12 @@ def mentioned_ids(batch: DataFrame, measured_bytes: int | None, key: str = "trad
     return F.broadcast(ids) if small else ids
 
 
-def absent_rows(batch: DataFrame, table: DataFrame, key: str = "trade_id", by: str = "received_at", ties: Sequence[str] | None = None, null_keys: bool = True, measured_bytes: int | None = None) -> DataFrame:
+def known_keys(batch: DataFrame, table: DataFrame, key: str = "trade_id", measured_bytes: int | None = None) -> DataFrame:
+    """Keys of the batch that are in ``table``."""
+    return table.select(key).join(mentioned_ids(batch, measured_bytes, key), key, "left_semi").distinct()
+
+
+def absent_rows(batch: DataFrame, table: DataFrame | None, key: str = "trade_id", by: str = "received_at", ties: Sequence[str] | None = None, null_keys: bool = True, measured_bytes: int | None = None, parts: tuple[DataFrame | None, DataFrame | None] | None = None) -> DataFrame:
     """Rows whose key is neither in ``table`` nor earlier in the batch.
 
     NULL keys never conflict; they take their own branch and are not shuffled.
@@ -40,9 +46,16 @@ def absent_rows(batch: DataFrame, table: DataFrame, key: str = "trade_id", by: s
 
     The table is first reduced by a semi join with the batch's ids, where the
     batch can be the broadcast side; a plain anti join against the table would
-    always shuffle every stored id.
+    always shuffle every stored id. ``table`` may be None if it holds nothing.
+
+    ``parts`` are the batch's rows whose key comes once in it, and the others, if they are known: only the
+    others are brought together then.
     """
-    first = earliest(batch.filter(F.col(key).isNotNull()), key, by, ties)
-    known = table.select(key).join(mentioned_ids(batch, measured_bytes, key), key, "left_semi").distinct()
-    new = first.join(known, key, "left_anti").select(*batch.columns)
+    once, again = parts or (None, batch)
+    first = [] if once is None else [once.filter(F.col(key).isNotNull())]
+    if again is not None:
+        first.append(earliest(again.filter(F.col(key).isNotNull()), key, by, ties))
+    new = reduce(DataFrame.union, first)
+    if table is not None:
+        new = new.join(known_keys(batch, table, key, measured_bytes), key, "left_anti").select(*batch.columns)
     return new.union(batch.filter(F.col(key).isNull())) if null_keys else new

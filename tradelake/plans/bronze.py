@@ -12,6 +12,7 @@ from tradelake.functions.dates import day_of
 from tradelake.functions.ranges import Ranges
 from tradelake.functions.windows import aware
 from tradelake.operators.absent import absent_rows, id_bytes
+from tradelake.plans.repeats import once_and_again
 from tradelake.schemas import BRONZE, Layout
 from tradelake.sources.files import claim, delete, names
 from tradelake.sources.tables import read_batches, read_table, staged
@@ -90,8 +91,12 @@ def append(spark: SparkSession, layout: Layout, batch: DataFrame, received_at: d
         ).first()
         if not counts.rows:
             return IngestReport(0, 0)
-        from tradelake.plans.ledger import known_ids  # the ledger reads bronze
+        from tradelake.plans.ledger import LITERAL_IDS, holds_nothing, known_ids  # the ledger reads bronze
 
+        if counts.rows > LITERAL_IDS and holds_nothing(spark, layout):
+            with once_and_again(rows) as parts:
+                new = absent_rows(rows, None, null_keys=counts.nulls > 0, parts=parts)
+                return IngestReport(counts.rows, _add(spark, layout, new, received_at))
         known = known_ids(spark, layout, rows, counts.rows, counts.bytes)
         new = absent_rows(rows, known, null_keys=counts.nulls > 0, measured_bytes=counts.bytes)
         return IngestReport(counts.rows, _add(spark, layout, new, received_at))

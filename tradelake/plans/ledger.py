@@ -74,6 +74,11 @@ def looked_up(spark: SparkSession, layout: Layout, batch: DataFrame, count: int,
     return newest(rows.where(F.col("trade_id").isin([row.trade_id for row in wanted])))
 
 
+def holds_nothing(spark: SparkSession, layout: Layout) -> bool:
+    """Whether there is neither a ledger nor a bronze batch."""
+    return snapshots.current(spark, layout.ledger) is None and batches(spark, layout).isEmpty()
+
+
 def known_ids(spark: SparkSession, layout: Layout, batch: DataFrame, count: int, size: int) -> DataFrame:
     """Ids of ``batch`` that bronze holds: the ledger's, and those of batches that it has not seen."""
     seen = (snapshots.current(spark, layout.ledger) or snapshots.EMPTY).notes.get("taken", [])
@@ -87,9 +92,15 @@ def _add(spark: SparkSession, layout: Layout, rows: DataFrame, silver: Snapshot,
     snapshots.commit(spark, layout.ledger, before, pieces, replaced, notes)
 
 
-def rebuild(spark: SparkSession, layout: Layout, silver: Snapshot) -> None:
-    """The ledger of all of silver and bronze, as one piece for each bucket."""
+def rebuild(spark: SparkSession, layout: Layout, silver: Snapshot, all_placed: bool = False) -> None:
+    """The ledger of all of silver and bronze, as one piece for each bucket.
+
+    ``all_placed`` says that every id taken has a silver row, so none is looked for.
+    """
     trades = snapshots.read(spark, layout.silver, SILVER, silver)
+    if all_placed:
+        _add(spark, layout, entries(trades), silver, snapshots.current(spark, layout.ledger), None)
+        return
     taken = batches(spark, layout).filter(~outside("batch", silver.notes["taken"])).select("trade_id")
     unplaced = bare(taken.join(trades.select("trade_id"), "trade_id", "left_anti"))
     _add(spark, layout, entries(trades).union(unplaced), silver, snapshots.current(spark, layout.ledger), None)

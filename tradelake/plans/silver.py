@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from tradelake.plans import ledger
 from tradelake.plans.bronze import batches
 from tradelake.plans.ledger import RECENCY
 from tradelake.plans.quarantine import quarantine
+from tradelake.plans.repeats import once_and_again
 from tradelake.schemas import PAYLOAD, PRICE, SILVER, Layout
 from tradelake.sources import snapshots
 from tradelake.sources.tables import distinct_days, staged
@@ -73,6 +76,19 @@ def latest_trades(trades: DataFrame) -> DataFrame:
     return keep_one(trades, "trade_id", [F.desc(c) for c in RECENCY])
 
 
+@contextmanager
+def _latest_typed(arrivals: DataFrame, mode: str, seen: Observation, small: bool = False) -> Iterator[DataFrame]:
+    """Latest version of each trade; of many arrivals in strict mode only those of ids that come again are compared."""
+    if small or mode != "strict":  # broken rows are counted on one way through the parse
+        yield latest_trades(_typed(arrivals, mode, seen))
+        return
+    with once_and_again(arrivals) as (once, again):
+        parts = [] if once is None else [_typed(once, mode, seen)]
+        if again is not None:
+            parts.append(latest_trades(_typed(again, mode, seen)))
+        yield reduce(DataFrame.unionByName, parts)
+
+
 def _silver_columns(trades: DataFrame) -> DataFrame:
     return trades.withColumn("trade_date", day_of("traded_at")).select(*SILVER.names)
 
@@ -111,11 +127,11 @@ def rebuild(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "
     bronze = batches(spark, layout)
     before = snapshots.current(spark, layout.silver)
     seen = Observation()
-    table = _silver_columns(latest_trades(_typed(bronze, mode, seen)))
-    pieces = snapshots.write(table, layout.silver, "trade_date", ["traded_at"], "traded_at")
+    with _latest_typed(bronze, mode, seen) as table:
+        pieces = snapshots.write(_silver_columns(table), layout.silver, "trade_date", ["traded_at"], "traded_at")
     broken = _set_broken_aside(bronze, layout, mode, seen)
     after = snapshots.commit(spark, layout.silver, before, pieces, None, {"taken": ranges_of(bronze, "batch")})
-    ledger.rebuild(spark, layout, after)
+    ledger.rebuild(spark, layout, after, all_placed=not broken)
     changed = after.changed_since(after.number - 1)
     return UpsertReport([snapshots.key_day(key) for key in changed], after.rows, broken, True)
 
@@ -141,15 +157,16 @@ def upsert(spark: SparkSession, layout: Layout, run_at: datetime, mode: str = "s
         return UpsertReport([], 0, 0, False)
 
     seen = Observation()
-    incoming = _silver_columns(latest_trades(_typed(arrivals, mode, seen)))
     ledger.follow(spark, layout, before)  # does nothing, unless the last run died before it
     stored = ledger.looked_up(spark, layout, arrivals, measured.rows, measured.bytes).select(
         "trade_id", F.col("trade_date").alias("_old_date"), F.col("version").alias("_old")
     )
     newer = F.col("_old").isNull() | (F.struct(*RECENCY) > F.col("_old"))
-    changed = incoming.join(stored, "trade_id", "left").filter(newer).drop("_old")
 
-    with staged(changed, "silver-changed") as rows:
+    with ExitStack() as steps:
+        incoming = _silver_columns(steps.enter_context(_latest_typed(arrivals, mode, seen, measured.rows <= ledger.LITERAL_IDS)))
+        changed = incoming.join(stored, "trade_id", "left").filter(newer).drop("_old")
+        rows = steps.enter_context(staged(changed, "silver-changed"))
         key = lambda day: snapshots.day_key("trade_date", day)
         touched = {key(day) for day in distinct_days(rows, "trade_date")}
         crowded = {k for k in touched if k in before.days and len(before.days[k].pieces) >= MOST_PIECES}
