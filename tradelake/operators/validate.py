@@ -25,16 +25,17 @@ MEMBERS = ("trade_id", "product_id", "price", "size", "side", "time")
 TYPED_MEMBERS = ("trade_id", "product_id", "price", "size", "side", "time")
 
 
-def _members(trade: str) -> Column:
+def _object(trade: str) -> Column:
+    """All members of a trade object at once, NULL if it is no object."""
+    return F.try_variant_get(trade, "$", "struct<" + ",".join(f"{m}:variant" for m in MEMBERS) + ">")
+
+
+def _members(members: str) -> Column:
     """Text of every member, and the JSON type of those that have a rule on it."""
-    texts = [F.try_variant_get(trade, f"$.{m}", "string").alias(m) for m in MEMBERS if m != "side"]
-    texts.append(F.lower(F.try_variant_get(trade, "$.side", "string")).alias("side"))
-    kinds = [
-        F.coalesce(F.schema_of_variant(F.try_variant_get(trade, f"$.{m}", "variant")), F.lit("VOID")).alias(f"{m}_kind")
-        for m in TYPED_MEMBERS
-    ]
-    shape = F.coalesce(F.schema_of_variant(trade).startswith("OBJECT"), F.lit(False)).alias("is_object")
-    return F.struct(*texts, *kinds, shape)
+    texts = [F.try_variant_get(f"{members}.{m}", "$", "string").alias(m) for m in MEMBERS if m != "side"]
+    texts.append(F.lower(F.try_variant_get(f"{members}.side", "$", "string")).alias("side"))
+    kinds = [F.coalesce(F.schema_of_variant(f"{members}.{m}"), F.lit("VOID")).alias(f"{m}_kind") for m in TYPED_MEMBERS]
+    return F.struct(*texts, *kinds, F.col(members).isNotNull().alias("is_object"))
 
 
 def _is_fraction(kind: Column) -> Column:
@@ -117,7 +118,8 @@ def validate(trades: DataFrame, product_required: bool = False) -> DataFrame:
     on the result from being pushed below it, where every condition would repeat
     that work. The reasons are joined as text, which stays in generated code.
     """
-    members = trades.select("trade", F.inline(F.array(_members("trade"))))
+    objects = trades.select("trade", F.explode(F.array(_object("trade"))).alias("members"))
+    members = objects.select("trade", F.inline(F.array(_members("members"))))
     typed = members.select("*", F.inline(F.array(F.struct(
         F.col("price").try_cast(PRICE).alias("price_value"),
         F.col("size").try_cast(PRICE).alias("size_value"),

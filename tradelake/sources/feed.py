@@ -29,8 +29,11 @@ def parse_frames(frames: DataFrame) -> DataFrame:
 
 
 def is_document(frame: str = "frame") -> Column:
-    """True for a parsed frame that is a JSON object."""
-    return F.coalesce(F.schema_of_variant(frame).startswith("OBJECT"), F.lit(False))
+    """True for a parsed frame that is a JSON object: only an object can be read as a struct.
+
+    The schema of the whole frame would tell it too, but is made of every value in it.
+    """
+    return F.try_variant_get(frame, "$", "struct<channel:variant>").isNotNull()
 
 
 def bad_frames(parsed: DataFrame) -> DataFrame:
