@@ -38,7 +38,6 @@ from tradelake.llm import common
 from tradelake.llm.shingles import mix, shingle_sets
 
 CHUNK_BYTES = 1 << 20  # text that one numpy step handles
-TEXT_ROWS = 512  # texts that are handed to a worker at once
 PAIR_ROWS = 64  # pairs of whole shingle sets that a worker holds at once
 BITMAP_WORDS = 32  # 2,048 bits
 SMALL_CELL = 8  # members; those of larger cells meet by rare shingles, which loses no link either
@@ -194,8 +193,7 @@ def links_between(pairs: DataFrame, signed: DataFrame, docs: DataFrame, words: i
         near.where(100 * overlap >= percent * (F.col("n_a") + F.col("n_b") - overlap)).select("a", "b"), "near")
     texts = texts_of(near.select(F.col("a").alias("class_id")).union(near.select("b")).distinct(), signed, docs)
     sets = texts.select("text").mapInArrow(_sets(words), "class_id long, grams array<long>")
-    with common.small_batches(pairs.sparkSession, TEXT_ROWS):
-        sets = common.stored(sets.dropDuplicates(["class_id"]), "sets")
+    sets = common.stored(sets.dropDuplicates(["class_id"]), "sets")
     both = near.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     with common.small_batches(pairs.sparkSession, PAIR_ROWS):
         found = common.stored(both.mapInArrow(_verified(percent), "a long, b long"), "links")
@@ -215,8 +213,7 @@ def linked_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int)
     cell = docs.select("text").mapInArrow(_cells(words, percent), "class_id long, cell long")
     shared = cell.groupBy("cell").agg(F.min("class_id").alias("center"), F.max("class_id").alias("last"))
     shared = shared.where("center < last").select("cell", "center")
-    with common.small_batches(docs.sparkSession, TEXT_ROWS):
-        members = common.stored(cell.join(shared, "cell").distinct(), "members")
+    members = common.stored(cell.join(shared, "cell").distinct(), "members")
     first = members.groupBy("class_id").agg(F.min("center").alias("a")).where("class_id <> a")
     links = links_between(first.select("a", F.col("class_id").alias("b")), signed, docs, words, percent)
     found = common.stored(common.components(links), "components")
@@ -283,8 +280,7 @@ def rare_shingles(crowded: DataFrame, signed: DataFrame, docs: DataFrame, words:
     """
     texts = texts_of(crowded, signed, docs)
     grams = texts.select("text").mapInArrow(_sets(words), "class_id long, grams array<long>")
-    with common.small_batches(docs.sparkSession, TEXT_ROWS):
-        grams = common.stored(grams.dropDuplicates(["class_id"]), "crowded-sets")
+    grams = common.stored(grams.dropDuplicates(["class_id"]), "crowded-sets")
     each = grams.select("class_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     often = each.groupBy("gram").agg(F.count("*").alias("times"), F.bit_xor(F.xxhash64("class_id")).alias("holders"))
     held = each.join(often.where("times > 1"), "gram")
@@ -356,10 +352,10 @@ def placed_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``row_id, row_key, n_shingles, component, component_id`` for every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     keyed = docs.select(F.col("doc_id").alias("row_id"), row_key().alias("row_key"), "text")
-    signed = keyed.mapInArrow(
-        _signatures(words), "row_id long, row_key long, n_shingles long, class_id long, bits array<long>")
-    with common.small_batches(docs.sparkSession, TEXT_ROWS):
-        signed = common.stored(signed, "signatures")
+    signed = common.stored(
+        keyed.mapInArrow(
+            _signatures(words),
+            "row_id long, row_key long, n_shingles long, class_id long, bits array<long>"), "signatures")
     found = linked_classes(signed.where("n_shingles > 0"), docs, words, percent)
     rows = signed.select("row_id", "row_key", "n_shingles", "class_id")
     placed = rows.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
