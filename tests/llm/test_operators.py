@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
 from tradelake.llm import (
     common, embedding_dedup, fingerprint, language, licenses, mix, ngram_join, pack, quality, queries, shard, url_filter)
@@ -412,3 +413,24 @@ def test_sharded_texts_keep_their_checksums(spark, folder):
         own, after = texts[r["doc_id"]], texts[follow[r["doc_id"]]]
         half = len(own) // 2
         assert r["edited_sha256"] == hashlib.sha256((own[: len(own) - half] + after[:half]).encode()).hexdigest()
+
+
+def test_cells_are_dealt_by_their_number(spark, monkeypatch):
+    most, stored = {}, common.stored
+
+    def noted(df, label):
+        found = stored(df, label)
+        if label == "members":
+            most["files"], most["all"] = len(found.inputFiles()), found.count()
+            most["rows"] = max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return found
+
+    monkeypatch.setattr(common, "stored", noted)
+    monkeypatch.setattr(ngram_join, "CELL_ROWS", 500, raising=False)
+    texts = [" ".join(f"w{i}x{j}" for j in range(120)) for i in range(60)]
+    rows = [(2 * i + k, text + " end" * k) for i, text in enumerate(texts) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_join(docs, 5, 80).collect()}
+    assert got == {i: i - i % 2 for i in got} and len(got) == 120
+    # whatever spark.sql.shuffle.partitions says (4 here), tasks have some 500 cells each
+    assert most["files"] > 8 and most["rows"] < most["all"] / 6

@@ -40,6 +40,7 @@ from tradelake.llm.shingles import mix, shingle_sets
 CHUNK_BYTES = 1 << 20  # text that one numpy step handles
 PAIR_ROWS = 64  # pairs of whole shingle sets that a worker holds at once
 BITMAP_WORDS = 32  # 2,048 bits
+CELL_ROWS = 1 << 19  # cells that a task sorts, about
 SMALL_CELL = 8  # members; those of larger cells meet by rare shingles, which loses no link either
 
 
@@ -138,7 +139,7 @@ def _signatures(words: int):
 
 
 def _cells(words: int, percent: int):
-    """``class_id, cell`` rows; cheaper to compute twice than to keep, as they are many."""
+    """``class_id, cell`` rows, some hundred for a text of a few KB."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.chunks(batches, "text", CHUNK_BYTES):
@@ -210,10 +211,7 @@ def texts_of(classes: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFram
 
 def linked_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``(node, component)`` of all classes that link with another one."""
-    cell = docs.select("text").mapInArrow(_cells(words, percent), "class_id long, cell long")
-    shared = cell.groupBy("cell").agg(F.min("class_id").alias("center"), F.max("class_id").alias("last"))
-    shared = shared.where("center < last").select("cell", "center")
-    members = common.stored(cell.join(shared, "cell").distinct(), "members")
+    members = common.stored(shared_cells(signed, docs, words, percent), "members")
     first = members.groupBy("class_id").agg(F.min("center").alias("a")).where("class_id <> a")
     links = links_between(first.select("a", F.col("class_id").alias("b")), signed, docs, words, percent)
     found = common.stored(common.components(links), "components")
@@ -231,6 +229,23 @@ def linked_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int)
     return found
 
 
+def shared_cells(signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``cell, class_id, center`` of the cells that several classes share; the center is the smallest of them.
+
+    Nearly all cells have one row, so nothing is gained by adding up before the shuffle, and hash tables
+    of so many keys would fill an executor. Cells are shuffled once, to as many tasks as their number asks
+    for whatever the session's number of partitions, and a task holds a sort of its cells, which spills.
+    """
+    # of both tiles; a few more than there are
+    about = signed.agg(F.sum(4 + F.col("n_shingles") * 2 * (100 - percent) / percent).alias("rows")).first()["rows"]
+    tasks = max(1, -(-int(about or 0) // CELL_ROWS))
+    cell = docs.select("text").mapInArrow(_cells(words, percent), "class_id long, cell long").repartition(tasks, "cell")
+    of_cell = Window.partitionBy("cell")
+    seen = cell.select(
+        "cell", "class_id", F.min("class_id").over(of_cell).alias("center"), F.max("class_id").over(of_cell).alias("last"))
+    return seen.where("center < last").select("cell", "class_id", "center").distinct()
+
+
 def with_components(held: DataFrame, found: DataFrame) -> DataFrame:
     """``held`` and the ``component`` of each row's class, which is the class itself if it has no links yet."""
     placed = held.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
