@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 
 import corpus_pipeline
+from tradelake.llm import common, language
 from tradelake.llm.common import stored, table
 
 
@@ -90,3 +92,47 @@ def one_of_each(rows):
 def test_run_takes_all_stages(spark, folder):
     rows = corpus_pipeline.run(spark, folder)
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(rows.columns) and rows.count() > 0
+
+
+def made_docs(spark, n, length):
+    words = [f"{c}{v}{d}" for c in "bdfgklmnprst" for v in "aeiou" for d in "lnrst"]
+    texts = [" ".join(random.Random(i).choices(words[:: 1 + i % 2], k=length)) for i in range(n)]
+    rows = [(i, text, f"l{i % 2}", f"s{i % 3}", len(text)) for i, text in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(1)
+
+
+def test_workers_get_few_bytes_at_once(spark, tmp_path, monkeypatch):
+    """Whatever the session's bound on rows; a single longer text comes alone."""
+    setting, kind = "spark.sql.execution.arrow.maxBytesPerBatch", type(spark.range(0))
+    before, handed = spark.conf.get(setting), kind.mapInArrow
+
+    def held(self, run, spec, *more):
+        def checked(batches):
+            def small():
+                for batch in batches:
+                    assert batch.num_rows < 2 or batch.nbytes < 200_000, f"{batch.num_rows} rows, {batch.nbytes} bytes"
+                    yield batch
+
+            return run(small())
+
+        return handed(self, checked, spec, *more)
+
+    monkeypatch.setattr(kind, "mapInArrow", held)
+    monkeypatch.setattr(common, "BATCH_BYTES", 64 << 10, raising=False)
+    docs = stored(made_docs(spark, 300, 600), "made")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) as quality")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, str(tmp_path)), name)
+            assert docs.count()
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_training_does_not_hang_on_batches(spark):
+    docs, fitted = made_docs(spark, 300, 60), []
+    for rows in (10_000, 70):
+        with common.small_batches(spark, rows):
+            fitted.append(language.fit(docs))
+    assert all((getattr(fitted[0], name) == getattr(fitted[1], name)).all() for name in ("first", "last", "weights", "bias"))

@@ -29,6 +29,7 @@ STEPS, BATCH, RATE = 500, 96, 0.01
 ROUNDS, TASK_ROWS = 4, 9600  # after which tasks' parameters are averaged; texts of a task, at least about
 DEVIATIONS = 6  # by which the bytes of a short text may be less usual than those of a long one
 MARGIN = 9  # deviations of a language's long texts from their mean that other texts may be off
+TRAINED_ROWS, TRAINED_BYTES = 10_000, 64 << 20  # texts that a task draws its windows from at once, at most about
 LONG = 256  # bytes of a text whose mean counts for its language
 BLOCK = 1 << 18  # bytes that are looked up in one step
 
@@ -101,12 +102,12 @@ def habits(rows: DataFrame, languages: list[str]) -> Habits:
     """Byte pairs of all texts of ``rows(text, lang)``, counted by tasks, and how much each language's texts differ."""
     usual, spread = np.zeros((65536, len(languages)), np.float32), np.zeros(len(languages))
     counts = np.zeros((len(languages), 65536), np.int64)
-    pairs = rows.mapInArrow(_pair_counts(languages), "own int, pair int, n long")
+    pairs = common.in_workers(rows, _pair_counts(languages), "own int, pair int, n long")
     for r in pairs.groupBy("own", "pair").agg(F.sum("n").alias("n")).collect():
         counts[r["own"], r["pair"]] = r["n"]
     smooth = counts.reshape(-1, 256, 256) + 0.01
     tables = np.log(smooth / smooth.sum(axis=2, keepdims=True)).reshape(-1, 65536)
-    found = rows.mapInArrow(_means(languages, tables), "own int, long boolean, mean double")
+    found = common.in_workers(rows, _means(languages, tables), "own int, long boolean, mean double")
     found = {(r["own"], r["long"]): r for r in found.groupBy("own", "long").agg(F.avg("mean").alias("mean"), F.stddev_pop("mean").alias("off")).collect()}
     for i in range(len(languages)):
         each = found.get((i, True)) or found.get((i, False))
@@ -234,19 +235,35 @@ def _window(text: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return out
 
 
+def _drawn_from(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], list[str]]]:
+    """Texts and languages of so many rows at once, wherever batches end."""
+    texts, own, size = [], [], 0
+    for batch in batches:
+        raw, ends = common.text_bytes(batch.column("text"))
+        for row, name in enumerate(batch.column("lang").to_pylist()):
+            texts.append(raw[ends[row] : ends[row + 1]])
+            own.append(name)
+            size += len(texts[-1])
+            if len(texts) >= TRAINED_ROWS or size >= TRAINED_BYTES:
+                yield texts, own
+                texts, own, size = [], [], 0
+    if texts:
+        yield texts, own
+
+
 def _descended(languages: list[str], params: list[np.ndarray], weights: np.ndarray, passes: int, round_: int):
     """A task's parameters after ``passes`` windows of each of its texts, from the common ones on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         down, seen = _Descent(params), 0
-        for batch in batches:
-            raw, ends = common.text_bytes(batch.column("text"))
-            own = np.array([languages.index(x) for x in batch.column("lang").to_pylist()], dtype=np.int64)
-            rng = np.random.default_rng([round_, len(own), len(raw)])
+        for texts, names in _drawn_from(batches):
+            own = np.array([languages.index(x) for x in names], dtype=np.int64)
+            size = np.array([len(text) for text in texts])
+            rng = np.random.default_rng([round_, len(own), int(size.sum())])
             for _ in range(passes):
-                rows = rng.permutation(np.flatnonzero(np.diff(ends) > 0))
+                rows = rng.permutation(np.flatnonzero(size > 0))
                 for some in np.array_split(rows, max(1, len(rows) // BATCH)):
                     if len(some):
-                        windows = np.stack([_window(raw[ends[r] : ends[r + 1]], rng) for r in some])
+                        windows = np.stack([_window(texts[r], rng) for r in some])
                         down.step(windows, own[some], weights[own[some]], RATE / (round_ + 1))
                         seen += len(some)
         if seen:
@@ -295,7 +312,7 @@ def fit(labelled: DataFrame) -> Network:
         # tasks large enough for steps of their own
         dealt, passes = usable.coalesce(max(1, total // TASK_ROWS)), max(1, -(-TASK_ROWS // total))
         for round_ in range(ROUNDS):
-            found = dealt.mapInArrow(_descended(languages, params, weights, passes, round_), "seen long, params binary").collect()
+            found = common.in_workers(dealt, _descended(languages, params, weights, passes, round_), "seen long, params binary").collect()
             if not found:
                 break
             flat = sum(np.frombuffer(r["params"], np.float32) * float(r["seen"]) for r in found) / sum(r["seen"] for r in found)
@@ -322,4 +339,4 @@ def identify(docs: DataFrame, network: Network, keep: list[str]) -> DataFrame:
         return docs.select(*names, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("lang_score"), F.lit(True).alias("lang_foreign"))
     letter = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("_letter")
     wanted = list(dict.fromkeys([*names, "text"]))
-    return docs.select(*wanted, letter).mapInArrow(_apply(network, names), spec)
+    return common.in_workers(docs.select(*wanted, letter), _apply(network, names), spec)

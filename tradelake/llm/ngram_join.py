@@ -193,7 +193,7 @@ def links_between(pairs: DataFrame, signed: DataFrame, docs: DataFrame, words: i
     near = common.stored(
         near.where(100 * overlap >= percent * (F.col("n_a") + F.col("n_b") - overlap)).select("a", "b"), "near")
     texts = texts_of(near.select(F.col("a").alias("class_id")).union(near.select("b")).distinct(), signed, docs)
-    sets = texts.select("text").mapInArrow(_sets(words), "class_id long, grams array<long>")
+    sets = common.in_workers(texts.select("text"), _sets(words), "class_id long, grams array<long>")
     sets = common.stored(sets.dropDuplicates(["class_id"]), "sets")
     both = near.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     with common.small_batches(pairs.sparkSession, PAIR_ROWS):
@@ -239,7 +239,7 @@ def shared_cells(signed: DataFrame, docs: DataFrame, words: int, percent: int) -
     # of both tiles; a few more than there are
     about = signed.agg(F.sum(4 + F.col("n_shingles") * 2 * (100 - percent) / percent).alias("rows")).first()["rows"]
     tasks = max(1, -(-int(about or 0) // CELL_ROWS))
-    cell = docs.select("text").mapInArrow(_cells(words, percent), "class_id long, cell long").repartition(tasks, "cell")
+    cell = common.in_workers(docs.select("text"), _cells(words, percent), "class_id long, cell long").repartition(tasks, "cell")
     of_cell = Window.partitionBy("cell")
     seen = cell.select(
         "cell", "class_id", F.min("class_id").over(of_cell).alias("center"), F.max("class_id").over(of_cell).alias("last"))
@@ -294,7 +294,7 @@ def rare_shingles(crowded: DataFrame, signed: DataFrame, docs: DataFrame, words:
     the set's shingles occur on average: the fewer edits a copy has, the higher.
     """
     texts = texts_of(crowded, signed, docs)
-    grams = texts.select("text").mapInArrow(_sets(words), "class_id long, grams array<long>")
+    grams = common.in_workers(texts.select("text"), _sets(words), "class_id long, grams array<long>")
     grams = common.stored(grams.dropDuplicates(["class_id"]), "crowded-sets")
     each = grams.select("class_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     often = each.groupBy("gram").agg(F.count("*").alias("times"), F.bit_xor(F.xxhash64("class_id")).alias("holders"))
@@ -368,8 +368,8 @@ def placed_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     keyed = docs.select(F.col("doc_id").alias("row_id"), row_key().alias("row_key"), "text")
     signed = common.stored(
-        keyed.mapInArrow(
-            _signatures(words),
+        common.in_workers(
+            keyed, _signatures(words),
             "row_id long, row_key long, n_shingles long, class_id long, bits array<long>"), "signatures")
     found = linked_classes(signed.where("n_shingles > 0"), docs, words, percent)
     rows = signed.select("row_id", "row_key", "n_shingles", "class_id")

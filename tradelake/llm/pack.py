@@ -36,7 +36,7 @@ from tradelake.llm import common
 CAPACITY = 2048
 GROUPS = 48  # rounded sizes of the programme
 SMALL = (160, 512, 1024)  # pieces up to this length are left to best fit; the shortest plan counts
-CACHED_WORDS = 1_000_000  # words whose ids a worker remembers (about 250 MB)
+CACHED_WORDS = 1 << 18  # words whose ids a worker remembers (about 40 MB)
 
 # ------------------------------------------------------------------ tokens
 
@@ -298,13 +298,13 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     table gives an empty result.
     """
     spec = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    pieces = common.stored(docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, capacity), spec), "pieces")
+    pieces = common.stored(common.in_workers(docs.select("doc_id", "text"), _pieces(tokenizer, capacity), spec), "pieces")
     counts = pieces.groupBy("length").count().collect()  # at most ``capacity`` rows
     lengths = sorted(((r["length"], r["count"]) for r in counts), reverse=True)
     order = [F.desc("length"), F.asc("doc_id"), F.asc("piece"), F.asc("ids_crc32")]
     numbered = common.ranked(pieces, order, "rank", "ranked-pieces")
     runs = plan(lengths, capacity) if lengths else []
-    placed = numbered.mapInArrow(_placed(runs), f"{spec}, sequence_id long")
+    placed = common.in_workers(numbered, _placed(runs), f"{spec}, sequence_id long")
     # a sequence holds at most ``capacity`` pieces
     ahead = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "piece", "ids_crc32")
     ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)

@@ -233,7 +233,7 @@ def _totals(rows: DataFrame) -> Callable:
     def total(part: Callable[[np.ndarray, np.ndarray], np.ndarray], add: np.ufunc = np.add) -> np.ndarray:
         like = part(np.zeros((0, WIDTH)), np.zeros(0, dtype=bool))
         pieces = -(-like.size // 65536)
-        sums = rows.mapInArrow(_partial(part, add, pieces), "piece int, sums binary")
+        sums = common.in_workers(rows, _partial(part, add, pieces), "piece int, sums binary")
         if pieces > 1:
             sums = sums.groupBy("piece").applyInArrow(_added, "piece int, sums binary")
         out = [np.zeros(0)] * pieces
@@ -260,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Ranker:
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     if len(counts) < 2:
         return Ranker(np.zeros(WIDTH), 0.0, 0.0)
-    found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_features(), "doc_id long, x binary")
+    found = common.in_workers(docs.where("doc_id is not null").select("doc_id", "text"), _features(), "doc_id long, x binary")
     # features are shuffled in place of texts, which are longer
     rows = found.join(known.distinct(), "doc_id").dropDuplicates(["doc_id", "x", "quality"]).select("x", "quality")
     rows = common.stored(rows, "quality-features")
@@ -293,4 +293,4 @@ def score(docs: DataFrame, ranker: Ranker, keep: list[str]) -> DataFrame:
     names = [f.name for f in docs.schema if f.name in keep]
     spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
     wanted = list(dict.fromkeys([*names, "text"]))
-    return docs.select(*wanted).mapInArrow(_scores(ranker, names), f"{spec}, quality_score double")
+    return common.in_workers(docs.select(*wanted), _scores(ranker, names), f"{spec}, quality_score double")
